@@ -273,3 +273,168 @@ ORACLE: dict[str, str] = {
     "correlation_matrix_topk": corr_matrix_sql(30),
     "column_histogram": histogram_sql(),
 }
+
+
+# ---- scored-table oracles (metrics, folds, sampling)
+
+def group_folds_sql(k: int = 5) -> str:
+    zeros = ", ".join("0" for _ in range(k))
+    return f"""
+SELECT grp, n, fold FROM (
+  WITH RECURSIVE g AS (
+    SELECT grp, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, grp) AS rn
+    FROM ({SCORED_SQL}) s GROUP BY grp),
+  r(rn, grp, n, fold, loads) AS (
+    SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS INTEGER), [{zeros}]::BIGINT[]
+    UNION ALL
+    SELECT g.rn, g.grp, g.n, CAST(list_position(r.loads, list_min(r.loads)) - 1 AS INTEGER),
+           list_transform(range(1, {k + 1}), lambda i: r.loads[i] +
+               CASE WHEN i = list_position(r.loads, list_min(r.loads)) THEN g.n ELSE 0 END)
+    FROM r JOIN g ON g.rn = r.rn + 1)
+  SELECT grp, n, fold FROM r WHERE rn > 0) x
+"""
+
+
+SCORED_FOLDS_SQL = f"SELECT s.*, f.fold FROM ({SCORED_SQL}) s LEFT JOIN ({group_folds_sql()}) f ON s.grp IS NOT DISTINCT FROM f.grp"
+
+
+def cum_sql(src: str, by: Sequence[str] = ()) -> str:
+    b = ", ".join(by)
+    bsel = f"{b}, " if by else ""
+    pb = f"PARTITION BY {b} " if by else ""
+    fr = f"OVER ({pb}ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"""
+SELECT {bsel}score, tp, fp, CAST(sum(tp) {fr} AS BIGINT) AS cum_tp, CAST(sum(fp) {fr} AS BIGINT) AS cum_fp
+FROM (SELECT {bsel}prob AS score, CAST(sum(y) AS BIGINT) AS tp, CAST(count(*) - sum(y) AS BIGINT) AS fp
+      FROM ({src}) s GROUP BY {bsel}prob) t
+"""
+
+
+def ranking_sql(src: str, by: Sequence[str] = ()) -> str:
+    b = ", ".join(by)
+    bsel = f"{b}, " if by else ""
+    grp = f" GROUP BY {b}" if by else ""
+    return f"""
+SELECT {bsel}
+  sum(CAST(tp AS DOUBLE) * cum_tp / (cum_tp + cum_fp)) / sum(tp) AS pr_auc,
+  CAST(sum(fp * (2 * cum_tp - tp)) AS DOUBLE) / (2.0 * sum(tp) * sum(fp)) AS roc_auc
+FROM ({cum_sql(src, by)}) c{grp}
+"""
+
+
+def confusion_sql(src: str, th: float = 0.5) -> str:
+    t = f"CAST({th!r} AS DOUBLE)"
+    return f"""
+SELECT {t} AS threshold, tp, fp, tn, fn, n,
+       CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS precision,
+       CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END AS recall,
+       CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1,
+       positive_rate_pred, positive_rate_true, brier
+FROM (SELECT CAST(sum(CASE WHEN prob >= {t} AND y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+             CAST(sum(CASE WHEN prob >= {t} AND y = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+             CAST(sum(CASE WHEN prob < {t} AND y = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+             CAST(sum(CASE WHEN prob < {t} AND y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+             count(*) AS n,
+             avg(CASE WHEN prob >= {t} THEN 1.0 ELSE 0.0 END)::DOUBLE AS positive_rate_pred,
+             avg(CAST(y AS DOUBLE)) AS positive_rate_true,
+             avg(pow(prob - y, 2)) AS brier
+      FROM ({src}) s) a
+"""
+
+
+def sweep_sql(src: str, objective: str = "f1", lo: int = 5, hi: int = 95) -> str:
+    obj = {"f1": "f1", "recall": "recall", "precision": "precision", "youden": "recall - fpr",
+           "cost": "CAST(0.7 AS DOUBLE) * recall + CAST(0.3 AS DOUBLE) * precision"}[objective]
+    return f"""
+SELECT *, {obj} AS objective FROM (
+  SELECT fold, threshold, tp, fp, tn, fn,
+         CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS precision,
+         CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END AS recall,
+         CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1,
+         CASE WHEN fp + tn = 0 THEN 0.0 ELSE CAST(fp AS DOUBLE) / (fp + tn) END AS fpr
+  FROM (SELECT s.fold, CAST(g.k AS DOUBLE) / CAST(100.0 AS DOUBLE) AS threshold,
+               CAST(sum(CASE WHEN s.prob >= CAST(g.k AS DOUBLE) / CAST(100.0 AS DOUBLE) AND s.y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+               CAST(sum(CASE WHEN s.prob >= CAST(g.k AS DOUBLE) / CAST(100.0 AS DOUBLE) AND s.y = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+               CAST(sum(CASE WHEN s.prob < CAST(g.k AS DOUBLE) / CAST(100.0 AS DOUBLE) AND s.y = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+               CAST(sum(CASE WHEN s.prob < CAST(g.k AS DOUBLE) / CAST(100.0 AS DOUBLE) AND s.y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn
+        FROM ({src}) s, range({lo}, {hi + 1}) g(k)
+        GROUP BY s.fold, g.k) c) d
+"""
+
+
+def by_fold_sql(src: str, objective: str = "f1") -> str:
+    return f"""
+SELECT b.fold, b.threshold AS best_threshold, r.pr_auc, r.roc_auc, b.f1, b.recall, b.precision,
+       b.tp, b.fp, b.tn, b.fn
+FROM (SELECT * FROM ({sweep_sql(src, objective)}) w
+      QUALIFY row_number() OVER (PARTITION BY fold ORDER BY objective DESC, threshold ASC) = 1) b
+JOIN ({ranking_sql(src, ['fold'])}) r ON b.fold = r.fold
+"""
+
+
+def cv_summary_sql(src: str, metrics: Sequence[str]) -> str:
+    unions = " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS v FROM per_fold" for m in metrics)
+    return (f"WITH per_fold AS ({by_fold_sql(src)}) SELECT metric, avg(v) AS mean, stddev_pop(v) AS std "
+            f"FROM ({unions}) u GROUP BY metric")
+
+
+def _h(col: str, seed: int = 42) -> str:
+    return f"md5(CAST({col} AS VARCHAR) || ':{seed}')"
+
+
+_CM = ["precision", "recall", "f1", "positive_rate_pred", "positive_rate_true", "brier", "threshold"]
+_SWEEP_D = ["threshold", "precision", "recall", "f1", "fpr", "objective"]
+_FOLD_D = ["best_threshold", "pr_auc", "roc_auc", "f1", "recall", "precision"]
+
+ORACLE.update({
+    "threshold_predict": rounded(f"SELECT *, CAST(prob >= CAST(0.5 AS DOUBLE) AS INTEGER) AS pred FROM ({SCORED_SQL}) s",
+                                 ["prob"]),
+    "average_precision": rounded(f"SELECT pr_auc FROM ({ranking_sql(SCORED_SQL)}) r", ["pr_auc"]),
+    "roc_auc": rounded(f"SELECT roc_auc FROM ({ranking_sql(SCORED_SQL)}) r", ["roc_auc"]),
+    "confusion_metrics": rounded(confusion_sql(SCORED_SQL), _CM),
+    "brier_score": rounded(f"SELECT avg(pow(prob - y, 2)) AS brier FROM ({SCORED_SQL}) s", ["brier"]),
+    "cumulative_counts": rounded(cum_sql(SCORED_SQL), ["score"]),
+    "fold_ranking_metrics": rounded(ranking_sql(SCORED_FOLDS_SQL, ["fold"]), ["pr_auc", "roc_auc"]),
+    "write_metrics": rounded(
+        f"SELECT c.threshold, r.pr_auc, r.roc_auc, c.f1, c.recall, c.precision, c.brier, c.tp, c.fp, c.tn, c.fn, c.n, "
+        f"c.positive_rate_pred, c.positive_rate_true FROM ({confusion_sql(SCORED_SQL)}) c, ({ranking_sql(SCORED_SQL)}) r",
+        _CM + ["pr_auc", "roc_auc"]),
+    "pr_curve": rounded(f"""
+        WITH c AS ({cum_sql(SCORED_SQL)}), t AS (SELECT sum(tp) AS P FROM c)
+        SELECT score AS threshold,
+               CASE WHEN cum_tp + cum_fp = 0 THEN 0.0 ELSE CAST(cum_tp AS DOUBLE) / (cum_tp + cum_fp) END AS precision,
+               CASE WHEN P = 0 THEN 1.0 ELSE CAST(cum_tp AS DOUBLE) / P END AS recall FROM c, t
+        UNION ALL SELECT CAST(NULL AS DOUBLE), 1.0, 0.0""", ["threshold", "precision", "recall"]),
+    "roc_curve": rounded(f"""
+        WITH c AS ({cum_sql(SCORED_SQL)}), t AS (SELECT sum(tp) AS P, sum(fp) AS N FROM c)
+        SELECT score AS threshold, CAST(cum_fp AS DOUBLE) / N AS fpr, CAST(cum_tp AS DOUBLE) / P AS tpr FROM c, t
+        UNION ALL SELECT CAST(NULL AS DOUBLE), 0.0, 0.0""", ["threshold", "fpr", "tpr"]),
+    "reliability_curve": rounded(f"""
+        SELECT CAST({' + '.join(f'(CASE WHEN prob > CAST({i * (1.0 / 10)!r} AS DOUBLE) THEN 1 ELSE 0 END)'
+                                 for i in range(1, 10))} AS INTEGER) AS bin,
+               avg(CAST(y AS DOUBLE)) AS prob_true, avg(prob) AS prob_pred, count(*) AS count
+        FROM ({SCORED_SQL}) s GROUP BY 1""", ["prob_true", "prob_pred"]),
+    "threshold_sweep": rounded(sweep_sql(SCORED_FOLDS_SQL, "f1"), _SWEEP_D),
+    "threshold_by_fold": rounded(by_fold_sql(SCORED_FOLDS_SQL, "f1"), _FOLD_D),
+    "threshold_by_fold_youden": rounded(by_fold_sql(SCORED_FOLDS_SQL, "youden"), _FOLD_D),
+    "threshold_by_fold_cost": rounded(by_fold_sql(SCORED_FOLDS_SQL, "cost"), _FOLD_D),
+    "cv_summary": rounded(cv_summary_sql(SCORED_FOLDS_SQL, _FOLD_D), ["mean", "std"]),
+    "group_kfold": group_folds_sql(5),
+    "stratified_kfold": f"""SELECT row_id, y, CAST((row_number() OVER (PARTITION BY y ORDER BY {_h('row_id')}, row_id) - 1) % 5
+                              AS INTEGER) AS fold FROM ({SCORED_SQL}) s""",
+    "shuffled_kfold": f"""SELECT row_id, CAST((row_number() OVER (ORDER BY {_h('row_id')}, row_id) - 1) % 5 AS INTEGER)
+                            AS fold FROM ({SCORED_SQL}) s""",
+    "sample_groups": rounded(f"""
+        WITH s AS ({SCORED_SQL}), g AS (SELECT DISTINCT grp FROM s WHERE grp IS NOT NULL),
+             r AS (SELECT grp, row_number() OVER (ORDER BY {_h('grp')}, grp) - 1 AS rk FROM g),
+             n AS (SELECT count(*) AS c FROM g)
+        SELECT s.* FROM s WHERE s.grp IN (
+            SELECT grp FROM r, n WHERE rk < greatest(1, CAST(floor(c * CAST(0.35 AS DOUBLE)) AS BIGINT)))""", ["prob"]),
+    "sample_stratified": rounded(f"""
+        WITH s AS ({SCORED_SQL}),
+             r AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {_h('row_id')}, row_id) - 1 AS rk,
+                          count(*) OVER (PARTITION BY y) AS nc FROM s)
+        SELECT row_id, grp, y, prob FROM r WHERE rk < CAST(round(nc * CAST(0.35 AS DOUBLE)) AS BIGINT)""", ["prob"]),
+    "group_semi_join": rounded(f"SELECT * FROM ({PANEL_SQL}) p WHERE loc_id IN (SELECT loc_id FROM ({SITE_SQL}) s)",
+                               PANEL_D),
+})

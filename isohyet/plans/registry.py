@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import drop_leakage, month_start_date, round_doubles, spatial_block
 from ..operators import panel as P
+from ..operators import metrics as M
 from ..operators import profile as PR
+from ..operators import ranking as RK
+from ..functions.scalar import threshold_predict
+from ..session import scratch_path
+from ..sources.io import read_metrics, write_metrics
 from ..sources import fixtures
 from . import labelled_panel as LP
 
@@ -128,6 +133,106 @@ def q_column_histogram(spark, sf):
     return PR.column_histogram(LP.labelled_panel(spark, sf), HIST_COLS, 40)
 
 
+def _scored(spark, sf):
+    return fixtures.scored(spark, sf)
+
+
+def _scored_folds(spark, sf):
+    return RK.group_kfold(_scored(spark, sf), "grp", k=5)
+
+
+def q_threshold_predict(spark, sf):
+    return _scored(spark, sf).withColumn("pred", threshold_predict("prob", 0.5))
+
+
+def q_average_precision(spark, sf):
+    return M.average_precision(_scored(spark, sf))
+
+
+def q_roc_auc(spark, sf):
+    return M.roc_auc(_scored(spark, sf))
+
+
+def q_confusion_metrics(spark, sf):
+    return M.confusion_metrics(_scored(spark, sf), th=0.5)
+
+
+def q_brier_score(spark, sf):
+    return M.brier_score(_scored(spark, sf))
+
+
+def q_cumulative_counts(spark, sf):
+    return M.cumulative_counts(M.score_table(_scored(spark, sf)))
+
+
+def q_fold_ranking_metrics(spark, sf):
+    return M.ranking_metrics(_scored_folds(spark, sf), by=["fold"])
+
+
+def q_write_metrics(spark, sf):
+    m = M.holdout_metrics(_scored(spark, sf), th=0.5)
+    path = scratch_path(spark, "holdout_metrics")
+    write_metrics(m, path)
+    return read_metrics(spark, path, m.schema)
+
+
+def q_pr_curve(spark, sf):
+    return M.pr_curve(_scored(spark, sf))
+
+
+def q_roc_curve(spark, sf):
+    return M.roc_curve(_scored(spark, sf))
+
+
+def q_reliability_curve(spark, sf):
+    return M.reliability_curve(_scored(spark, sf), n_bins=10)
+
+
+def q_threshold_sweep(spark, sf):
+    return M.threshold_sweep(_scored_folds(spark, sf), by=["fold"], objective="f1")
+
+
+def q_threshold_by_fold(spark, sf):
+    return M.threshold_by_fold(_scored_folds(spark, sf), "fold", objective="f1")
+
+
+def q_threshold_by_fold_youden(spark, sf):
+    return M.threshold_by_fold(_scored_folds(spark, sf), "fold", objective="youden")
+
+
+def q_threshold_by_fold_cost(spark, sf):
+    return M.threshold_by_fold(_scored_folds(spark, sf), "fold", objective="cost")
+
+
+def q_cv_summary(spark, sf):
+    per_fold = M.threshold_by_fold(_scored_folds(spark, sf), "fold", objective="f1")
+    return PR.cv_summary(per_fold, ["best_threshold", "pr_auc", "roc_auc", "f1", "recall", "precision"])
+
+
+def q_group_kfold(spark, sf):
+    return RK.group_fold_table(_scored(spark, sf), "grp", k=5)
+
+
+def q_stratified_kfold(spark, sf):
+    return RK.stratified_kfold(_scored(spark, sf), "y", "row_id", k=5, seed=42).select("row_id", "y", "fold")
+
+
+def q_shuffled_kfold(spark, sf):
+    return RK.shuffled_kfold(_scored(spark, sf), "row_id", k=5, seed=42).select("row_id", "fold")
+
+
+def q_sample_groups(spark, sf):
+    return RK.sample_groups(_scored(spark, sf), "grp", 0.35, seed=42)
+
+
+def q_sample_stratified(spark, sf):
+    return RK.sample_stratified(_scored(spark, sf), "y", "row_id", 0.35, seed=42)
+
+
+def q_group_semi_join(spark, sf):
+    return P.group_semi_join(fixtures.panel(spark, sf), fixtures.site(spark, sf), "loc_id")
+
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -157,5 +262,27 @@ for _name, _fn in [
     ("topk_by_abs_corr", q_topk_by_abs_corr),
     ("correlation_matrix_topk", q_correlation_matrix_topk),
     ("column_histogram", q_column_histogram),
+    ("threshold_predict", q_threshold_predict),
+    ("average_precision", q_average_precision),
+    ("roc_auc", q_roc_auc),
+    ("confusion_metrics", q_confusion_metrics),
+    ("brier_score", q_brier_score),
+    ("cumulative_counts", q_cumulative_counts),
+    ("fold_ranking_metrics", q_fold_ranking_metrics),
+    ("write_metrics", q_write_metrics),
+    ("pr_curve", q_pr_curve),
+    ("roc_curve", q_roc_curve),
+    ("reliability_curve", q_reliability_curve),
+    ("threshold_sweep", q_threshold_sweep),
+    ("threshold_by_fold", q_threshold_by_fold),
+    ("threshold_by_fold_youden", q_threshold_by_fold_youden),
+    ("threshold_by_fold_cost", q_threshold_by_fold_cost),
+    ("cv_summary", q_cv_summary),
+    ("group_kfold", q_group_kfold),
+    ("stratified_kfold", q_stratified_kfold),
+    ("shuffled_kfold", q_shuffled_kfold),
+    ("sample_groups", q_sample_groups),
+    ("sample_stratified", q_sample_stratified),
+    ("group_semi_join", q_group_semi_join),
 ]:
     register(_name, _fn)
