@@ -130,8 +130,10 @@ def feature_columns(df: DataFrame, target: str, extra_exclude: Iterable[str] = (
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round floating columns (and fold -0.0 into 0.0) for stable cross-engine hashing."""
+    def q(n: str) -> Column:
+        return F.col("`" + n.replace("`", "``") + "`")
     return df.select(*[
-        (F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+        (F.round(q(f.name), digits) + F.lit(0.0)).alias(f.name)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else q(f.name)
         for f in df.schema.fields
     ])

@@ -438,3 +438,32 @@ ORACLE.update({
     "group_semi_join": rounded(f"SELECT * FROM ({PANEL_SQL}) p WHERE loc_id IN (SELECT loc_id FROM ({SITE_SQL}) s)",
                                PANEL_D),
 })
+
+
+# ---- preprocessing oracles (model inputs)
+
+MODEL_SQL = f"SELECT *, loc_id * 1000000 + YEAR * 100 + MONTH AS row_id FROM ({LABELLED_SQL}) l"
+PREP_COLS = ("humid", "elev", "precip__lag1", "n_obs__lag3", "humid__roll3m", "precip__roll_prev3m")
+
+
+def _imputed(c: str) -> str:
+    return f"COALESCE(CAST({c} AS DOUBLE), median(CAST({c} AS DOUBLE)) OVER ())"
+
+
+ORACLE.update({
+    "impute_median": rounded(f"SELECT row_id, {', '.join(f'{_imputed(c)} AS {c}' for c in PREP_COLS)} "
+                             f"FROM ({MODEL_SQL}) m", list(PREP_COLS)),
+    "standardize": rounded(
+        f"SELECT row_id, {', '.join(f'CASE WHEN stddev_pop(i_{c}) OVER () > 0 THEN (i_{c} - avg(i_{c}) OVER ()) / stddev_pop(i_{c}) OVER () ELSE 0.0 END AS {c}' for c in PREP_COLS)} "
+        f"FROM (SELECT row_id, {', '.join(f'{_imputed(c)} AS i_{c}' for c in PREP_COLS)} FROM ({MODEL_SQL}) m) t",
+        list(PREP_COLS)),
+    "balanced_class_weight": rounded(
+        f"SELECT sequia, row_id, CAST(count(*) OVER () AS DOUBLE) / (2.0 * count(*) OVER (PARTITION BY sequia)) AS weight "
+        f"FROM ({MODEL_SQL}) m", ["weight"]),
+    "smote_oversample": f"""
+        WITH c AS (SELECT sequia, count(*) AS n FROM ({LABELLED_SQL}) l GROUP BY sequia),
+             mn AS (SELECT sequia FROM c ORDER BY n, sequia LIMIT 1)
+        SELECT sequia, false AS _synthetic, n FROM c
+        UNION ALL
+        SELECT (SELECT sequia FROM mn), true, (SELECT max(n) - min(n) FROM c)""",
+})

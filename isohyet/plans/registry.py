@@ -286,3 +286,8 @@ for _name, _fn in [
     ("group_semi_join", q_group_semi_join),
 ]:
     register(_name, _fn)
+
+from .ml_queries import ML_QUERIES  # noqa: E402
+
+for _name, _fn in ML_QUERIES:
+    register(_name, _fn)
