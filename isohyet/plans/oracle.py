@@ -252,6 +252,7 @@ ORACLE: dict[str, str] = {
     "rolling_mean_past": rounded(f"SELECT *, {', '.join(past_exprs())} FROM ({DATED_PANEL_SQL}) d",
                                  PANEL_D + _feat_doubles([f"__roll_prev{k}m" for k in PAST])),
     "add_features": rounded(FEATURED_SQL, [c for c in LAB_D if c != "ppt_pctl"]),
+    "add_features_skew_safe": rounded(FEATURED_SQL, [c for c in LAB_D if c != "ppt_pctl"]),
     "climatology_percentile": rounded(
         f"SELECT LAT, LON, MONTH, quantile_cont(precip, 0.2) AS ppt_pctl "
         f"FROM ({PANEL_SQL}) p GROUP BY LAT, LON, MONTH", ["LAT", "LON", "ppt_pctl"]),

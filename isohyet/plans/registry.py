@@ -81,6 +81,10 @@ def q_add_features(spark, sf):
     return LP.featured_panel(spark, sf)
 
 
+def q_add_features_skew_safe(spark, sf):
+    return LP.featured_panel(spark, sf, strategy="range")
+
+
 def q_climatology_percentile(spark, sf):
     d = fixtures.panel(spark, sf)
     return P.climatology_percentile(d, "precip", ["LAT", "LON", "MONTH"], 20.0)
@@ -250,6 +254,7 @@ for _name, _fn in [
     ("rolling_mean", q_rolling_mean),
     ("rolling_mean_past", q_rolling_mean_past),
     ("add_features", q_add_features),
+    ("add_features_skew_safe", q_add_features_skew_safe),
     ("climatology_percentile", q_climatology_percentile),
     ("event_label", q_event_label),
     ("drop_leakage", q_drop_leakage),

@@ -75,3 +75,21 @@ def test_month_start_and_leakage(spark):
     cols = ["precip", "precip__z", "precip__roll3m", "precip__roll_prev3m", "ppt_pctl", "n_obs"]
     d2 = spark.createDataFrame([tuple(float(i) for i in range(6))], ", ".join(f"{c} double" for c in cols))
     assert drop_leakage(d2).columns == ["precip__roll_prev3m", "n_obs"]
+
+
+def test_skew_safe_strategy_equals_window_strategy(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for site in range(3):
+        months = sorted(rng.choice(60, size=40, replace=False))          # gaps in the calendar
+        for m in map(int, months):
+            v = None if rng.random() < 0.15 else float(rng.integers(0, 20))
+            rows.append((float(site), 0.0, dt.date(2000 + m // 12, m % 12 + 1, 1), v, m % 12 + 1))
+    rows.append((None, 0.0, dt.date(2001, 1, 1), 3.0, 1))                 # null key row
+    df = _panel(spark, rows)
+    a = add_features(df, ["x"], lags=(1, 2, 3, 4, 5, 6), windows=(3, 6), strategy="window")
+    b = add_features(df, ["x"], lags=(1, 2, 3, 4, 5, 6), windows=(3, 6), strategy="range")
+    assert a.columns == b.columns
+    ra = a.select([F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in a.dtypes])
+    rb = b.select([F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in b.dtypes])
+    assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
