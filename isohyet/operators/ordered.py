@@ -11,6 +11,9 @@ third of the rows, one task does a third of the work. This strategy never orders
    predecessors; the key (site, rn) is unique per row, so no group is ever hot.
 3. z-scores come from a per-site partial aggregate (mean, population std) joined back.
 
+The input is written once to the shared checkpoint folder (``spark.checkpoint.dir``): the
+branches above then scan that table instead of recomputing the upstream plan.
+
 Results equal the window strategy exactly (same rows, same null rules).
 """
 
@@ -21,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .strategy import null_safe_keys
 
 
@@ -52,6 +56,9 @@ def ordered_features_range(df: DataFrame, cols: Sequence[str], keys: Sequence[st
                            lags: Sequence[int], windows: Sequence[int], past_ks: Sequence[int] = (3, 6),
                            bucket: Column | None = None) -> DataFrame:
     keys, cols = list(keys), list(cols)
+    # Several branches read the input (moments, ranks, shifted copies, null keys): write it once
+    # to the shared checkpoint folder so the upstream plan runs once and lineage is cut.
+    df = materialize(df, "ordered_input")
     have = set(lags)
     ks = [k for k in past_ks if all(i in have for i in range(1, k + 1))]
     depth = max([*lags, *[w - 1 for w in windows], *ks, 0])

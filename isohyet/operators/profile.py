@@ -106,26 +106,44 @@ def topk_by_abs_corr(corr: DataFrame, k: int = 30) -> DataFrame:
 def correlation_matrix_topk(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Median-impute the features, then the full Pearson matrix in long form (a, b, r).
 
-    Two passes: exact medians (one agg), then all k(k+1)/2 pair moments (one agg). The
-    medians are a feature-sized list.
+    Two passes over the table: medians (one agg), then ONE agg of plain sums: n, the k sums
+    and the k(k+1)/2 cross products of median-centred values (centring keeps the moment
+    formula well conditioned). Only those feature-sized sums reach the driver, where the k x k
+    matrix is formed. A constant column gives null.
     """
+    import numpy as np
+
+    from ..ml.prep import column_medians
+
     feats = list(features)
-    med_row = df.agg(*[F.median(F.col(c).cast("double")).alias(f"_m{i}") for i, c in enumerate(feats)]).first()
-    imputed = [F.coalesce(F.col(c).cast("double"), F.lit(med_row[f"_m{i}"]).cast("double")) for i, c in enumerate(feats)]
-    base = df.select(*[e.alias(f"_x{i}") for i, e in enumerate(imputed)])
-    aggs = []
-    for i in range(len(feats)):
-        for j in range(i, len(feats)):
-            xi, xj = F.col(f"_x{i}"), F.col(f"_x{j}")
-            aggs.append(F.try_divide(F.covar_pop(xi, xj), F.stddev_pop(xi) * F.stddev_pop(xj)).alias(f"_c{i}_{j}"))
-    one = base.agg(*aggs)
-    entries = []
+    k = len(feats)
+    spark = df.sparkSession
+    schema = "feature_a string, feature_b string, r double"
+    if k == 0:
+        return spark.createDataFrame([], schema)
+    med = column_medians(df, feats)
+    d = [F.coalesce(F.col(c).cast("double") - F.lit(float(med[c])), F.lit(0.0)) if med[c] is not None
+         else F.lit(0.0) for c in feats]
+    base = df.select(*[e.alias(f"_d{i}") for i, e in enumerate(d)])
+    aggs = [F.count(F.lit(1)).cast("double").alias("_n")]
+    aggs += [F.sum(f"_d{i}").alias(f"_s{i}") for i in range(k)]
+    aggs += [F.sum(F.col(f"_d{i}") * F.col(f"_d{j}")).alias(f"_p{i}_{j}") for i in range(k) for j in range(i, k)]
+    row = base.agg(*aggs).first()
+    n = row["_n"] or 0.0
+    if n == 0:
+        return spark.createDataFrame([(a, b, None) for a in feats for b in feats], schema)
+    mean = np.array([row[f"_s{i}"] for i in range(k)]) / n
+    cov = np.empty((k, k))
+    for i in range(k):
+        for j in range(i, k):
+            cov[i, j] = cov[j, i] = row[f"_p{i}_{j}"] / n - mean[i] * mean[j]
+    sd = np.sqrt(np.clip(np.diag(cov), 0.0, None))
+    out = []
     for i, a in enumerate(feats):
         for j, b in enumerate(feats):
-            lo, hi = min(i, j), max(i, j)
-            entries.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                                    F.col(f"_c{lo}_{hi}").alias("r")))
-    return _unpivot_row(one, entries)
+            ok = sd[i] > 0 and sd[j] > 0 and cov[i, i] > 0 and cov[j, j] > 0
+            out.append((a, b, float(cov[i, j] / (sd[i] * sd[j])) if ok else None))
+    return spark.createDataFrame(out, schema)
 
 
 def column_histogram(df: DataFrame, cols: Sequence[str] = HIST_COLUMNS, bins: int = HIST_BINS) -> DataFrame:

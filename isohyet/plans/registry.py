@@ -17,7 +17,7 @@ from ..operators import metrics as M
 from ..operators import profile as PR
 from ..operators import ranking as RK
 from ..functions.scalar import threshold_predict
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources.io import read_metrics, write_metrics
 from ..sources import fixtures
 from . import labelled_panel as LP
@@ -127,7 +127,8 @@ def q_topk_by_abs_corr(spark, sf):
 
 
 def q_correlation_matrix_topk(spark, sf):
-    lab = LP.labelled_panel(spark, sf)
+    # read three times (top-k, medians, moments): write it once, as the reference reads a file
+    lab = materialize(LP.labelled_panel(spark, sf), "labelled_panel")
     top = PR.topk_by_abs_corr(PR.target_correlation(lab, "sequia"), 30)
     feats = [r["feature"] for r in top.select("feature").collect()]  # feature-sized list
     return PR.correlation_matrix_topk(lab, feats)
