@@ -50,3 +50,23 @@ def test_calibrated_model_roundtrip_and_monotone(spark, tmp_path):
     s2 = s2.toPandas().sort_values("row_id")
     assert np.allclose(s1["prob_sequia"], s2["prob_sequia"]) and meta == {"k": 1}
     assert s2["prob_sequia"].between(0, 1).all()
+
+
+def test_streaming_scoring_matches_batch(spark, tmp_path):
+    from isohyet.streaming.score_stream import start_scoring
+
+    rng = np.random.default_rng(8)
+    n = 200
+    pdf = pd.DataFrame({"row_id": np.arange(n), "a": rng.normal(size=n), "y": (rng.random(n) < 0.3).astype(int)})
+    df = spark.createDataFrame(pdf)
+    m = fit_model(df, ["a"], "y", "row_id", ModelSpec("rf", {"n_estimators": 3, "max_depth": 2}, sampler="none",
+                                                        calibration=None))
+    mpath, src, sink = str(tmp_path / "m"), str(tmp_path / "in"), str(tmp_path / "out")
+    save_model(m, mpath, ["a"])
+    df.write.parquet(src)
+    q = start_scoring(spark, mpath, src, sink, df.schema, name="t_score", checkpoint=str(tmp_path / "ck"),
+                      trigger_once=True)
+    q.awaitTermination(120)
+    got = spark.read.parquet(sink).select("row_id", "prob_sequia").toPandas().sort_values("row_id")
+    want = score(m, df, ["a"]).select("row_id", "prob_sequia").toPandas().sort_values("row_id")
+    assert len(got) == n and np.allclose(got["prob_sequia"].to_numpy(), want["prob_sequia"].to_numpy())
