@@ -5,8 +5,9 @@
    size (quantile buckets); each chunk's rows search the chunk and its two neighbours
    (Arrow-batched numpy inside ``applyInPandas``). Because a projection onto a unit vector
    never lengthens a distance, a row whose k-th distance r fits inside the searched
-   projection range is certified exact. The remaining rows take an exact range join:
-   every minority row whose projection lies within r of theirs is a candidate (no cap).
+   projection range is certified exact. For the remaining rows, every minority row whose
+   projection lies within r of theirs is routed to their chunk (no cap) and searched the same
+   way, so every result is exact.
 2. ``n_major - n_minor`` synthetic rows ``x + u * (nn - x)``: sample j picks its base row,
    neighbour slot and gap from seeded hashes of j, so generation is an equi-join spread over
    all tasks, never a driver loop.
@@ -25,44 +26,66 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.ranking import hash_rank
+from ..session import materialize
 
 DEFAULT_K = 5
 CHUNK_ROWS = 2048
 _REL = 1e-9  # slack on the certified radius for floating error
 
 
-def _chunk_knn(k: int, n_chunks: int):
+def _knn_block(qx, qi, cand_x, cand_i, k):
+    """Exact k nearest candidates (excluding self) for a block of queries: (rows, exact dists)."""
+    d2 = (qx * qx).sum(1)[:, None] + (cand_x * cand_x).sum(1)[None, :] - 2.0 * qx @ cand_x.T
+    d2[qi[:, None] == cand_i[None, :]] = np.inf
+    out = []
+    for r in range(len(qi)):
+        finite = np.isfinite(d2[r])
+        kk = min(k, int(finite.sum()))
+        if kk == 0:
+            out.append((np.array([], dtype=np.int64), np.array([])))
+            continue
+        # a few extra by the expanded form, then exact distances decide (ties by index)
+        m = min(int(finite.sum()), kk + 8)
+        idx = np.argpartition(d2[r], m - 1)[:m]
+        idx = idx[np.isfinite(d2[r, idx])]
+        exact = np.sqrt(((cand_x[idx] - qx[r]) ** 2).sum(1))
+        order = np.lexsort((cand_i[idx], exact))[:kk]
+        out.append((cand_i[idx][order], exact[order]))
+    return out
+
+
+def _chunk_knn(k: int, n_chunks: int, certify: bool, block: int = 256):
+    """Per target chunk: queries (``_q``) against candidates (``_cand``).
+
+    With ``certify``, a result is exact when the k-th distance fits inside the projection range
+    covered by the candidates; without it the caller guarantees coverage.
+    """
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         c = int(pdf["_tc"].iloc[0])
         q = pdf[pdf["_q"]]
-        if q.empty:
-            return pd.DataFrame({"_i": [], "_slot": [], "_j": [], "_d": [], "_ok": []})
-        cand_x = np.stack(pdf["x"].to_numpy()).astype(np.float64)
-        cand_i = pdf["_i"].to_numpy()
-        cand_p = pdf["p"].to_numpy()
-        qx = np.stack(q["x"].to_numpy()).astype(np.float64)
-        qi = q["_i"].to_numpy()
-        qp = q["p"].to_numpy()
-        lo = -np.inf if c == 0 else cand_p.min()
-        hi = np.inf if c == n_chunks - 1 else cand_p.max()
-        d2 = (qx * qx).sum(1)[:, None] + (cand_x * cand_x).sum(1)[None, :] - 2.0 * qx @ cand_x.T
-        d2[qi[:, None] == cand_i[None, :]] = np.inf
-        kk = min(k, max(0, len(cand_i) - 1))
+        cand = pdf[pdf["_cand"]].drop_duplicates("_i")
+        cols = ["_i", "_slot", "_j", "_d", "_ok"]
+        if q.empty or cand.empty:
+            return pd.DataFrame({c_: [] for c_ in cols})
+        cand_x = np.stack(cand["x"].to_numpy()).astype(np.float64)
+        cand_i = cand["_i"].to_numpy()
+        cand_p = cand["p"].to_numpy()
+        lo = -np.inf if (c == 0 or not certify) else cand_p.min()
+        hi = np.inf if (c == n_chunks - 1 or not certify) else cand_p.max()
+        qx_all = np.stack(q["x"].to_numpy()).astype(np.float64)
+        qi_all, qp_all = q["_i"].to_numpy(), q["p"].to_numpy()
         rows = []
-        for r in range(len(qi)):
-            if kk == 0:
-                rows.append((qi[r], 0, qi[r], 0.0, True))
-                continue
-            idx = np.argpartition(d2[r], kk - 1)[:kk] if kk < len(cand_i) else np.arange(len(cand_i))
-            idx = idx[np.isfinite(d2[r, idx])]
-            exact = np.sqrt(((cand_x[idx] - qx[r]) ** 2).sum(1))
-            order = np.lexsort((cand_i[idx], exact))
-            idx, exact = idx[order][:kk], exact[order][:kk]
-            rk = exact[-1] * (1 + _REL) if len(exact) else np.inf
-            ok = bool(len(exact) == kk and qp[r] - rk >= lo and qp[r] + rk <= hi)
-            for s, (j, dj) in enumerate(zip(cand_i[idx], exact)):
-                rows.append((qi[r], s, j, float(dj), ok))
-        return pd.DataFrame(rows, columns=["_i", "_slot", "_j", "_d", "_ok"])
+        for b0 in range(0, len(qi_all), block):
+            res = _knn_block(qx_all[b0:b0 + block], qi_all[b0:b0 + block], cand_x, cand_i, k)
+            for r, (js, ds) in enumerate(res):
+                qi, qp = qi_all[b0 + r], qp_all[b0 + r]
+                if len(js) == 0:
+                    rows.append((qi, 0, qi, 0.0, True))
+                    continue
+                rk = ds[-1] * (1 + _REL)
+                ok = (not certify) or bool(len(js) == k and qp - rk >= lo and qp + rk <= hi)
+                rows += [(qi, s, int(j), float(d), ok) for s, (j, d) in enumerate(zip(js, ds))]
+        return pd.DataFrame(rows, columns=cols)
     return fn
 
 
@@ -73,6 +96,7 @@ def knn_minority(pts: DataFrame, k: int = DEFAULT_K, chunk_rows: int = CHUNK_ROW
     pca = PCA(k=1, inputCol="_xv", outputCol="_pv").fit(xv)
     proj = pca.transform(xv).select("_i", "x", vector_to_array("_pv")[0].alias("p"))
     n_chunks = max(1, math.ceil(n / chunk_rows))
+    cuts: list[float] = []
     if n_chunks > 1:
         qs = proj.approxQuantile("p", [i / n_chunks for i in range(1, n_chunks)], 1e-4)
         cuts = sorted({q for q in qs if q == q})
@@ -80,30 +104,34 @@ def knn_minority(pts: DataFrame, k: int = DEFAULT_K, chunk_rows: int = CHUNK_ROW
         n_chunks = len(cuts) + 1
     else:
         proj = proj.withColumn("_c", F.lit(0.0))
-    proj = proj.withColumn("_c", F.col("_c").cast("int"))
-    # each row is a query in its own chunk and a candidate for chunks c-1, c, c+1
+    proj = materialize(proj.withColumn("_c", F.col("_c").cast("int")), "knn_points")
+    schema = "_i long, _slot int, _j long, _d double, _ok boolean"
+    # stage 1: each chunk searches itself and its two neighbours; results are certified or not
     rep = proj.select("_i", "x", "p", "_c", F.explode(F.array(F.col("_c") - 1, F.col("_c"), F.col("_c") + 1)).alias("_tc")) \
         .where((F.col("_tc") >= 0) & (F.col("_tc") < n_chunks)) \
-        .withColumn("_q", F.col("_tc") == F.col("_c")).drop("_c")
-    schema = "_i long, _slot int, _j long, _d double, _ok boolean"
-    first = rep.groupBy("_tc").applyInPandas(_chunk_knn(k, n_chunks), schema=schema)
-    first = first.persist()
+        .withColumn("_q", F.col("_tc") == F.col("_c")).withColumn("_cand", F.lit(True)).drop("_c")
+    first = materialize(rep.groupBy("_tc").applyInPandas(_chunk_knn(k, n_chunks, True), schema=schema), "knn_stage1")
     certain = first.where("_ok").drop("_ok")
     todo = first.where(~F.col("_ok")).groupBy("_i").agg(F.max("_d").alias("_r"))
-    if todo.limit(1).count() == 0:
+    todo = todo.join(proj.select("_i", "p", "_c"), "_i")
+    # stage 2 (exact): per query chunk, the projection range its uncertain rows still need
+    need = todo.groupBy("_c").agg(F.min(F.col("p") - F.col("_r")).alias("lo"), F.max(F.col("p") + F.col("_r")).alias("hi"))
+    need_rows = need.collect()                     # at most one row per chunk
+    if not need_rows:
         return certain
-    # exact fallback: projection range join (candidate buckets of width w), no candidate cap
-    w = max(1e-12, todo.agg(F.max("_r")).first()[0] or 1e-12)
-    tq = todo.join(proj.select("_i", F.col("x").alias("qx"), F.col("p").alias("qp")), "_i")
-    tq = tq.withColumn("_bk", F.explode(F.sequence(F.floor((F.col("qp") - F.col("_r")) / w).cast("long"),
-                                                 F.floor((F.col("qp") + F.col("_r")) / w).cast("long"))))
-    cand = proj.select(F.col("_i").alias("_j"), "x", "p", F.floor(F.col("p") / w).cast("long").alias("_bk"))
-    pairs = tq.join(cand, "_bk").where((F.col("_j") != F.col("_i")) & (F.abs(F.col("p") - F.col("qp")) <= F.col("_r")))
-    dist = F.sqrt(F.aggregate(F.zip_with("x", "qx", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v))
-    ranked = pairs.select("_i", "_j", dist.alias("_d")).withColumn(
-        "_slot", F.row_number().over(Window.partitionBy("_i").orderBy("_d", "_j")) - 1)
-    exact = ranked.where(F.col("_slot") < k).select("_i", F.col("_slot").cast("int"), "_j", "_d")
-    return certain.unionByName(exact)
+    edges = [-math.inf, *cuts, math.inf]
+    pairs = []                                     # (candidate chunk j, query chunk c): <= n_chunks^2
+    for r in need_rows:
+        for j in range(n_chunks):
+            if edges[j + 1] >= r["lo"] and edges[j] <= r["hi"]:
+                pairs.append((j, int(r["_c"])))
+    spark = pts.sparkSession
+    route = F.broadcast(spark.createDataFrame(pairs, "_c int, _tc int"))
+    cands = proj.join(route, "_c").select("_i", "x", "p", "_tc", F.lit(False).alias("_q"), F.lit(True).alias("_cand"))
+    queries = proj.join(todo.select("_i"), "_i").select("_i", "x", "p", F.col("_c").alias("_tc"),
+                                                         F.lit(True).alias("_q"), F.lit(False).alias("_cand"))
+    second = cands.unionByName(queries).groupBy("_tc").applyInPandas(_chunk_knn(k, n_chunks, False), schema=schema)
+    return certain.unionByName(second.drop("_ok"))
 
 
 def smote(df: DataFrame, features: str = "features", label: str = "label", id_col: str = "row_id",
