@@ -18,7 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .strategy import sized_broadcast
 
 # Fixed values that must equal the reference's for identical results.
 SWEEP_MIN_PCT, SWEEP_MAX_PCT = 5, 95       # thresholds 0.05 .. 0.95 step 0.01
@@ -36,7 +35,7 @@ def _attach(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
     """Equi-join a per-group table (one row per by-group) onto ``df``; a constant key when
     there are no groups, so the join is never a cartesian product."""
     if by:
-        return df.join(sized_broadcast(small), list(by))
+        return df.join(small, list(by))    # per-group aggregate: AQE broadcasts it by runtime size
     return df.withColumn("_k", F.lit(0)).join(F.broadcast(small.withColumn("_k", F.lit(0))), "_k").drop("_k")
 
 
@@ -77,8 +76,9 @@ def cumulative_counts(scores: DataFrame, by: Sequence[str] = (), n_blocks: int |
     offsets = totals.select(*by, "_blk",
                             F.coalesce(F.sum("_btp").over(wo), F.lit(0)).alias("_otp"),
                             F.coalesce(F.sum("_bfp").over(wo), F.lit(0)).alias("_ofp"))
-    # one row per (by-group, block): n_blocks rows without groups, else size-checked
-    offsets = F.broadcast(offsets) if not by else sized_broadcast(offsets)
+    # one row per (by-group, block): n_blocks rows without groups; with groups it is an
+    # aggregate whose runtime size AQE measures before choosing broadcast
+    offsets = F.broadcast(offsets) if not by else offsets
     out = local.join(offsets, [*by, "_blk"], "inner")
     return out.select(*by, "score", "tp", "fp",
                       (F.col("_ltp") + F.col("_otp")).cast("bigint").alias("cum_tp"),

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .strategy import row_count_at_most, sized_broadcast
 
 HASH_BUCKET_HEX_DIGITS = 3          # 4096 buckets per stratum
 MAX_LOCAL_GROUPS = 1_000_000        # group-size table small enough for the greedy fold balancer
@@ -36,8 +35,8 @@ def hash_rank(df: DataFrame, id_col: str, seed: int, strata: Sequence[str] = (),
     wo = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1) if strata else \
         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*strata, "_b", F.coalesce(F.sum("_nb").over(wo), F.lit(0)).alias("_off"))
-    # at most 16^digits rows per stratum; broadcast when the stratum count keeps it small
-    offsets = sized_broadcast(offsets, 2_000_000)
+    # at most 16^digits rows per stratum. It is an aggregate, so AQE sees its exact size when the
+    # shuffle stage completes and broadcasts it then; counting it first would cost a full pass.
     local = F.row_number().over(Window.partitionBy(*strata, "_b").orderBy("_h", id_col)) - 1
     ranked = h.withColumn("_loc", local).join(offsets, [*strata, "_b"], "inner")
     return ranked.withColumn(out, (F.col("_off") + F.col("_loc")).cast("bigint")).drop("_h", "_b", "_loc", "_off")
@@ -95,26 +94,32 @@ def greedy_group_folds(sizes: list[tuple], k: int) -> dict:
     return out
 
 
+def _group_folds(df: DataFrame, group: str, k: int, max_local_groups: int) -> tuple[DataFrame, bool]:
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    rows = sizes.limit(max_local_groups + 1).collect()     # stops after max_local_groups + 1 groups
+    if len(rows) <= max_local_groups:
+        assign = greedy_group_folds([(r[group], r["n"]) for r in rows], k)
+        schema = T.StructType([*sizes.schema.fields, T.StructField("fold", T.IntegerType())])
+        table = df.sparkSession.createDataFrame([(r[group], r["n"], assign[r[group]]) for r in rows], schema)
+        return table, True
+    return sizes.withColumn("fold", F.pmod(F.xxhash64(F.col(group)), F.lit(k)).cast("int")), False
+
+
 def group_fold_table(df: DataFrame, group: str, k: int = 5, max_local_groups: int = MAX_LOCAL_GROUPS) -> DataFrame:
     """(group, n, fold): groups never split, folds balanced by row count.
 
-    The group-size table is a partial aggregate. When it is proven to hold at most
-    ``max_local_groups`` rows, the greedy balancer runs on it (group-sized, never row-sized);
+    The group-size table is a partial aggregate. When it has at most ``max_local_groups`` rows
+    (checked by a bounded read), the greedy balancer runs on it (group-sized, never row-sized);
     beyond that, folds are ``pmod(xxhash64(group), k)``, which balances by law of large numbers.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    if row_count_at_most(sizes, max_local_groups):
-        rows = [(r[group], r["n"]) for r in sizes.collect()]
-        assign = greedy_group_folds(rows, k)
-        spark = df.sparkSession
-        schema = T.StructType([*sizes.schema.fields, T.StructField("fold", T.IntegerType())])
-        return spark.createDataFrame([(g, n, assign[g]) for g, n in rows], schema)
-    return sizes.withColumn("fold", F.pmod(F.xxhash64(F.col(group)), F.lit(k)).cast("int"))
+    return _group_folds(df, group, k, max_local_groups)[0]
 
 
 def group_kfold(df: DataFrame, group: str, k: int = 5, out: str = "fold",
                 max_local_groups: int = MAX_LOCAL_GROUPS) -> DataFrame:
-    folds = group_fold_table(df, group, k, max_local_groups).select(group, F.col("fold").alias(out))
-    folds = sized_broadcast(folds, max_local_groups)
+    table, local = _group_folds(df, group, k, max_local_groups)
+    folds = table.select(group, F.col("fold").alias(out))
+    if local:
+        folds = F.broadcast(folds)      # at most max_local_groups rows; the hashed table is left to AQE
     a, b = df.alias("_d"), folds.alias("_f")
     return a.join(b, a[group].eqNullSafe(b[group]), "left").select("_d.*", F.col(f"_f.{out}"))
