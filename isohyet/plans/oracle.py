@@ -240,6 +240,9 @@ ORACLE: dict[str, str] = {
     "read_panel": rounded(PANEL_SQL, PANEL_D),
     "enrich_left_join": rounded(MERGED_SQL, PANEL_D + ["elev"]),
     "month_start_date": rounded(DATED_PANEL_SQL, PANEL_D),
+    "parse_date_strict": rounded(
+        f"SELECT * REPLACE (CAST(strptime(strftime(date, '%Y-%m-%d'), '%Y-%m-%d') AS TIMESTAMP) AS date) "
+        f"FROM ({DATED_PANEL_SQL}) d", PANEL_D),
     "spatial_block": rounded(
         f"SELECT loc_id, LAT, LON, YEAR, MONTH, {block_expr(50.0)} AS block_id, {block_expr(100.0)} AS block_id_100 "
         f"FROM ({PANEL_SQL}) p", ["LAT", "LON"]),

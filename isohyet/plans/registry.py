@@ -51,6 +51,13 @@ def q_month_start_date(spark, sf):
     return _dated(spark, sf)
 
 
+def q_parse_date_strict(spark, sf):
+    """Dates written as text (as a CSV round trip leaves them) parsed back; fails on bad values."""
+    from ..functions.scalar import parse_date_strict
+    text = _dated(spark, sf).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    return parse_date_strict(text, "date").withColumn("date", F.col("date").cast("timestamp_ntz"))
+
+
 def q_spatial_block(spark, sf):
     return fixtures.panel(spark, sf).select(
         "loc_id", "LAT", "LON", "YEAR", "MONTH",
@@ -249,6 +256,7 @@ for _name, _fn in [
     ("read_panel", q_read_panel),
     ("enrich_left_join", q_enrich_left_join),
     ("month_start_date", q_month_start_date),
+    ("parse_date_strict", q_parse_date_strict),
     ("spatial_block", q_spatial_block),
     ("zscore_by_group", q_zscore_by_group),
     ("lag_features", q_lag_features),
