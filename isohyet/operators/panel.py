@@ -3,10 +3,11 @@
 Design notes (scale):
 - All ordered features of one window spec are produced in ONE select, so Catalyst plans a
   single exchange on the site keys and a single sort for the lot.
-- The climatology percentile is a partial (map-side) aggregate per (site, calendar month)
-  joined back to the rows; the aggregate is tiny compared with the panel, so AQE turns the
-  join into a broadcast from runtime statistics, and when it is not tiny, the sort-merge
-  join's skewed partitions are split by AQE (the aggregate side is unique per key).
+- The climatology percentile has two forms. After the window features the rows are already
+  hash-partitioned by site, which also clusters (site, month), so a percentile window adds
+  no exchange (the default chain). The aggregate form (a partial per-(site, month)
+  aggregate joined back, which AQE broadcasts or skew-splits) goes with the skew-safe
+  features, so no task ever holds a whole group.
 - ``strategy="range"`` computes the ordered features without putting a whole site in one
   task: see ``ordered_features_range``.
 """
@@ -160,10 +161,16 @@ def climatology_percentile(df: DataFrame, value: str, keys: Sequence[str], p: fl
 
 def event_label(df: DataFrame, value: str = "precip", keys: Sequence[str] = DEFAULT_KEYS,
                 month_col: str | None = "MONTH", date_col: str | None = None, p: float = 20.0,
-                label: str = "sequia", broadcast_max_rows: int | None = None) -> DataFrame:
+                label: str = "sequia", broadcast_max_rows: int | None = None,
+                method: str = "aggregate") -> DataFrame:
     """``label = value <= percentile_p(value | site, calendar month)``; ties count, null -> 0.
 
     Adds ``ppt_pctl`` and ``label``. Fails if the value column is entirely null.
+
+    ``method="aggregate"``: partial aggregate per (site, month) joined back; no task ever holds
+    a whole group. ``method="window"``: the percentile over a (site, month) window; when the input
+    is already hash-partitioned by the site keys (after the window features), this needs no
+    new exchange at all, since site partitioning also clusters (site, month).
     """
     for c in [value, *keys]:
         if c not in df.columns:
@@ -179,6 +186,11 @@ def event_label(df: DataFrame, value: str = "precip", keys: Sequence[str] = DEFA
     mkey = "_month_resolved_"
     base = df.withColumn(mkey, month)
     gkeys = [*keys, mkey]
+    if method == "window":
+        pct = F.percentile(F.col(value), F.lit(p / 100.0)).over(Window.partitionBy(*gkeys))
+        out = base.withColumn("ppt_pctl", pct).drop(mkey)
+        return out.withColumn(label, F.coalesce((F.col(value) <= F.col("ppt_pctl")).cast("bigint"),
+                                                F.lit(0).cast("bigint")))
     clim = climatology_percentile(base, value, gkeys, p)
     if broadcast_max_rows is not None:
         clim = sized_broadcast(clim, broadcast_max_rows)

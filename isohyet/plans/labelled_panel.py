@@ -39,5 +39,9 @@ def featured_panel(spark: SparkSession, sf_dir: str, cols: Sequence[str] = FEATU
 
 
 def labelled_panel(spark: SparkSession, sf_dir: str, p: float = 20.0, **kw) -> DataFrame:
+    """Window features are already site-partitioned, so the label window adds no exchange; the
+    skew-safe features use the aggregate form so no task holds a whole (site, month) group."""
     df = featured_panel(spark, sf_dir, **kw)
-    return event_label(df, value="precip", keys=("LAT", "LON"), month_col="MONTH", p=p, label="sequia")
+    method = "aggregate" if kw.get("strategy") == "range" else "window"
+    return event_label(df, value="precip", keys=("LAT", "LON"), month_col="MONTH", p=p, label="sequia",
+                       method=method)

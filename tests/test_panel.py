@@ -93,3 +93,14 @@ def test_skew_safe_strategy_equals_window_strategy(spark):
     ra = a.select([F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in a.dtypes])
     rb = b.select([F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in b.dtypes])
     assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
+
+
+def test_label_window_and_aggregate_forms_agree(spark):
+    rng = np.random.default_rng(11)
+    rows = [(float(s), 0.0, dt.date(2000 + y, m, 1), float(rng.integers(0, 9)) if rng.random() > 0.1 else None, m)
+            for s in range(3) for y in range(6) for m in (1, 2, 3)]
+    rows.append((None, 0.0, dt.date(2001, 1, 1), 2.0, 1))
+    df = _panel(spark, rows)
+    a = event_label(df, value="x", month_col="MONTH", p=20, method="window")
+    b = event_label(df, value="x", month_col="MONTH", p=20, method="aggregate")
+    assert a.exceptAll(b.select(*a.columns)).count() == 0 and b.select(*a.columns).exceptAll(a).count() == 0
