@@ -6,8 +6,9 @@
    (Arrow-batched numpy inside ``applyInPandas``). Because a projection onto a unit vector
    never lengthens a distance, a row whose k-th distance r fits inside the searched
    projection range is certified exact. For the remaining rows, every minority row whose
-   projection lies within r of theirs is routed to their chunk (no cap) and searched the same
-   way, so every result is exact.
+   projection lies within r of theirs is a candidate (no cap): candidates are searched one
+   (query chunk, candidate chunk) pair per task, so no task holds more than two chunks, and
+   the partial top-k lists are merged per row. Every result is exact.
 2. ``n_major - n_minor`` synthetic rows ``x + u * (nn - x)``: sample j picks its base row,
    neighbour slot and gap from seeded hashes of j, so generation is an equi-join spread over
    all tasks, never a driver loop.
@@ -80,7 +81,8 @@ def _chunk_knn(k: int, n_chunks: int, certify: bool, block: int = 256):
             for r, (js, ds) in enumerate(res):
                 qi, qp = qi_all[b0 + r], qp_all[b0 + r]
                 if len(js) == 0:
-                    rows.append((qi, 0, qi, 0.0, True))
+                    if certify:   # nothing to compare with here: uncertain with unbounded radius
+                        rows.append((qi, -1, qi, float("inf"), False))
                     continue
                 rk = ds[-1] * (1 + _REL)
                 ok = (not certify) or bool(len(js) == k and qp - rk >= lo and qp + rk <= hi)
@@ -126,12 +128,18 @@ def knn_minority(pts: DataFrame, k: int = DEFAULT_K, chunk_rows: int = CHUNK_ROW
             if edges[j + 1] >= r["lo"] and edges[j] <= r["hi"]:
                 pairs.append((j, int(r["_c"])))
     spark = pts.sparkSession
-    route = F.broadcast(spark.createDataFrame(pairs, "_c int, _tc int"))
-    cands = proj.join(route, "_c").select("_i", "x", "p", "_tc", F.lit(False).alias("_q"), F.lit(True).alias("_cand"))
-    queries = proj.join(todo.select("_i"), "_i").select("_i", "x", "p", F.col("_c").alias("_tc"),
-                                                         F.lit(True).alias("_q"), F.lit(False).alias("_cand"))
-    second = cands.unionByName(queries).groupBy("_tc").applyInPandas(_chunk_knn(k, n_chunks, False), schema=schema)
-    return certain.unionByName(second.drop("_ok"))
+    route = F.broadcast(spark.createDataFrame(pairs, "_cj int, _tc int"))
+    # one task per (query chunk, candidate chunk): both sides at most ~chunk_rows rows
+    cands = proj.select("_i", "x", "p", F.col("_c").alias("_cj")).join(route, "_cj") \
+        .select("_i", "x", "p", "_tc", "_cj", F.lit(False).alias("_q"), F.lit(True).alias("_cand"))
+    queries = proj.join(todo.select("_i"), "_i").select("_i", "x", "p", F.col("_c").alias("_tc")) \
+        .join(route, "_tc").select("_i", "x", "p", "_tc", "_cj", F.lit(True).alias("_q"), F.lit(False).alias("_cand"))
+    partial = cands.unionByName(queries).groupBy("_tc", "_cj") \
+        .applyInPandas(_chunk_knn(k, n_chunks, False), schema=schema)
+    # merge partial top-k lists: at most k x (candidate chunks) rows per query
+    best = partial.withColumn("_r", F.row_number().over(Window.partitionBy("_i").orderBy("_d", "_j"))) \
+        .where(F.col("_r") <= k).select("_i", (F.col("_r") - 1).cast("int").alias("_slot"), "_j", "_d")
+    return certain.unionByName(best)
 
 
 def smote(df: DataFrame, features: str = "features", label: str = "label", id_col: str = "row_id",

@@ -70,3 +70,15 @@ def test_streaming_scoring_matches_batch(spark, tmp_path):
     got = spark.read.parquet(sink).select("row_id", "prob_sequia").toPandas().sort_values("row_id")
     want = score(m, df, ["a"]).select("row_id", "prob_sequia").toPandas().sort_values("row_id")
     assert len(got) == n and np.allclose(got["prob_sequia"].to_numpy(), want["prob_sequia"].to_numpy())
+
+
+def test_knn_exact_with_isolated_points_and_tiny_chunks(spark):
+    rng = np.random.default_rng(12)
+    x = np.vstack([rng.normal(size=(150, 6)), rng.normal(size=(3, 6)) * 50])   # far outliers
+    pts = spark.createDataFrame(pd.DataFrame({"_i": np.arange(len(x)), "x": list(x)}))
+    got = knn_minority(pts, k=3, chunk_rows=8).toPandas()
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
+    np.fill_diagonal(d, np.inf)
+    assert len(got) == 3 * len(x)
+    for i in range(len(x)):
+        assert set(got[got["_i"] == i]["_j"]) == set(np.argsort(d[i], kind="stable")[:3])
