@@ -260,6 +260,7 @@ ORACLE: dict[str, str] = {
         f"SELECT LAT, LON, MONTH, quantile_cont(precip, 0.2) AS ppt_pctl "
         f"FROM ({PANEL_SQL}) p GROUP BY LAT, LON, MONTH", ["LAT", "LON", "ppt_pctl"]),
     "event_label": rounded(LABELLED_SQL, LAB_D),
+    "write_panel": rounded(LABELLED_SQL, LAB_D),
     "drop_leakage": rounded(
         f"SELECT * EXCLUDE (precip, precip__z, precip__roll3m, precip__roll6m, ppt_pctl) FROM ({LABELLED_SQL}) l",
         [c for c in LAB_D if c not in ("precip", "precip__z", "precip__roll3m", "precip__roll6m", "ppt_pctl")]),

@@ -105,6 +105,16 @@ def q_drop_leakage(spark, sf):
     return drop_leakage(LP.labelled_panel(spark, sf), source="precip", threshold_col="ppt_pctl")
 
 
+def q_write_panel(spark, sf):
+    """CSV round trip of the labelled panel (the reference's step boundary), read back with
+    its schema; NaN -> null on load."""
+    from ..sources.io import read_panel, write_panel
+    lab = LP.labelled_panel(spark, sf)
+    path = scratch_path(spark, "panel_csv")
+    write_panel(lab, path, fmt="csv")
+    return read_panel(spark, path, schema=lab.schema, fmt="csv")
+
+
 def q_target_balance(spark, sf):
     return PR.target_balance(LP.labelled_panel(spark, sf), "sequia")
 
@@ -267,6 +277,7 @@ for _name, _fn in [
     ("climatology_percentile", q_climatology_percentile),
     ("event_label", q_event_label),
     ("drop_leakage", q_drop_leakage),
+    ("write_panel", q_write_panel),
     ("target_balance", q_target_balance),
     ("label_prevalence", q_label_prevalence),
     ("schema_profile", q_schema_profile),

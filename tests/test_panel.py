@@ -104,3 +104,11 @@ def test_label_window_and_aggregate_forms_agree(spark):
     a = event_label(df, value="x", month_col="MONTH", p=20, method="window")
     b = event_label(df, value="x", month_col="MONTH", p=20, method="aggregate")
     assert a.exceptAll(b.select(*a.columns)).count() == 0 and b.select(*a.columns).exceptAll(a).count() == 0
+
+
+def test_month_from_date_when_no_month_column(spark):
+    rows = [(0.0, 0.0, dt.date(2000 + i, 1 + (i % 2), 1), float(i), 1) for i in range(8)]
+    df = _panel(spark, rows).drop("MONTH")
+    out = event_label(df, value="x", month_col="MONTH", date_col="date", p=50).orderBy("date").toPandas()
+    jan = out[out["date"].map(lambda d: d.month) == 1]
+    assert np.isclose(jan["ppt_pctl"].iloc[0], np.percentile([0.0, 2.0, 4.0, 6.0], 50))
