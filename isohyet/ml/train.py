@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 from typing import Any
 
@@ -32,6 +33,17 @@ from .smote import smote
 from .stages import DropColumns, MeanOfColumns, PlattScaler, PositiveProbability
 
 METRIC_NAMES = ("pr_auc", "roc_auc", "f1", "recall", "precision")
+# Independent fits (folds, trials) submitted concurrently, as Spark's CrossValidator does with
+# its ``parallelism``: each fit is a set of small distributed jobs that alone does not fill
+# the cluster. Results are collected in fold / trial order, so outputs do not depend on it.
+DEFAULT_PARALLEL_FITS = 3
+
+
+def _in_parallel(fn, items, parallelism: int):
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        return list(pool.map(fn, items))
 
 
 @dataclass
@@ -101,7 +113,8 @@ def fit_calibrator(scored: DataFrame, raw: str, label: str, method: str, out: st
     raise ValueError(f"unknown calibration {method!r}")
 
 
-def fit_model(train: DataFrame, features: list[str], label: str, id_col: str, spec: ModelSpec) -> PipelineModel:
+def fit_model(train: DataFrame, features: list[str], label: str, id_col: str, spec: ModelSpec,
+              parallelism: int = DEFAULT_PARALLEL_FITS) -> PipelineModel:
     """Uncalibrated: one base model. Calibrated: K inner stratified folds, each fits the base
     model on K-1 parts and a calibrator on the held-out part; the output averages the K."""
     if not spec.calibration:
@@ -109,13 +122,16 @@ def fit_model(train: DataFrame, features: list[str], label: str, id_col: str, sp
         return PipelineModel(stages=[*base.stages, MeanOfColumns(inputCols=["_p0"], outputCol="prob")])
     train = train.select(id_col, label, *features)
     inner = stratified_kfold(train, label, id_col, k=spec.inner_cv, seed=spec.seed, out="_inner").persist()
-    stages, outs = [], []
-    for i in range(spec.inner_cv):
+    def one(i: int):
         tr = inner.where(F.col("_inner") != i).drop("_inner")
         ho = inner.where(F.col("_inner") == i).drop("_inner")
         base = fit_base(tr, features, label, id_col, spec, tag=str(i))
         cal = fit_calibrator(base.transform(ho), f"_p{i}", label, spec.calibration, f"_c{i}")
-        stages += [*base.stages, cal, DropColumns(cols=[f"_p{i}"])]
+        return [*base.stages, cal, DropColumns(cols=[f"_p{i}"])]
+
+    stages, outs = [], []
+    for i, st in enumerate(_in_parallel(one, list(range(spec.inner_cv)), parallelism)):
+        stages += st
         outs.append(f"_c{i}")
     inner.unpersist()
     return PipelineModel(stages=[*stages, MeanOfColumns(inputCols=outs, outputCol="prob")])
@@ -130,15 +146,17 @@ def assign_folds(df: DataFrame, label: str, id_col: str, group_col: str | None,
 
 
 def oof_predictions(df: DataFrame, features: list[str], label: str, id_col: str, spec: ModelSpec,
-                    group_col: str | None = None, k: int = 5) -> DataFrame:
+                    group_col: str | None = None, k: int = 5, parallelism: int = DEFAULT_PARALLEL_FITS) -> DataFrame:
     """Every row scored by the model that did not see its fold: (id, fold, label, prob)."""
     require_binary(df, label)
     folded = assign_folds(df, label, id_col, group_col, k, spec.seed).persist()
-    parts = []
-    for f in range(k):
-        model = fit_model(folded.where(F.col("fold") != f), features, label, id_col, spec)
-        test = folded.where(F.col("fold") == f)
-        parts.append(model.transform(test).select(id_col, "fold", label, "prob"))
+
+    def one(f: int):
+        # inner calibration folds run serially here: the outer folds already run side by side
+        model = fit_model(folded.where(F.col("fold") != f), features, label, id_col, spec, parallelism=1)
+        return model.transform(folded.where(F.col("fold") == f)).select(id_col, "fold", label, "prob")
+
+    parts = _in_parallel(one, list(range(k)), parallelism)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -152,9 +170,10 @@ def fold_metrics(oof: DataFrame, label: str, th: float = 0.5) -> DataFrame:
 
 
 def cross_validate(df: DataFrame, features: list[str], label: str, id_col: str, spec: ModelSpec,
-                   group_col: str | None = None, k: int = 5, th: float = 0.5) -> tuple[DataFrame, DataFrame]:
+                   group_col: str | None = None, k: int = 5, th: float = 0.5,
+                   parallelism: int = DEFAULT_PARALLEL_FITS) -> tuple[DataFrame, DataFrame]:
     """(per-fold metrics, mean/std summary)."""
-    per_fold = fold_metrics(oof_predictions(df, features, label, id_col, spec, group_col, k), label, th)
+    per_fold = fold_metrics(oof_predictions(df, features, label, id_col, spec, group_col, k, parallelism), label, th)
     return per_fold, cv_summary(per_fold, list(METRIC_NAMES))
 
 
@@ -229,21 +248,23 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: list[s
 def hyperparameter_search(df: DataFrame, features: list[str], label: str, id_col: str, kind: str = "rf",
                           n_trials: int = 20, timeout_s: float | None = None, group_col: str | None = None,
                           k: int = 5, sampler: str = "smote", seed: int = 42,
-                          space: dict | None = None) -> tuple[DataFrame, dict]:
+                          space: dict | None = None, parallelism: int = DEFAULT_PARALLEL_FITS) -> tuple[DataFrame, dict]:
     """Seeded random search maximising mean CV average precision. Returns (trials, best).
 
     Trials run one after another; each trial's fits are distributed Spark jobs."""
     rng = np.random.default_rng(seed)
+    draws = [sample_params(kind, rng, space) for _ in range(n_trials)]   # fixed by the seed
     t0 = time.time()
-    trials = []
-    for t in range(n_trials):
+
+    def one(t: int):
         if timeout_s is not None and time.time() - t0 > timeout_s:
-            break
-        params = sample_params(kind, rng, space)
-        spec = ModelSpec(kind=kind, params=params, sampler=sampler, calibration=None, seed=seed)
-        per_fold, _ = cross_validate(df, features, label, id_col, spec, group_col, k)
+            return None
+        spec = ModelSpec(kind=kind, params=draws[t], sampler=sampler, calibration=None, seed=seed)
+        per_fold, _ = cross_validate(df, features, label, id_col, spec, group_col, k, parallelism=1)
         agg = per_fold.agg(F.avg("pr_auc").alias("m"), F.stddev_pop("pr_auc").alias("s")).first()
-        trials.append((t, json.dumps(params, sort_keys=True), float(agg["m"]), float(agg["s"] or 0.0)))
+        return (t, json.dumps(draws[t], sort_keys=True), float(agg["m"]), float(agg["s"] or 0.0))
+
+    trials = [r for r in _in_parallel(one, list(range(n_trials)), parallelism) if r is not None]
     spark = df.sparkSession
     table = spark.createDataFrame(trials, "trial int, params string, mean_pr_auc double, std_pr_auc double")
     best = max(trials, key=lambda r: (r[2], -r[0]))
