@@ -30,7 +30,7 @@ def main() -> None:
     from isohyet.plans import ml_queries as MLQ
     from isohyet.plans.registry import QUERIES
 
-    headline = ["event_label", "add_features", "schema_profile", "target_correlation", "column_histogram",
+    headline = ["event_label", "add_features", "add_features_skew_safe", "schema_profile", "target_correlation", "column_histogram",
                 "correlation_matrix_topk", "average_precision", "roc_curve", "threshold_by_fold", "cv_summary",
                 "stratified_kfold", "sample_groups", "group_kfold"]
     if os.environ.get("BENCH_MODELS", "1") != "0":

@@ -112,3 +112,14 @@ def test_month_from_date_when_no_month_column(spark):
     out = event_label(df, value="x", month_col="MONTH", date_col="date", p=50).orderBy("date").toPandas()
     jan = out[out["date"].map(lambda d: d.month) == 1]
     assert np.isclose(jan["ppt_pctl"].iloc[0], np.percentile([0.0, 2.0, 4.0, 6.0], 50))
+
+
+def test_parse_date_strict_rejects_bad_values(spark):
+    import pytest
+
+    from isohyet.functions.scalar import parse_date_strict
+    good = spark.createDataFrame([("2001-02-01",), (None,)], "d string")
+    assert parse_date_strict(good, "d").where("d is not null").count() == 1
+    bad = spark.createDataFrame([("2001-02-01",), ("not a date",)], "d string")
+    with pytest.raises(ValueError):
+        parse_date_strict(bad, "d")
