@@ -11,15 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import drop_leakage, month_start_date, round_doubles, spatial_block
-from ..operators import panel as P
+from ..functions.scalar import drop_leakage, month_start_date, round_doubles, spatial_block, threshold_predict
 from ..operators import metrics as M
+from ..operators import panel as P
 from ..operators import profile as PR
 from ..operators import ranking as RK
-from ..functions.scalar import threshold_predict
 from ..session import materialize, scratch_path
-from ..sources.io import read_metrics, write_metrics
 from ..sources import fixtures
+from ..sources.io import read_metrics, write_metrics
 from . import labelled_panel as LP
 
 Query = Callable[[SparkSession, str], DataFrame]
