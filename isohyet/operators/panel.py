@@ -113,6 +113,22 @@ def rolling_mean_past_columns(cols: Sequence[str], keys: Sequence[str], order: S
     return out
 
 
+def choose_strategy(df: DataFrame, keys: Sequence[str], n_parts: int | None = None) -> str:
+    """``"range"`` when some site holds more rows than one shuffle partition's fair share
+    (its window task would dominate the stage), else ``"window"``.
+
+    One partial aggregate of per-site counts (a pruned scan of the key columns) decides it;
+    only a single summary row reaches the driver.
+    """
+    spark = df.sparkSession
+    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .agg(F.max("_n").alias("mx"), F.sum("_n").alias("tot")).first())
+    if row is None or not row["tot"]:
+        return "window"
+    return "range" if row["mx"] > max(1.0, row["tot"] / max(n, 1)) else "window"
+
+
 def add_features(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = DEFAULT_KEYS,
                  date_col: str | None = "date", tiebreak: Sequence[str] = (),
                  lags: Sequence[int] = DEFAULT_LAGS, windows: Sequence[int] = DEFAULT_WINDOWS,
@@ -121,6 +137,8 @@ def add_features(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = DEFAU
 
     ``tiebreak`` columns make the row order total when a site has duplicate dates.
     Column order: input, ``__z`` block, then per lag, per window, then past rolls.
+    ``strategy``: ``"window"`` (one exchange, a site per task), ``"range"`` (skew-safe, see
+    ``ordered.py``) or ``"auto"`` (``choose_strategy``). All give identical rows.
     """
     keys = list(keys)
     for k in keys:
@@ -134,6 +152,8 @@ def add_features(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = DEFAU
     if date_col not in df.columns:
         raise ValueError(f"Date column '{date_col}' not found in dataset.")
     order = [date_col, *tiebreak]
+    if strategy == "auto":
+        strategy = choose_strategy(df, keys)
     if strategy == "range":
         from .ordered import ordered_features_range
         return ordered_features_range(df, cols, keys, order, lags, windows)

@@ -84,7 +84,7 @@ def q_rolling_mean_past(spark, sf):
 
 
 def q_add_features(spark, sf):
-    return LP.featured_panel(spark, sf)
+    return LP.featured_panel(spark, sf, strategy="window")
 
 
 def q_add_features_skew_safe(spark, sf):

@@ -123,3 +123,11 @@ def test_parse_date_strict_rejects_bad_values(spark):
     bad = spark.createDataFrame([("2001-02-01",), ("not a date",)], "d string")
     with pytest.raises(ValueError):
         parse_date_strict(bad, "d")
+
+
+def test_auto_strategy_detects_a_hot_site(spark):
+    from isohyet.operators.panel import choose_strategy
+    even = spark.createDataFrame([(float(i % 50), 0.0) for i in range(500)], "LAT double, LON double")
+    hot = spark.createDataFrame([(0.0 if i < 200 else float(i % 50), 0.0) for i in range(600)], "LAT double, LON double")
+    assert choose_strategy(even, ["LAT", "LON"], n_parts=4) == "window"
+    assert choose_strategy(hot, ["LAT", "LON"], n_parts=4) == "range"
