@@ -32,8 +32,10 @@ def hash_rank(df: DataFrame, id_col: str, seed: int, strata: Sequence[str] = (),
     h = df.withColumn("_h", stable_hash(id_col, seed)).withColumn(
         "_b", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int"))
     counts = h.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    wo = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1) if strata else \
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # offsets over the count table only (<= 16^digits rows per stratum, never the data rows);
+    # without strata the whole table is one such small group
+    wo = (Window.partitionBy(*strata) if strata else Window.partitionBy(F.lit(0))).orderBy("_b") \
+        .rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*strata, "_b", F.coalesce(F.sum("_nb").over(wo), F.lit(0)).alias("_off"))
     # at most 16^digits rows per stratum. It is an aggregate, so AQE sees its exact size when the
     # shuffle stage completes and broadcasts it then; counting it first would cost a full pass.
