@@ -239,6 +239,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """The documents' own columns with one row for each near-duplicate group.
+
+    Rows that repeat a kept ``doc_id`` are copies when their sets are equal, and one stays.
+    """
+    name = "__doc_id"
+    kept = near_duplicates(docs, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias(name)).distinct()
+    # One row of each id: the join already deals rows by id, so this adds no shuffle.
+    one = docs.where("doc_id is not null").withColumn(name, F.col("doc_id").cast("long")) \
+        .join(kept, name, "left_semi").dropDuplicates([name]).select(*docs.columns)
+    return one.unionByName(docs.where("doc_id is null"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
