@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from isohyet.llm import minhash_dedup, quality_rules
+from isohyet.llm import decontaminate, minhash_dedup, pieces, quality_rules, substring_dedup
 
 QUERIES = {
+    "op1_sentencepiece": pieces.op1_sentencepiece,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_minhash_dedup": minhash_dedup.op6_minhash_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 ORACLE = {
+    "op4_decontaminate": decontaminate.SQL,
     "op6_minhash_dedup": minhash_dedup.SQL,
     "op10_quality_rules": quality_rules.SQL,
 }
