@@ -28,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from isohyet.llm import common as C
@@ -128,32 +128,37 @@ def _confirmed(percent: int):
     return run
 
 
+def _counted(df: DataFrame, name: str, *hashed: str) -> tuple[DataFrame, str, tuple]:
+    """Write a table and learn its row count and an order-free digest of its rows in the same job."""
+    seen = Observation()
+    digest = F.sum(F.xxhash64(*hashed).cast("decimal(38,0)")) if hashed else F.lit(0)
+    out, path = C.written(df.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("d")), name)
+    return out, path, (seen.get["n"], seen.get["d"])
+
+
 def components(edges: DataFrame) -> tuple[DataFrame, str]:
     """(node, comp) for every node of the edges (x, y): comp is the smallest node reachable.
 
     Large-star and small-star alternate; minima per node are combined before the shuffle and no
-    neighbourhood is ever gathered, so a hub only makes a hot join key. Each step is written to
-    the shared folder. Returns the written table and its path.
+    neighbourhood is ever gathered, so a hub only makes a hot join key. Each round is one job,
+    written to the shared folder. Returns the written table and its path.
     """
     spark = edges.sparkSession
-    cur, path = C.written(edges.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "cc")
-    before = None
+    cur, path, before = _counted(edges.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "cc", "u", "v")
     while True:
         both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large, lp = C.written(large, "cc")
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
+        # Each node and its neighbours go to the smallest of them; (v, m) also for v = m's own row, which drops out.
         small = large.join(low2, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")) \
             .select("e.u", "e.v").where("u <> v").distinct()
-        small, sp = C.written(small, "cc")
-        now = tuple(small.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        C.drop_written(spark, path, lp)
-        cur, path = small, sp
+        cur, new, now = _counted(small, "cc", "u", "v")
+        C.drop_written(spark, path)
+        path = new
         if now == before:
-            out, op = C.written(cur.groupBy("u").agg(F.min("v").alias("comp")).withColumnRenamed("u", "node"), "components")
-            C.drop_written(spark, path)
-            return out, op
+            # At the fixed point every node has one edge, to the root of its star.
+            return cur.union(cur.select(F.col("v").alias("u"), "v")).distinct().select(F.col("u").alias("node"), F.col("v").alias("comp")), path
         before = now
 
 
@@ -178,14 +183,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     named = desc.where("fp is not null and doc_id is not null")
     reps = put(named.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "minhash-classes")
     sigs = reps.select("rep", "sig")
-    keys = put(sigs.mapInArrow(_band_keys, "rep long, band int, key long"), "minhash-bands")
+    active = sigs.mapInArrow(_band_keys, "rep long, band int, key long")
     least = int(np.floor(HASHES * percent / 100 - 6 * np.sqrt(HASHES * percent / 100 * (1 - percent / 100))))
+    # Buckets of one class have nothing to compare and go before the first round.
+    active = put(active.join(active.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("key"), "key", "left_semi"), "minhash-bands")
 
-    edges: DataFrame | None = None
     comps: DataFrame | None = None
-    # Buckets of one class have nothing to compare and go before the first round.
-    shared = put(keys.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("key"), "minhash-shared")
-    active = put(keys.join(shared, "key", "left_semi"), "minhash-active")
     rounds = 0
     while True:
         rows = active.where(F.col("band") < FIRST_BANDS) if rounds == 0 else active
@@ -193,36 +196,41 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             rows = rows.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
         else:
             rows = rows.withColumn("comp", F.col("rep"))
-        rows = put(rows.select("rep", "band", "key", "comp"), "minhash-rows")
-        open_keys = put(rows.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key"), "minhash-open")
-        rows = put(rows.join(open_keys, "key", "left_semi"), "minhash-rows")
-        if rows.isEmpty():
-            if rounds:
-                break
-            rounds += 1
-            continue
+        rows = rows.select("rep", "band", "key", "comp")
+        if rounds:  # buckets that still span two components
+            rows = rows.join(rows.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key"), "key", "left_semi")
+        rows, path, (n, _) = _counted(rows, "minhash-rows")
+        trash.append(path)
+        if rounds and not n:
+            break
         # One leader per (bucket, salt); the number of salts doubles from round to round.
         salts = 1 << max(0, rounds - 1)
         order = F.xxhash64("key", "rep", F.lit(rounds))
-        leaders = put(rows.groupBy("key", F.pmod(order, F.lit(salts)).alias("salt"))
-                      .agg(F.min(F.struct(order.alias("o"), "rep", "comp")).alias("l"))
-                      .select("key", F.col("l.rep").alias("y"), F.col("l.comp").alias("yc")), "minhash-leaders")
+        leaders = rows.groupBy("key", F.pmod(order, F.lit(salts)).alias("salt")) \
+            .agg(F.min(F.struct(order.alias("o"), "rep", "comp")).alias("l")) \
+            .select("key", F.col("l.rep").alias("y"), F.col("l.comp").alias("yc"))
         pairs = rows.join(leaders, "key").where("comp <> yc").select(F.col("rep").alias("x"), "y").distinct()
-        near = put(pairs.join(sigs.select(F.col("rep").alias("x"), F.col("sig").alias("p")), "x")
-                   .join(sigs.select(F.col("rep").alias("y"), F.col("sig").alias("q")), "y")
-                   .select("x", "y", "p", "q").mapInArrow(_agreeing(least), "x long, y long, same int"), "minhash-near")
+        near = pairs.join(sigs.select(F.col("rep").alias("x"), F.col("sig").alias("p")), "x") \
+            .join(sigs.select(F.col("rep").alias("y"), F.col("sig").alias("q")), "y") \
+            .select("x", "y", "p", "q").mapInArrow(_agreeing(least), "x long, y long, same int")
         if rounds == 0:
             # The closest leader first: one exact check per class joins most of them.
-            near = put(near.groupBy("x").agg(F.max(F.struct("same", "y")).alias("b")).select("x", F.col("b.y").alias("y")), "minhash-near")
-        want = put(near.select(F.col("x").alias("doc_id")).union(near.select("y")).distinct(), "minhash-want")
-        sets = put(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(want, "doc_id", "left_semi")
-                   .mapInArrow(_sets, "rep long, s binary"), "minhash-full")
-        found = put(near.join(sets.select(F.col("rep").alias("x"), F.col("s").alias("p")), "x")
-                    .join(sets.select(F.col("rep").alias("y"), F.col("s").alias("q")), "y")
-                    .select("x", "y", "p", "q").mapInArrow(_confirmed(percent), "x long, y long"), "minhash-links")
-        edges = found if edges is None else edges.union(found)
-        comps, cp = components(edges)
-        trash.append(cp)
+            near = near.groupBy("x").agg(F.max(F.struct("same", "y")).alias("b")).select("x", F.col("b.y").alias("y"))
+        near, path, (n, _) = _counted(near, "minhash-near")
+        trash.append(path)
+        if n:
+            want = near.select(F.col("x").alias("doc_id")).union(near.select("y")).distinct()
+            sets = put(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(want, "doc_id", "left_semi")
+                       .mapInArrow(_sets, "rep long, s binary"), "minhash-full")
+            found, path, (n, _) = _counted(near.join(sets.select(F.col("rep").alias("x"), F.col("s").alias("p")), "x")
+                                           .join(sets.select(F.col("rep").alias("y"), F.col("s").alias("q")), "y")
+                                           .select("x", "y", "p", "q").mapInArrow(_confirmed(percent), "x long, y long"), "minhash-links")
+            trash.append(path)
+        if n:
+            # What is joined already stands for its links: the stars of the last round and the new ones.
+            edges = found if comps is None else found.union(comps.where("node <> comp").select(F.col("node").alias("x"), F.col("comp").alias("y")))
+            comps, path = components(edges)
+            trash.append(path)
         if rounds:
             active = put(rows.select("rep", "band", "key").join(leaders.select("key", F.col("y").alias("rep")), ["key", "rep"], "left_anti"), "minhash-active")
         rounds += 1
@@ -232,7 +240,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         label = label.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("comp", "rep").alias("comp"))
     else:
         label = label.select("fp", F.col("rep").alias("comp"))
-    label = put(label, "minhash-labels")
     out = put(desc.select("doc_id", "n_shingles", "fp").join(label, "fp", "left")
               .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id")), "minhash-out")
     C.drop_written(spark, *trash[:-1])

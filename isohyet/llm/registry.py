@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from isohyet.llm import decontaminate, minhash_dedup, pieces, quality_rules, substring_dedup
+from isohyet.llm import (context_mixing, decontaminate, language_id, minhash_dedup, ordinal_quality, pieces, quality_rules, substring_dedup,
+                         tool_calls, warc)
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+    "op3_ordinal_quality": ordinal_quality.op3_ordinal_quality,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op5_warc": warc.op5_warc,
     "op6_minhash_dedup": minhash_dedup.op6_minhash_dedup,
+    "op7_context_mixing": context_mixing.op7_context_mixing,
+    "op8_tool_calls": tool_calls.op8_tool_calls,
+    "op9_language_id": language_id.op9_language_id,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 ORACLE = {
     "op4_decontaminate": decontaminate.SQL,
+    "op5_warc": warc.SQL,
     "op6_minhash_dedup": minhash_dedup.SQL,
+    "op8_tool_calls": tool_calls.SQL,
     "op10_quality_rules": quality_rules.SQL,
 }
