@@ -56,7 +56,7 @@ def month_start_date(year="YEAR", month="MONTH") -> Column:
 
 
 def parse_date_strict(df: DataFrame, col: str, fmt: str | None = None) -> DataFrame:
-    """Parse ``col`` to a timestamp; fail if any non-null value does not parse.
+    """Parse ``col`` to a timestamp; fail if any value, null included, is not a date.
 
     The check is one aggregate job over the column (pruned to that column by the scan).
     """
@@ -65,12 +65,12 @@ def parse_date_strict(df: DataFrame, col: str, fmt: str | None = None) -> DataFr
     out = df.withColumn(col, parsed)
     bad = (
         df.select(src.alias("v"), parsed.alias("p"))
-        .where(F.col("v").isNotNull() & F.col("p").isNull())
+        .where(F.col("p").isNull())
         .limit(1)
         .count()
     )
     if bad:
-        raise ValueError(f"Some values in '{col}' could not be parsed as dates.")
+        raise ValueError(f"column {col!r} holds values that are no dates")
     return out
 
 
@@ -80,7 +80,7 @@ def extract_month(df: DataFrame, month_col: str | None = "MONTH", date_col: str
         return F.col(month_col).cast("int")
     if date_col and date_col in df.columns:
         return F.month(F.col(date_col))
-    raise ValueError("Provide a month column present in the data or a date column to extract month.")
+    raise ValueError(f"no calendar month: neither {month_col!r} nor {date_col!r} is a column")
 
 
 def threshold_predict(prob="prob", th: float = 0.5) -> Column:
@@ -90,7 +90,7 @@ def threshold_predict(prob="prob", th: float = 0.5) -> Column:
 def require_columns(df: DataFrame, required: Sequence[str], what: str = "dataset") -> DataFrame:
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing columns in '{what}': {missing}. Available: {df.columns}")
+        raise ValueError(f"{what} lacks {missing}; it has {df.columns}")
     return df
 
 
@@ -99,7 +99,7 @@ def require_binary(df: DataFrame, target: str) -> DataFrame:
     require_columns(df, [target])
     bad = df.where(~F.col(target).isin(0, 1) | F.col(target).isNull()).limit(1).count()
     if bad:
-        raise ValueError(f"Target '{target}' must be binary (0/1).")
+        raise ValueError(f"labels in {target!r} have to be 0 or 1")
     return df
 
 

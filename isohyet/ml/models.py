@@ -20,15 +20,21 @@ SPARK_MAX_DEPTH = 30
 RF_DEFAULTS = {"n_estimators": 400, "max_depth": None, "min_samples_leaf": 2, "max_features": "sqrt"}
 GBM_DEFAULTS = {"n_estimators": 300, "learning_rate": 0.05, "max_depth": 3, "min_samples_leaf": 1, "subsample": 1.0}
 L1_DEFAULTS = {"C": 1.0, "max_iter": 2000}
-# Search spaces of the tuning step.
+# Fixed values that must equal the reference's: search spaces of the tuning step, and the settings
+# that a refit takes for what a stored trial leaves out.
 RF_SPACE = {"n_estimators": (200, 1000, 100), "max_depth": (4, 24), "min_samples_leaf": (1, 10),
             "max_features": (0.3, 1.0)}
 GBM_SPACE = {"n_estimators": (100, 800, 100), "learning_rate": (0.01, 0.2), "max_depth": (2, 6),
              "min_samples_leaf": (1, 10), "subsample": (0.6, 1.0)}
+RF_REFIT_DEFAULTS = {"n_estimators": 400, "max_depth": 12, "min_samples_leaf": 2, "max_features": 0.8}
+GBM_REFIT_DEFAULTS = {"n_estimators": 300, "learning_rate": 0.05, "max_depth": 3, "min_samples_leaf": 2, "subsample": 1.0}
 
 
 def _depth(d) -> int:
-    return SPARK_MAX_DEPTH if d is None else max(0, min(int(d), SPARK_MAX_DEPTH))
+    """Unlimited depth is the deepest that the tree learner has; a deeper one than that is refused."""
+    if d is not None and not 0 <= int(d) <= SPARK_MAX_DEPTH:
+        raise ValueError(f"max_depth {d} is outside 0 .. {SPARK_MAX_DEPTH}")
+    return SPARK_MAX_DEPTH if d is None else int(d)
 
 
 def _subset(mf) -> str:
@@ -36,6 +42,8 @@ def _subset(mf) -> str:
         return "all"
     if isinstance(mf, str):
         return mf
+    if isinstance(mf, int):  # so many features; 1.0 as a float is all of them
+        return str(mf)
     return repr(float(mf)) if float(mf) < 1.0 else "all"
 
 

@@ -14,39 +14,66 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.strategy import row_count_at_most
+from ..session import materialize
 
-# Above this many rows the exact median (a value->count map per column) is replaced by
-# percentile_approx with 1e-6 relative rank error, which keeps memory bounded.
-EXACT_MEDIAN_MAX_ROWS = 20_000_000
-APPROX_ACCURACY = 1_000_000
+#: Intervals that a column's range is cut into at each step of the median search.
+MEDIAN_CUTS = 1024
 
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def column_medians(df: DataFrame, cols: Sequence[str], exact: bool | None = None) -> dict[str, float | None]:
-    if exact is None:
-        exact = row_count_at_most(df, EXACT_MEDIAN_MAX_ROWS)
-    if exact:
-        aggs = [F.median(F.col(c).cast("double")).alias(f"_m{i}") for i, c in enumerate(cols)]
-    else:
-        aggs = [F.percentile_approx(F.col(c).cast("double"), 0.5, APPROX_ACCURACY).alias(f"_m{i}")
-                for i, c in enumerate(cols)]
-    row = df.agg(*aggs).first()
-    return {c: row[f"_m{i}"] for i, c in enumerate(cols)}
+def column_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
+    """Exact interpolated medians of all columns, nulls and NaN skipped, at every size.
+
+    The value counts are written once. Each step counts them in ``MEDIAN_CUTS`` intervals between
+    the smallest and largest value still possible for a middle rank, and goes on in the interval
+    that holds the rank; it ends when that holds a single value. What reaches the driver is a row
+    for each column and interval, and a hot value is one count.
+    """
+    cols = list(cols)
+    spark = df.sparkSession
+    if not cols:
+        return {}
+    v = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("e")
+    counts = materialize(df.select(v).select("e.*").where("v is not null and not isnan(v)").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")), "values")
+    total = {r.i: r for r in counts.groupBy("i").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    found: dict[tuple[int, int], float] = {}
+    open_: dict[tuple[int, int], tuple[int, float, float]] = {}
+    for i, r in total.items():
+        for half in (0, 1):
+            rank = (r.n - 1 + half) // 2
+            open_[i, half] = (rank, r.lo, r.hi)
+    while True:
+        for k in [k for k, (_, lo, hi) in open_.items() if lo == hi]:
+            found[k] = open_.pop(k)[1]
+        if not open_:
+            break
+        want = spark.createDataFrame([(i, half, lo, hi) for (i, half), (_, lo, hi) in open_.items()], "i int, half int, lo double, hi double")
+        share = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)  # halves: the range itself may overflow
+        cut = F.least(F.floor(share * MEDIAN_CUTS).cast("int"), F.lit(MEDIAN_CUTS - 1))
+        rows = counts.join(F.broadcast(want), "i").where("v between lo and hi").groupBy("i", "half", cut.alias("cut")) \
+            .agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+        for k in list(open_):
+            rank = open_[k][0]
+            for r in sorted((r for r in rows if (r.i, r.half) == k), key=lambda r: r.cut):
+                if rank < r.n:
+                    open_[k] = (rank, r.lo, r.hi)
+                    break
+                rank -= r.n
+    return {c: (found[i, 0] + found[i, 1]) / 2 if i in total else None for i, c in enumerate(cols)}
 
 
 def fit_impute_scale(train: DataFrame, cols: Sequence[str], scale: bool = True,
-                     exact_median: bool | None = None, suffix: str = "") -> SQLTransformer:
+                     suffix: str = "") -> SQLTransformer:
     """Fit median-impute (+ optional ddof-0 standardise) on ``train``; returns the frozen stage.
 
     An all-null column imputes to 0.0; a constant column scales to 0.0. Outputs replace the
     inputs (or get ``suffix``).
     """
     cols = list(cols)
-    med = column_medians(train, cols, exact_median)
+    med = column_medians(train, cols)
     fill = {c: (0.0 if med[c] is None else float(med[c])) for c in cols}
     imputed = [F.coalesce(F.col(c).cast("double"), F.lit(fill[c])) for c in cols]
     exprs = {}

@@ -16,7 +16,7 @@ from dataclasses import asdict, dataclass, field
 from typing import Any
 
 import numpy as np
-from pyspark.ml import PipelineModel
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression
@@ -27,7 +27,8 @@ from ..functions.scalar import require_binary, require_columns
 from ..operators import metrics as M
 from ..operators.profile import cv_summary, importance_summary
 from ..operators.ranking import group_kfold, hash_rank, stratified_kfold
-from .models import make_classifier, sample_params
+from ..session import materialize
+from .models import GBM_REFIT_DEFAULTS, RF_REFIT_DEFAULTS, make_classifier, sample_params
 from .prep import balanced_class_weight, fit_impute_scale
 from .smote import smote
 from .stages import DropColumns, MeanOfColumns, PlattScaler, PositiveProbability
@@ -94,23 +95,29 @@ def fit_base(train: DataFrame, features: list[str], label: str, id_col: str, spe
 
 
 def fit_calibrator(scored: DataFrame, raw: str, label: str, method: str, out: str):
-    """Isotonic (clipped outside the fitted range) or Platt scaling with smoothed targets."""
+    """Isotonic (clipped outside the fitted range) or Platt scaling with smoothed targets.
+
+    Both are fitted on weighted distinct scores: a partial aggregate first, so rows that share a
+    score travel and are held once.
+    """
+    by_score = scored.groupBy(F.col(raw).alias("s")).agg(F.sum(F.col(label)).cast("double").alias("pos"), F.count(F.lit(1)).cast("double").alias("n"))
     if method == "isotonic":
-        return IsotonicRegression(featuresCol=raw, labelCol=label, predictionCol=out, isotonic=True).fit(
-            scored.select(raw, F.col(label).cast("double").alias(label)))
+        rows = by_score.select(F.col("s").alias(raw), (F.col("pos") / F.col("n")).alias(label), F.col("n").alias("w"))
+        return IsotonicRegression(featuresCol=raw, labelCol=label, predictionCol=out, weightCol="w", isotonic=True).fit(rows)
     if method == "sigmoid":
-        cnt = scored.agg(F.sum(F.col(label)).alias("pos"), F.count(F.lit(1)).alias("n")).first()
-        pos, neg = float(cnt["pos"] or 0), float(cnt["n"] - (cnt["pos"] or 0))
+        by_score = by_score.persist()
+        cnt = by_score.agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).first()
+        pos, neg = float(cnt["pos"] or 0), float((cnt["n"] or 0) - (cnt["pos"] or 0))
         hi, lo = (pos + 1.0) / (pos + 2.0), 1.0 / (neg + 2.0)
-        t = F.when(F.col(label) == 1, F.lit(hi)).otherwise(F.lit(lo))
-        rows = scored.select(F.col(raw).alias("s"), t.alias("t"))
-        soft = rows.select("s", F.lit(1.0).alias("y"), F.col("t").alias("w")).unionByName(
-            rows.select("s", F.lit(0.0).alias("y"), (F.lit(1.0) - F.col("t")).alias("w")))
+        weight = F.col("pos") * F.lit(hi) + (F.col("n") - F.col("pos")) * F.lit(lo)   # of the target 1 at this score
+        soft = by_score.select("s", F.lit(1.0).alias("y"), weight.alias("w")).unionByName(
+            by_score.select("s", F.lit(0.0).alias("y"), (F.col("n") - weight).alias("w")))
         soft = VectorAssembler(inputCols=["s"], outputCol="v").transform(soft)
         lr = LogisticRegression(featuresCol="v", labelCol="y", weightCol="w", regParam=0.0,
                                 standardization=False, maxIter=200).fit(soft)
+        by_score.unpersist()
         return PlattScaler(inputCol=raw, outputCol=out, a=float(lr.coefficients[0]), b=float(lr.intercept))
-    raise ValueError(f"unknown calibration {method!r}")
+    raise ValueError(f"calibration {method!r} is neither 'isotonic' nor 'sigmoid'")
 
 
 def fit_model(train: DataFrame, features: list[str], label: str, id_col: str, spec: ModelSpec,
@@ -211,28 +218,32 @@ def select_topk_features(summary: DataFrame, topk: int = 50, min_importance: flo
     return feats
 
 
-def permutation_importance(model: PipelineModel, df: DataFrame, features: list[str], label: str, id_col: str,
-                           n_repeats: int = 10, seed: int = 42) -> DataFrame:
-    """Drop in AP and ROC AUC when one feature's values are shuffled across rows.
+def permuted_rows(df: DataFrame, features: list[str], label: str, id_col: str, n_repeats: int = 10, seed: int = 42) -> DataFrame:
+    """(id, label, features, _f, _rep): every feature, in every repeat, taken from another row.
 
-    All (feature, repeat) permutations are built at once in long form: a row's permuted value
-    comes from the row holding the same hash rank under a (feature, repeat)-specific seed (an
-    equi-join), the model scores the long table in one pass, and the metrics are grouped by
-    (feature, repeat). Output: (metric, feature, importance_mean, importance_std).
+    Rows are ranked once, and once more for each repeat under its own seed; the row of equal rank is
+    the donor of all features in that repeat. One join for each repeat carries the donors' features
+    as a struct, and the features are unfolded after it, which is narrow.
     """
-    base = hash_rank(df.select(id_col, label, *features), id_col, seed, out="_r")
-    key = F.concat(F.col(id_col).cast("string"), F.lit(":"), F.col("_f"), F.lit(":"), F.col("_rep").cast("string"))
-    long = base.withColumn("_fr", F.explode(F.array(*[F.struct(F.lit(f).alias("_f"), F.lit(r).alias("_rep"))
-                                                      for f in features for r in range(n_repeats)]))) \
-        .select("*", "_fr._f", "_fr._rep").drop("_fr")
-    value_of_f = F.coalesce(*[F.when(F.col("_f") == f, F.col(f).cast("double")) for f in features])
-    donors = hash_rank(long.select(id_col, "_f", "_rep", value_of_f.alias("_v")).withColumn("_key", key),
-                       "_key", seed + 1, strata=["_f", "_rep"], out="_r").select("_f", "_rep", "_r", "_v")
-    permuted = long.join(donors, ["_f", "_rep", "_r"])
-    permuted = permuted.select(id_col, label, "_f", "_rep",
-                               *[F.when(F.col("_f") == f, F.col("_v")).otherwise(F.col(f).cast("double")).alias(f)
-                                 for f in features])
-    scored = model.transform(permuted).select("_f", "_rep", label, "prob")
+    base = materialize(hash_rank(df.select(id_col, label, *features), id_col, seed, out="_r"), "ranked")
+    own = F.struct(*[F.col(f).cast("double").alias(f) for f in features])
+    parts = []
+    for r in range(n_repeats):
+        donors = hash_rank(base.drop("_r"), id_col, seed + 1 + r, out="_r").select("_r", own.alias("_donor"))
+        parts.append(base.join(donors, "_r").withColumn("_rep", F.lit(r)))
+    wide = parts[0]
+    for p in parts[1:]:
+        wide = wide.unionByName(p)
+    wide = wide.withColumn("_f", F.explode(F.array(*[F.lit(f) for f in features])))
+    return wide.select(id_col, label, "_f", "_rep", *[
+        F.when(F.col("_f") == f, F.col(f"_donor.{f}")).otherwise(F.col(f).cast("double")).alias(f) for f in features])
+
+
+def permutation_importance(model: Transformer, df: DataFrame, features: list[str], label: str, id_col: str,
+                           n_repeats: int = 10, seed: int = 42) -> DataFrame:
+    """Drop in AP and ROC AUC when one feature's values are shuffled across rows: (metric, feature,
+    importance_mean, importance_std). ``model`` is anything with a ``transform`` that adds ``prob``."""
+    scored = model.transform(permuted_rows(df, features, label, id_col, n_repeats, seed)).select("_f", "_rep", label, "prob")
     perm = M.ranking_metrics(scored, y=label, prob="prob", by=["_f", "_rep"])
     ref = M.ranking_metrics(model.transform(df), y=label, prob="prob").first()
     drops = perm.select(F.col("_f").alias("feature"), "_rep",
@@ -248,10 +259,11 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: list[s
 def hyperparameter_search(df: DataFrame, features: list[str], label: str, id_col: str, kind: str = "rf",
                           n_trials: int = 20, timeout_s: float | None = None, group_col: str | None = None,
                           k: int = 5, sampler: str = "smote", seed: int = 42,
-                          space: dict | None = None, parallelism: int = DEFAULT_PARALLEL_FITS) -> tuple[DataFrame, dict]:
+                          space: dict | None = None, parallelism: int = DEFAULT_PARALLEL_FITS) -> tuple[DataFrame, dict | None]:
     """Seeded random search maximising mean CV average precision. Returns (trials, best).
 
-    Trials run one after another; each trial's fits are distributed Spark jobs."""
+    ``parallelism`` trials run side by side, each as distributed Spark jobs. With no trial finished in
+    time the table is empty and there is no best (None)."""
     rng = np.random.default_rng(seed)
     draws = [sample_params(kind, rng, space) for _ in range(n_trials)]   # fixed by the seed
     t0 = time.time()
@@ -267,18 +279,48 @@ def hyperparameter_search(df: DataFrame, features: list[str], label: str, id_col
     trials = [r for r in _in_parallel(one, list(range(n_trials)), parallelism) if r is not None]
     spark = df.sparkSession
     table = spark.createDataFrame(trials, "trial int, params string, mean_pr_auc double, std_pr_auc double")
+    if not trials:
+        return table, None
     best = max(trials, key=lambda r: (r[2], -r[0]))
-    return table, {"kind": kind, "sampler": sampler, "params": json.loads(best[1]), "mean_pr_auc": best[2]}
+    return table, best_record(kind, sampler, json.loads(best[1]), best[2])
+
+
+#: The names that a stored best trial gives the settings of each model.
+RECORD_PREFIX = {"rf": "rf_", "gbm": "gbm_"}
+RECORD_NAMES = {"n_estimators": "n_estimators", "max_depth": "max_depth", "min_samples_leaf": "min_samples_leaf",
+                "max_features": "max_features", "learning_rate": "learning_rate", "subsample": "subsample"}
+
+
+def best_record(kind: str, sampler: str, params: dict, value: float) -> dict:
+    """The stored form of a best trial: model, best_value, sampler, best_params with prefixed names."""
+    return {"model": kind, "best_value": value, "sampler": sampler,
+            "best_params": {RECORD_PREFIX[kind] + RECORD_NAMES[k]: v for k, v in params.items()}}
+
+
+def write_best(spark, record: dict, path: str) -> None:
+    spark.createDataFrame([(json.dumps(record, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_best(spark, path: str) -> dict:
+    return json.loads("".join(r["value"] for r in spark.read.text(path).collect()))   # one small record
+
+
+def spec_of_best(best: dict, sampler: str | None = None, calibration: str | None = "isotonic", inner_cv: int = 3, seed: int = 42) -> ModelSpec:
+    """The model of a stored record; what it leaves out takes the refit's own defaults."""
+    kind, stored = best.get("model"), best.get("best_params")
+    if kind not in RECORD_PREFIX or not isinstance(stored, dict):
+        raise ValueError(f"no best trial: a record needs 'model' ({sorted(RECORD_PREFIX)}) and 'best_params', this one has {sorted(best)}")
+    names = {RECORD_PREFIX[kind] + v: k for k, v in RECORD_NAMES.items()}
+    params = dict(RF_REFIT_DEFAULTS if kind == "rf" else GBM_REFIT_DEFAULTS)
+    params |= {names[k]: v for k, v in stored.items() if k in names and names[k] in params}
+    return ModelSpec(kind=kind, params=params, sampler=sampler or best.get("sampler") or "none", calibration=calibration, inner_cv=inner_cv, seed=seed)
 
 
 def refit_from_best(df: DataFrame, features: list[str], label: str, id_col: str, best: dict,
                     sampler: str | None = None, calibration: str = "isotonic", inner_cv: int = 3,
                     seed: int = 42) -> PipelineModel:
-    """Rebuild the pipeline from a stored best-trial dict (its sampler unless one is given)."""
-    spec = ModelSpec(kind=best.get("kind", "rf"), params=best.get("params", {}),
-                     sampler=sampler or best.get("sampler", "smote"), calibration=calibration,
-                     inner_cv=inner_cv, seed=seed)
-    return fit_model(df, features, label, id_col, spec)
+    """Rebuild the pipeline from a stored best trial (its sampler unless one is given)."""
+    return fit_model(df, features, label, id_col, spec_of_best(best, sampler, calibration, inner_cv, seed))
 
 
 # --------------------------------------------------------------------------- scoring / persistence
@@ -292,10 +334,6 @@ def score(model: PipelineModel, df: DataFrame, feature_cols: list[str], th: floa
     return out.withColumn(f"{pred_prefix}{th:.2f}", (F.col(prob_col) >= F.lit(float(th))).cast("int"))
 
 
-def positive_rate(scored: DataFrame, pred_col: str) -> float:
-    return scored.agg(F.avg(F.col(f"`{pred_col}`"))).first()[0]
-
-
 def save_model(model: PipelineModel, path: str, feature_cols: list[str], meta: dict | None = None) -> None:
     """The pipeline plus its feature list and metadata (JSON text under the same folder)."""
     from pyspark.sql import SparkSession

@@ -4,8 +4,11 @@ All ranking metrics start from the score table: one row per (by..., distinct sco
 positive / negative counts, a partial aggregate whatever the skew of the scores. The
 cumulative counts in descending-score order are built with a two-level prefix sum: distinct
 scores are cut into quantile blocks (deterministic, from one approximate-quantile pass), summed
-inside each (group, block), and a small table of block totals supplies the offsets. No window
-ever orders the whole table in one task.
+inside each (group, block), and a small table of block totals supplies the offsets and the
+overall totals. No window ever orders the whole table in one task, and the score table is written
+once to the shared folder, since the quantile pass, the sums and the totals all read it.
+
+Scores that are null or NaN, and labels other than 0 and 1, fail in every metric.
 
 Average precision is the step-wise sum over distinct scores (not the trapezoidal PR area);
 ROC AUC is the trapezoid over distinct scores (tie-aware Mann-Whitney).
@@ -18,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 
 # Fixed values that must equal the reference's for identical results.
 SWEEP_MIN_PCT, SWEEP_MAX_PCT = 5, 95       # thresholds 0.05 .. 0.95 step 0.01
@@ -31,18 +35,21 @@ def _div0(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
-def _attach(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Equi-join a per-group table (one row per by-group) onto ``df``; a constant key when
-    there are no groups, so the join is never a cartesian product."""
-    if by:
-        return df.join(small, list(by))    # per-group aggregate: AQE broadcasts it by runtime size
-    return df.withColumn("_k", F.lit(0)).join(F.broadcast(small.withColumn("_k", F.lit(0))), "_k").drop("_k")
+def _score(prob: str) -> Column:
+    """The score, failing on null and NaN."""
+    c = F.col(prob).cast("double")
+    return F.when(c.isNull() | F.isnan(c), F.raise_error(F.lit("a score is null or NaN")).cast("double")).otherwise(c)
+
+
+def _truth(y: str) -> Column:
+    """The label as 0 or 1, failing on anything else."""
+    c = F.col(y).cast("double")
+    return F.when(c.isin(0.0, 1.0), c.cast("int")).otherwise(F.raise_error(F.lit("a label is neither 0 nor 1")).cast("int"))
 
 
 def score_table(df: DataFrame, y: str = "y", prob: str = "prob", by: Sequence[str] = ()) -> DataFrame:
-    return (df.groupBy(*by, F.col(prob).alias("score"))
-            .agg(F.sum(F.col(y)).cast("bigint").alias("tp"),
-                 (F.count(F.lit(1)) - F.sum(F.col(y))).cast("bigint").alias("fp")))
+    return (df.select(*by, _score(prob).alias("score"), _truth(y).alias("_y")).groupBy(*by, "score")
+            .agg(F.sum("_y").cast("bigint").alias("tp"), (F.count(F.lit(1)) - F.sum("_y")).cast("bigint").alias("fp")))
 
 
 def score_blocks(scores: DataFrame, n_blocks: int | None = None, rel_err: float = 1e-3) -> DataFrame:
@@ -52,51 +59,59 @@ def score_blocks(scores: DataFrame, n_blocks: int | None = None, rel_err: float
 
     spark = scores.sparkSession
     n = n_blocks or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    qs = scores.approxQuantile("score", [i / n for i in range(1, n)], rel_err)
+    qs = scores.approxQuantile("score", [i / n for i in range(1, n)], min(rel_err, 0.25 / n))
     cuts = sorted({q for q in qs if q is not None and q == q})
     splits = [float("-inf"), *cuts, float("inf")]
     return Bucketizer(splits=splits, inputCol="score", outputCol="_blk", handleInvalid="keep").transform(scores)
 
 
-def cumulative_counts(scores: DataFrame, by: Sequence[str] = (), n_blocks: int | None = None) -> DataFrame:
-    """Add ``cum_tp`` / ``cum_fp``: counts with score >= this score, within ``by``.
-
-    Two-level prefix sum: running sums inside each (by, score block), plus the totals of the
-    higher-score blocks of the same group. Blocks are quantile ranges of the distinct scores,
-    so the work is spread evenly however the scores cluster.
-    """
+def _cumulative(scores: DataFrame, by: Sequence[str] = (), n_blocks: int | None = None) -> DataFrame:
+    """``cumulative_counts`` with the totals ``_P`` and ``_N`` of the group, carried by the block table."""
     by = list(by)
     blk = score_blocks(scores, n_blocks)
     wl = Window.partitionBy(*by, "_blk").orderBy(F.col("score").desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = blk.select("*", F.sum("tp").over(wl).alias("_ltp"), F.sum("fp").over(wl).alias("_lfp"))
     totals = blk.groupBy(*by, "_blk").agg(F.sum("tp").alias("_btp"), F.sum("fp").alias("_bfp"))
-    wo = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(F.col("_blk").desc()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # over the block table: one row a block
+    wo = group.orderBy(F.col("_blk").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*by, "_blk",
                             F.coalesce(F.sum("_btp").over(wo), F.lit(0)).alias("_otp"),
-                            F.coalesce(F.sum("_bfp").over(wo), F.lit(0)).alias("_ofp"))
-    # one row per (by-group, block): n_blocks rows without groups; with groups it is an
-    # aggregate whose runtime size AQE measures before choosing broadcast
-    offsets = F.broadcast(offsets) if not by else offsets
+                            F.coalesce(F.sum("_bfp").over(wo), F.lit(0)).alias("_ofp"),
+                            F.sum("_btp").over(group).alias("_P"), F.sum("_bfp").over(group).alias("_N"))
     out = local.join(offsets, [*by, "_blk"], "inner")
     return out.select(*by, "score", "tp", "fp",
                       (F.col("_ltp") + F.col("_otp")).cast("bigint").alias("cum_tp"),
-                      (F.col("_lfp") + F.col("_ofp")).cast("bigint").alias("cum_fp"))
+                      (F.col("_lfp") + F.col("_ofp")).cast("bigint").alias("cum_fp"), "_P", "_N")
+
+
+def cumulative_counts(scores: DataFrame, by: Sequence[str] = (), n_blocks: int | None = None) -> DataFrame:
+    """Add ``cum_tp`` / ``cum_fp``: counts with score >= this score, within ``by``.
+
+    Two-level prefix sum: running sums inside each (by, score block), plus the totals of the
+    higher-score blocks of the same group. Blocks are quantile ranges of the distinct scores,
+    so the work is spread evenly however the scores cluster.
+    """
+    return _cumulative(scores, by, n_blocks).drop("_P", "_N")
+
+
+def _written_scores(df: DataFrame, y: str, prob: str, by: Sequence[str]) -> DataFrame:
+    return materialize(score_table(df, y, prob, by), "scores")
+
+
+def ranking_of_scores(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., pr_auc, roc_auc) of a score table (by..., score, tp, fp); sums are doubles, so no count overflows."""
+    cum = _cumulative(scores, by)
+    tp, fp, ctp, cfp = (F.col(c).cast("double") for c in ("tp", "fp", "cum_tp", "cum_fp"))
+    agg = cum.groupBy(*by).agg(F.max("_P").cast("double").alias("_P"), F.max("_N").cast("double").alias("_N"),
+                               F.sum(tp * (ctp / (ctp + cfp))).alias("_ap"), F.sum(fp * (F.lit(2.0) * ctp - tp)).alias("_auc"))
+    return agg.select(*by, F.try_divide(F.col("_ap"), F.col("_P")).alias("pr_auc"),
+                      F.try_divide(F.col("_auc"), F.lit(2.0) * F.col("_P") * F.col("_N")).alias("roc_auc"))
 
 
 def ranking_metrics(df: DataFrame, y: str = "y", prob: str = "prob", by: Sequence[str] = ()) -> DataFrame:
-    """(by..., pr_auc, roc_auc) — exact, tie-aware."""
-    cum = cumulative_counts(score_table(df, y, prob, by), by)
-    prec = F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))
-    agg = cum.groupBy(*by).agg(
-        F.sum("tp").alias("_P"), F.sum("fp").alias("_N"),
-        F.sum(F.col("tp") * prec).alias("_ap"),
-        F.sum(F.col("fp") * (F.lit(2) * F.col("cum_tp") - F.col("tp"))).alias("_auc"))
-    return agg.select(*by,
-                      F.try_divide(F.col("_ap"), F.col("_P").cast("double")).alias("pr_auc"),
-                      F.try_divide(F.col("_auc").cast("double"),
-                                   F.lit(2.0) * F.col("_P") * F.col("_N")).alias("roc_auc"))
+    """(by..., pr_auc, roc_auc): exact, tie-aware."""
+    return ranking_of_scores(_written_scores(df, y, prob, by), by)
 
 
 def average_precision(df: DataFrame, y: str = "y", prob: str = "prob", by: Sequence[str] = ()) -> DataFrame:
@@ -110,8 +125,8 @@ def roc_auc(df: DataFrame, y: str = "y", prob: str = "prob", by: Sequence[str] =
 def confusion_metrics(df: DataFrame, y: str = "y", prob: str = "prob", th: float = 0.5,
                       by: Sequence[str] = ()) -> DataFrame:
     """tp, fp, tn, fn, precision, recall, f1 (zero division -> 0), positive rates, n, brier."""
-    pred = (F.col(prob) >= F.lit(float(th))).cast("int")
-    yy = F.col(y)
+    df = df.select(*by, _score(prob).alias("_p"), _truth(y).alias("_y"))
+    pred, yy = (F.col("_p") >= F.lit(float(th))).cast("int"), F.col("_y")
     a = df.groupBy(*by).agg(
         F.sum(F.when((pred == 1) & (yy == 1), 1).otherwise(0)).cast("bigint").alias("tp"),
         F.sum(F.when((pred == 1) & (yy == 0), 1).otherwise(0)).cast("bigint").alias("fp"),
@@ -120,7 +135,7 @@ def confusion_metrics(df: DataFrame, y: str = "y", prob: str = "prob", th: float
         F.count(F.lit(1)).alias("n"),
         F.avg(pred.cast("double")).alias("positive_rate_pred"),
         F.avg(yy.cast("double")).alias("positive_rate_true"),
-        F.avg(F.pow(F.col(prob) - yy, 2)).alias("brier"),
+        F.avg(F.pow(F.col("_p") - yy, 2)).alias("brier"),
     )
     return a.select(*by, F.lit(float(th)).alias("threshold"), "tp", "fp", "tn", "fn", "n",
                     _div0(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
@@ -130,25 +145,21 @@ def confusion_metrics(df: DataFrame, y: str = "y", prob: str = "prob", th: float
 
 
 def brier_score(df: DataFrame, y: str = "y", prob: str = "prob", by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by).agg(F.avg(F.pow(F.col(prob) - F.col(y), 2)).alias("brier"))
+    return df.groupBy(*by).agg(F.avg(F.pow(_score(prob) - _truth(y), 2)).alias("brier"))
 
 
 def holdout_metrics(df: DataFrame, y: str = "y", prob: str = "prob", th: float = 0.5) -> DataFrame:
     """One row: threshold, pr_auc, roc_auc, f1, recall, precision, brier, counts, rates."""
-    cm = confusion_metrics(df, y, prob, th)
-    rk = ranking_metrics(df, y, prob)
-    # both sides are single rows
-    return _attach(cm, rk, ()).select(
-        "threshold", "pr_auc", "roc_auc", "f1", "recall", "precision", "brier", "tp", "fp", "tn", "fn", "n",
-        "positive_rate_pred", "positive_rate_true")
+    both = confusion_metrics(df, y, prob, th).unionByName(ranking_metrics(df, y, prob), allowMissingColumns=True)
+    names = ["threshold", "pr_auc", "roc_auc", "f1", "recall", "precision", "brier", "tp", "fp", "tn", "fn", "n",
+             "positive_rate_pred", "positive_rate_true"]
+    return both.agg(*[F.max(c).alias(c) for c in names])   # two rows, each with the other's columns null
 
 
 def pr_curve(df: DataFrame, y: str = "y", prob: str = "prob", by: Sequence[str] = ()) -> DataFrame:
     """(by..., threshold, precision, recall) per distinct score, plus the end point (null, 1, 0)."""
-    cum = cumulative_counts(score_table(df, y, prob, by), by)
-    tot = cum.groupBy(*by).agg(F.sum("tp").alias("_P"))
-    # one row per by-group
-    cum = _attach(cum, tot, by)
+    scores = _written_scores(df, y, prob, by)
+    cum, tot = _cumulative(scores, by), scores.groupBy(*by).agg(F.sum("tp").alias("_P"))
     pts = cum.select(*by, F.col("score").alias("threshold"),
                      _div0(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp")).alias("precision"),
                      F.when(F.col("_P") == 0, F.lit(1.0)).otherwise(F.col("cum_tp") / F.col("_P")).alias("recall"))
@@ -159,9 +170,8 @@ def pr_curve(df: DataFrame, y: str = "y", prob: str = "prob", by: Sequence[str]
 
 def roc_curve(df: DataFrame, y: str = "y", prob: str = "prob", by: Sequence[str] = ()) -> DataFrame:
     """(by..., threshold, fpr, tpr) per distinct score, plus the start point (null, 0, 0). All points kept."""
-    cum = cumulative_counts(score_table(df, y, prob, by), by)
-    tot = cum.groupBy(*by).agg(F.sum("tp").alias("_P"), F.sum("fp").alias("_N"))
-    cum = _attach(cum, tot, by)
+    scores = _written_scores(df, y, prob, by)
+    cum, tot = _cumulative(scores, by), scores.groupBy(*by).agg(F.sum("tp").alias("_P"))
     pts = cum.select(*by, F.col("score").alias("threshold"),
                      F.try_divide(F.col("cum_fp").cast("double"), F.col("_N")).alias("fpr"),
                      F.try_divide(F.col("cum_tp").cast("double"), F.col("_P")).alias("tpr"))
@@ -180,61 +190,58 @@ def reliability_curve(df: DataFrame, y: str = "y", prob: str = "prob", n_bins: i
                       by: Sequence[str] = ()) -> DataFrame:
     """Per non-empty uniform bin: share of positives and mean score. A score equal to an edge
     goes to the lower bin."""
-    b = sum((F.when(F.col(prob) > F.lit(e), 1).otherwise(0) for e in reliability_edges(n_bins)), F.lit(0))
+    df = df.select(*by, _score(prob).alias("_p"), _truth(y).alias("_y"))
+    b = sum((F.when(F.col("_p") > F.lit(e), 1).otherwise(0) for e in reliability_edges(n_bins)), F.lit(0))
     return (df.groupBy(*by, b.cast("int").alias("bin"))
-            .agg(F.avg(F.col(y).cast("double")).alias("prob_true"), F.avg(F.col(prob)).alias("prob_pred"),
+            .agg(F.avg(F.col("_y").cast("double")).alias("prob_true"), F.avg("_p").alias("prob_pred"),
                  F.count(F.lit(1)).alias("count")))
 
 
-def _objective(name: str, w_recall: float, w_precision: float) -> Column:
-    if name == "f1":
-        return F.col("f1")
-    if name == "recall":
-        return F.col("recall")
-    if name == "precision":
-        return F.col("precision")
-    if name == "youden":
-        return F.col("recall") - F.col("fpr")
-    if name == "cost":
-        return F.lit(float(w_recall)) * F.col("recall") + F.lit(float(w_precision)) * F.col("precision")
-    raise ValueError(f"Unknown metric: {name}")
+#: What a sweep can maximise, as expressions over its columns; w_r and w_p are the cost weights.
+OBJECTIVE_EXPRS = {"f1": "f1", "recall": "recall", "precision": "precision", "youden": "recall - fpr",
+                   "cost": "{w_r} * recall + {w_p} * precision"}
 
 
 def threshold_sweep(df: DataFrame, y: str = "y", prob: str = "prob", by: Sequence[str] = (),
-                    min_pct: int = SWEEP_MIN_PCT, max_pct: int = SWEEP_MAX_PCT, objective: str = "f1",
-                    w_recall: float = COST_W_RECALL, w_precision: float = COST_W_PRECISION) -> DataFrame:
-    """Confusion counts and objective at every threshold k/100, k = min_pct..max_pct.
+                    min_pct: float = SWEEP_MIN_PCT, max_pct: float = SWEEP_MAX_PCT, objective: str = "f1",
+                    w_recall: float = COST_W_RECALL, w_precision: float = COST_W_PRECISION, step_pct: float = 1) -> DataFrame:
+    """Confusion counts and objective at the thresholds min_pct, min_pct + step_pct, ... max_pct percent.
 
-    Each row is placed once in the bucket of the highest threshold it reaches (exact double
-    comparison ``prob >= k/100``); counts per (by, bucket) are then summed from the top. No
-    cross join with the threshold grid: the work is one pass plus a table of <= 92 rows per group.
+    Each row is placed once, in the bucket of the highest threshold it reaches (by comparison with
+    the thresholds themselves); counts per (by, bucket) are then summed from the top. No cross join
+    with the grid: the work is one pass plus a table of one row for each threshold and group.
     """
+    if objective not in OBJECTIVE_EXPRS:
+        raise ValueError(f"objective {objective!r} is none of {sorted(OBJECTIVE_EXPRS)}")
     by = list(by)
-    p = F.col(prob)
-    kf = F.floor(p * 100).cast("int")
-    k1 = F.when(p >= (kf + 1) / F.lit(100.0), kf + 1).when(p < kf / F.lit(100.0), kf - 1).otherwise(kf)
-    bucket = F.greatest(F.least(k1, F.lit(max_pct)), F.lit(min_pct - 1))
-    cnt = (df.select(*by, bucket.alias("k"), F.col(y).alias("_y"))
+    n = int((max_pct - min_pct) / step_pct + 1e-9) + 1
+    grid = [(min_pct + i * step_pct) / 100.0 for i in range(n)]
+    ths = F.array(*[F.lit(t) for t in grid])
+    p = F.col("_p")
+    # An estimate of the bucket, put right by comparing with the thresholds next to it (-1: reaches none).
+    est = F.least(F.greatest(F.floor((p * 100 - F.lit(float(min_pct))) / F.lit(float(step_pct))).cast("int"), F.lit(-1)), F.lit(n - 1))
+    up = F.coalesce(p >= F.get(ths, est + 1), F.lit(False))
+    down = F.coalesce(p < F.get(ths, est), F.lit(False))
+    bucket = F.when(up, est + 1).when(down, est - 1).otherwise(est)
+    cnt = (df.select(*by, _score(prob).alias("_p"), _truth(y).alias("_y")).select(*by, bucket.alias("k"), "_y")
            .groupBy(*by, "k").agg(F.sum("_y").cast("bigint").alias("pos"),
                                   (F.count(F.lit(1)) - F.sum("_y")).cast("bigint").alias("neg")))
-    tot = cnt.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    grid = tot.select(*by, F.explode(F.sequence(F.lit(min_pct), F.lit(max_pct))).alias("k"),
-                      F.lit(0).cast("bigint").alias("pos"), F.lit(0).cast("bigint").alias("neg"))
-    u = cnt.where(F.col("k") >= min_pct).unionByName(grid).groupBy(*by, "k").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(F.col("k").desc()) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = u.select(*by, "k", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"))
-    cum = _attach(cum, tot, by)   # tot: one row per group
+    every = cnt.groupBy(*by).agg(F.count(F.lit(1))).select(
+        *by, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k"), F.lit(0).cast("bigint").alias("pos"), F.lit(0).cast("bigint").alias("neg"))
+    u = cnt.unionByName(every).groupBy(*by, "k").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # at most n + 1 rows a group
+    w = group.orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = u.select(*by, "k", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"),
+                   F.sum("pos").over(group).alias("P"), F.sum("neg").over(group).alias("N")).where("k >= 0")
     out = cum.select(
-        *by, (F.col("k") / F.lit(100.0)).alias("threshold"),
+        *by, F.get(ths, F.col("k")).alias("threshold"),
         F.col("tp").cast("bigint").alias("tp"), F.col("fp").cast("bigint").alias("fp"),
         (F.col("N") - F.col("fp")).cast("bigint").alias("tn"), (F.col("P") - F.col("tp")).cast("bigint").alias("fn"),
         _div0(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         _div0(F.col("tp"), F.col("P")).alias("recall"),
         _div0(F.lit(2) * F.col("tp"), F.lit(2) * F.col("tp") + F.col("fp") + (F.col("P") - F.col("tp"))).alias("f1"),
         _div0(F.col("fp"), F.col("N")).alias("fpr"))
-    return out.withColumn("objective", _objective(objective, w_recall, w_precision))
+    return out.withColumn("objective", F.expr(OBJECTIVE_EXPRS[objective].format(w_r=repr(float(w_recall)) + "D", w_p=repr(float(w_precision)) + "D")))
 
 
 def threshold_by_fold(df: DataFrame, fold: str = "fold", y: str = "y", prob: str = "prob",

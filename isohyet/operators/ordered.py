@@ -1,122 +1,74 @@
-"""Skew-safe ordered features: lags, rolling and past-rolling means without per-site windows.
+"""Ordered features by runs: lags, rolling and past-rolling means that no hot site can stall.
 
-A ``Window.partitionBy(site).orderBy(date)`` puts each site in one task; if one site holds a
-third of the rows, one task does a third of the work. This strategy never orders a whole site:
+A window over (site) ordered by date puts a whole site into one task. Here every site is cut into
+runs of ``RUN_ROWS`` rows, whatever its size, and a run also gets copies of the last rows of the
+run before it, as many as the deepest look-back needs. The window is then over (site, run), so a
+site that holds a third of all rows is spread over many tasks and n (1 + H / RUN_ROWS) rows move.
 
-1. Row number per site by a two-level prefix: rank inside (site, time bucket) (bounded groups;
-   the bucket is the calendar year by default) plus the site's counts in earlier buckets
-   (a small per-(site, bucket) table).
-2. Each row also emits shifted copies of its values keyed (site, rn + s), s = 1..H, where H is
-   the deepest look-back needed. One aggregate on (site, rn) gathers a row with its H
-   predecessors; the key (site, rn) is unique per row, so no group is ever hot.
-3. z-scores come from a per-site partial aggregate (mean, population std) joined back.
+Row numbers within a site come from two levels: ranks inside (site, range of the order column), and
+the site's counts in earlier ranges. The ranges are quantiles of the order column, so they follow
+the data; the result does not depend on them, nor on any partition count.
 
-The input is written once to the shared checkpoint folder (``spark.checkpoint.dir``): the
-branches above then scan that table instead of recomputing the upstream plan.
-
-Results equal the window strategy exactly (same rows, same null rules).
+The input is written once to the shared checkpoint folder: moments, ranges and ranks all read it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import materialize
 from .strategy import null_safe_keys
 
+RUN_ROWS = 65_536
+
 
-def _present(keys: Sequence[str]) -> Column:
-    c = F.lit(True)
-    for k in keys:
-        c = c & F.col(k).isNotNull()
-    return c
+def _position(df: DataFrame, col: str):
+    """The order column as a number to cut ranges from; one range for other types."""
+    t = df.schema[col].dataType
+    if isinstance(t, T.DateType):
+        return F.unix_date(F.col(col)).cast("double")
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    return F.col(col).cast("double") if isinstance(t, T.NumericType) else F.lit(0.0)
 
 
-def site_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | None = None,
-                    out: str = "_rn") -> DataFrame:
-    """1-based row number per site in ``order``, computed per (site, bucket) plus offsets."""
+def site_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "_rn") -> DataFrame:
+    """0-based row number per site in ``order`` (nulls first), from ranks inside ranges plus offsets."""
     keys = list(keys)
-    b = bucket if bucket is not None else F.year(F.col(order[0]))
-    d = df.withColumn("_bkt", b)
-    local = F.row_number().over(Window.partitionBy(*keys, "_bkt").orderBy(*order))
-    d = d.withColumn("_lrn", local)
+    n = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    d = df.withColumn("_pos", _position(df, order[0]))
+    cuts = d.approxQuantile("_pos", [i / n for i in range(1, n)], 0.25 / n)
+    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    d = Bucketizer(splits=splits, inputCol="_pos", outputCol="_bkt", handleInvalid="keep").transform(d)
+    d = d.withColumn("_bkt", F.when(F.col("_pos").isNull(), F.lit(-1.0)).otherwise(F.col("_bkt"))).drop("_pos")
+    d = d.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, "_bkt").orderBy(*order)) - 1)
     counts = d.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys).orderBy(F.col("_bkt").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*keys, "_bkt", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    a, o = d.alias("_d"), offs.alias("_o")
-    cond = null_safe_keys(a, o, keys) & a["_bkt"].eqNullSafe(o["_bkt"])
-    j = a.join(o, cond, "inner").select("_d.*", F.col("_o._off"))
-    return j.withColumn(out, (F.col("_lrn") + F.col("_off")).cast("bigint")).drop("_bkt", "_lrn", "_off")
-
-
-def ordered_features_range(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
-                           lags: Sequence[int], windows: Sequence[int], past_ks: Sequence[int] = (3, 6),
-                           bucket: Column | None = None) -> DataFrame:
-    keys, cols = list(keys), list(cols)
-    # Several branches read the input (moments, ranks, shifted copies, null keys): write it once
-    # to the shared checkpoint folder so the upstream plan runs once and lineage is cut.
-    df = materialize(df, "ordered_input")
-    have = set(lags)
-    ks = [k for k in past_ks if all(i in have for i in range(1, k + 1))]
-    depth = max([*lags, *[w - 1 for w in windows], *ks, 0])
-    base_cols = df.columns
-
-    # z-scores: per-site moments (partial aggregate), joined back
-    stats = df.groupBy(*keys).agg(*[F.avg(c).alias(f"_mu_{i}") for i, c in enumerate(cols)],
-                                  *[F.stddev_pop(c).alias(f"_sd_{i}") for i, c in enumerate(cols)])
-    a, s = df.alias("_a"), stats.alias("_s")
-    zdf = a.join(s, null_safe_keys(a, s, keys), "left").select(
-        "_a.*", *[F.col(f"_s._mu_{i}") for i in range(len(cols))], *[F.col(f"_s._sd_{i}") for i in range(len(cols))])
-    zcols = []
-    for i, c in enumerate(cols):
-        sd, mu = F.col(f"_sd_{i}"), F.col(f"_mu_{i}")
-        z = F.when(sd.isNull() | (sd == 0), F.lit(0.0)).otherwise((F.col(c) - mu) / sd)
-        zcols.append(F.when(_present(keys), z).alias(f"{c}__z"))
-    zdf = zdf.select(*base_cols, *zcols)
-
-    # null-key rows keep their z (null) and get null ordered features, like the reference
-    ranked = site_row_number(zdf.where(_present(keys)), keys, order, bucket)
-    vals = F.struct(*[F.col(c).alias(c) for c in cols])
-    shifted = ranked.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(max(depth, 1)))).alias("_s"),
-                            F.col("_rn").alias("_src"), vals.alias("_v")) \
-        .select(*keys, (F.col("_src") + F.col("_s")).alias("_rn"), "_s", "_v")
-    rows = ranked.select(*keys, "_rn", F.lit(0).alias("_s"), vals.alias("_v"),
-                         F.struct(*[F.col(c) for c in zdf.columns if c not in keys]).alias("_row"))
-    both = rows.unionByName(shifted.withColumn("_row", F.lit(None).cast(rows.schema["_row"].dataType)))
-    aggs = [F.first(F.when(F.col("_s") == 0, F.col("_row")), ignorenulls=True).alias("_row")]
-    for s in range(1, depth + 1):
-        for c in cols:
-            aggs.append(F.first(F.when(F.col("_s") == s, F.col(f"_v.{c}")), ignorenulls=True).alias(f"_l{s}_{c}"))
-    gathered = both.groupBy(*keys, "_rn").agg(*aggs).where(F.col("_row").isNotNull())
-
-    def v(s: int, c: str) -> Column:
-        return F.col(f"_row.{c}") if s == 0 else F.col(f"_l{s}_{c}")
-
-    feats = []
-    for k in lags:
-        for c in cols:
-            feats.append(v(k, c).alias(f"{c}__lag{k}"))
-    for w in windows:
-        for c in cols:
-            terms = [v(s, c) for s in range(w)]
-            full = F.lit(True)
-            for t in terms:
-                full = full & t.isNotNull()
-            mean = sum((t.cast("double") for t in terms), F.lit(0.0)) / F.lit(float(w))
-            feats.append(F.when(full, mean).alias(f"{c}__roll{w}m"))
-    for k in ks:
-        for c in cols:
-            terms = [v(s, c) for s in range(1, k + 1)]
-            n = sum((F.when(t.isNotNull(), 1).otherwise(0) for t in terms), F.lit(0))
-            tot = sum((F.coalesce(t.cast("double"), F.lit(0.0)) for t in terms), F.lit(0.0))
-            feats.append(F.when(n > 0, tot / n).alias(f"{c}__roll_prev{k}m"))
-    keyed = gathered.select(*keys, "_row.*", *feats)
-    names = [f"{c}__z" for c in cols] + [keyed.columns[j] for j in range(len(keyed.columns) - len(feats), len(keyed.columns))]
-    out = keyed.select(*base_cols, *names)
-    # null-key rows: the reference's group-by drops them, so every derived column is null
-    nulls = zdf.where(~_present(keys)).select(
-        *zdf.columns, *[F.lit(None).cast(keyed.schema[x].dataType).alias(x) for x in names if not x.endswith("__z")])
-    return out.unionByName(nulls.select(*out.columns))
+    earlier = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = counts.select(*keys, "_bkt", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    a, o = d.alias("_d"), offsets.alias("_o")
+    joined = a.join(o, null_safe_keys(a, o, [*keys, "_bkt"]), "inner").select("_d.*", F.col("_o._before"))
+    return joined.withColumn(out, (F.col("_local") + F.col("_before")).cast("bigint")).drop("_bkt", "_local", "_before")
+
+
+def over_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], depth: int, features,
+              run_rows: int | None = None) -> DataFrame:
+    """``df`` with ``features(keys, order)``: window columns that look back at most ``depth`` rows of a site."""
+    size = max(run_rows or RUN_ROWS, depth + 1)
+    base = df.columns
+    d = site_row_number(df, keys, order)
+    run = F.floor(F.col("_rn") / size)
+    into_next = (F.col("_rn") % size >= size - depth) if depth else F.lit(False)
+    d = d.withColumn("_own", run).withColumn(
+        "_run", F.explode(F.when(into_next, F.array(run, run + 1)).otherwise(F.array(run))))
+    out = d.select(*base, "_own", "_run", *features([*keys, "_run"], ["_rn"]))
+    return out.where("_own = _run").drop("_own", "_run")
+
+
+def site_moments(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Mean and population deviation per site: a partial aggregate, so a hot site is one row a task."""
+    return df.groupBy(*keys).agg(*[F.avg(c).alias(f"_mu_{i}") for i, c in enumerate(cols)],
+                                 *[F.stddev_pop(c).alias(f"_sd_{i}") for i, c in enumerate(cols)])

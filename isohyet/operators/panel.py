@@ -1,15 +1,9 @@
 """Panel operators: enrichment join, per-site anomalies, lags, rolling means, climatology labels.
 
-Design notes (scale):
-- All ordered features of one window spec are produced in ONE select, so Catalyst plans a
-  single exchange on the site keys and a single sort for the lot.
-- The climatology percentile has two forms. After the window features the rows are already
-  hash-partitioned by site, which also clusters (site, month), so a percentile window adds
-  no exchange (the default chain). The aggregate form (a partial per-(site, month)
-  aggregate joined back, which AQE broadcasts or skew-splits) goes with the skew-safe
-  features, so no task ever holds a whole group.
-- ``strategy="range"`` computes the ordered features without putting a whole site in one
-  task: see ``ordered_features_range``.
+One path at every size: anomalies and climatology percentiles are partial aggregates joined back
+(adaptive execution broadcasts or skew-splits those joins from run-time sizes), and ordered
+features are windows over bounded runs of a site (see ``ordered.py``), so no task ever has to
+hold or order a whole site.
 """
 
 from __future__ import annotations
@@ -19,7 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .strategy import DEFAULT_BROADCAST_MAX_ROWS, null_safe_keys, sized_broadcast
+from ..functions.scalar import extract_month, numeric_columns, require_columns
+from ..session import materialize
+from .ordered import over_runs, site_moments
+from .strategy import null_safe_keys
 
 DEFAULT_KEYS = ("LAT", "LON")
 DEFAULT_LAGS = (1, 2, 3)
@@ -37,19 +34,17 @@ def _keys_present(keys: Sequence[str]) -> Column:
 # --------------------------------------------------------------------------- joins
 
 def enrich_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                     suffixes: tuple[str, str] = ("_x", "_y"),
-                     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                     suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Keep every left row, attach right attributes; duplicate right keys fan out.
 
     Keys match null-to-null (as the reference's in-memory merge does). Non-key columns present
-    on both sides get the two suffixes. The right side is broadcast only if its row count is
-    proven to be at most ``broadcast_max_rows``.
+    on both sides get the two suffixes. No hint is given: adaptive execution broadcasts the right
+    side when its measured size allows, and otherwise splits hot keys of the shuffle join.
     """
     keys = list(keys)
     clash = (set(left.columns) & set(right.columns)) - set(keys)
     l = left.select(*[F.col(c).alias(c + suffixes[0] if c in clash else c) for c in left.columns])
     r = right.select(*[F.col(c).alias(c + suffixes[1] if c in clash else c) for c in right.columns])
-    r = sized_broadcast(r, broadcast_max_rows)
     la, ra = l.alias("_l"), r.alias("_r")
     joined = la.join(ra, null_safe_keys(la, ra, keys), "left")
     right_cols = [c for c in r.columns if c not in keys]
@@ -63,20 +58,23 @@ def group_semi_join(df: DataFrame, groups: DataFrame, key: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- window features
 
-def zscore_columns(cols: Sequence[str], keys: Sequence[str]) -> list[Column]:
+def zscore_by_group(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """``(x - mean) / std`` per group, population std, nulls skipped.
 
     A group whose std is 0 or undefined gets 0.0 on every row (null rows included). Rows with
     a null key get null (their group is dropped by the reference's group-by).
     """
-    w = Window.partitionBy(*keys)
+    a, s = df.alias("_a"), site_moments(df, cols, keys).alias("_s")
+    joined = a.join(s, null_safe_keys(a, s, list(keys)), "left")
     out = []
-    for c in cols:
-        mu = F.avg(c).over(w)
-        sd = F.stddev_pop(c).over(w)
-        z = F.when(sd.isNull() | (sd == 0), F.lit(0.0)).otherwise((F.col(c) - mu) / sd)
-        out.append(F.when(_keys_present(keys), z).alias(f"{c}__z"))
-    return out
+    for i, c in enumerate(cols):
+        mu, sd = F.col(f"_s._mu_{i}"), F.col(f"_s._sd_{i}")
+        z = F.when(sd.isNull() | (sd == 0), F.lit(0.0)).otherwise((F.col(f"_a.{c}") - mu) / sd)
+        present = F.lit(True)
+        for k in keys:
+            present = present & F.col(f"_a.{k}").isNotNull()
+        out.append(F.when(present, z).alias(f"{c}__z"))
+    return joined.select("_a.*", *out)
 
 
 def lag_columns(cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
@@ -113,57 +111,46 @@ def rolling_mean_past_columns(cols: Sequence[str], keys: Sequence[str], order: S
     return out
 
 
-def choose_strategy(df: DataFrame, keys: Sequence[str], n_parts: int | None = None) -> str:
-    """``"range"`` when some site holds more rows than one shuffle partition's fair share
-    (its window task would dominate the stage), else ``"window"``.
+def lag_features(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
+                 lags: Sequence[int] = DEFAULT_LAGS) -> DataFrame:
+    return over_runs(materialize(df, "lags"), keys, order, max(lags, default=0), lambda k, o: lag_columns(cols, k, o, lags))
+
+
+def rolling_mean(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
+                 windows: Sequence[int] = DEFAULT_WINDOWS) -> DataFrame:
+    return over_runs(materialize(df, "rolls"), keys, order, max(windows, default=1) - 1, lambda k, o: rolling_mean_columns(cols, k, o, windows))
 
-    One partial aggregate of per-site counts (a pruned scan of the key columns) decides it;
-    only a single summary row reaches the driver.
-    """
-    spark = df.sparkSession
-    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .agg(F.max("_n").alias("mx"), F.sum("_n").alias("tot")).first())
-    if row is None or not row["tot"]:
-        return "window"
-    return "range" if row["mx"] > max(1.0, row["tot"] / max(n, 1)) else "window"
 
+def rolling_mean_past(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
+                      lags: Sequence[int] = DEFAULT_LAGS, ks: Sequence[int] = PAST_ROLL_K) -> DataFrame:
+    return over_runs(materialize(df, "past_rolls"), keys, order, max(ks, default=0), lambda k, o: rolling_mean_past_columns(cols, k, o, lags, ks))
 
-def add_features(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = DEFAULT_KEYS,
+
+def add_features(df: DataFrame, cols: Sequence[str] | None = None, keys: Sequence[str] = DEFAULT_KEYS,
                  date_col: str | None = "date", tiebreak: Sequence[str] = (),
                  lags: Sequence[int] = DEFAULT_LAGS, windows: Sequence[int] = DEFAULT_WINDOWS,
-                 strategy: str = "window") -> DataFrame:
-    """z-scores always; lags, rolling and past-rolling means when a date column is given.
+                 run_rows: int | None = None) -> DataFrame:
+    """z-scores always; lags, rolling and past-rolling means when an order column is given.
 
-    ``tiebreak`` columns make the row order total when a site has duplicate dates.
+    Without ``cols``, every numeric column but the keys, YEAR, MONTH and the order columns is taken.
+    ``tiebreak`` columns make the row order total when a site has duplicate dates; a null in the
+    order column fails, since it would shift every lag of its site.
     Column order: input, ``__z`` block, then per lag, per window, then past rolls.
-    ``strategy``: ``"window"`` (one exchange, a site per task), ``"range"`` (skew-safe, see
-    ``ordered.py``) or ``"auto"`` (``choose_strategy``). All give identical rows.
     """
     keys = list(keys)
-    for k in keys:
-        if k not in df.columns:
-            raise ValueError(f"Group key '{k}' not found in dataset.")
-    for c in cols:
-        if c not in df.columns:
-            raise ValueError(f"Requested column '{c}' not in dataset.")
-    if date_col is None:
-        return df.select("*", *zscore_columns(cols, keys))
-    if date_col not in df.columns:
-        raise ValueError(f"Date column '{date_col}' not found in dataset.")
-    order = [date_col, *tiebreak]
-    if strategy == "auto":
-        strategy = choose_strategy(df, keys)
-    if strategy == "range":
-        from .ordered import ordered_features_range
-        return ordered_features_range(df, cols, keys, order, lags, windows)
-    return df.select(
-        "*",
-        *zscore_columns(cols, keys),
-        *lag_columns(cols, keys, order, lags),
-        *rolling_mean_columns(cols, keys, order, windows),
-        *rolling_mean_past_columns(cols, keys, order, lags),
-    )
+    order = [date_col, *tiebreak] if date_col is not None else []
+    require_columns(df, [*keys, *order, *(cols or [])], "panel")
+    if cols is None:
+        cols = numeric_columns(df, [*keys, "YEAR", "MONTH", *order])
+    if not order:
+        return zscore_by_group(materialize(df, "features"), cols, keys)
+    unset = F.raise_error(F.lit(f"a row without a value in the order column {date_col!r}"))
+    checked = F.when(F.col(date_col).isNull(), unset.cast(df.schema[date_col].dataType)).otherwise(F.col(date_col))
+    df = materialize(df.withColumn(date_col, checked), "features")
+    depth = max([*lags, *[w - 1 for w in windows], *(k for k in PAST_ROLL_K if set(range(1, k + 1)) <= set(lags)), 0])
+    return over_runs(zscore_by_group(df, cols, keys), keys, order, depth, lambda k, o: [
+        *lag_columns(cols, k, o, lags), *rolling_mean_columns(cols, k, o, windows),
+        *rolling_mean_past_columns(cols, k, o, lags)], run_rows)
 
 
 # --------------------------------------------------------------------------- climatology labels
@@ -181,39 +168,19 @@ def climatology_percentile(df: DataFrame, value: str, keys: Sequence[str], p: fl
 
 def event_label(df: DataFrame, value: str = "precip", keys: Sequence[str] = DEFAULT_KEYS,
                 month_col: str | None = "MONTH", date_col: str | None = None, p: float = 20.0,
-                label: str = "sequia", broadcast_max_rows: int | None = None,
-                method: str = "aggregate") -> DataFrame:
+                label: str = "sequia") -> DataFrame:
     """``label = value <= percentile_p(value | site, calendar month)``; ties count, null -> 0.
 
-    Adds ``ppt_pctl`` and ``label``. Fails if the value column is entirely null.
-
-    ``method="aggregate"``: partial aggregate per (site, month) joined back; no task ever holds
-    a whole group. ``method="window"``: the percentile over a (site, month) window; when the input
-    is already hash-partitioned by the site keys (after the window features), this needs no
-    new exchange at all, since site partitioning also clusters (site, month).
+    Adds ``ppt_pctl`` and ``label``. Fails if the value column holds nothing but nulls. The
+    percentile is a partial aggregate per (site, month) joined back; no task holds a whole group.
     """
-    for c in [value, *keys]:
-        if c not in df.columns:
-            raise ValueError(f"Column '{c}' not in dataset")
-    if month_col and month_col in df.columns:
-        month = F.col(month_col).cast("int")
-    elif date_col and date_col in df.columns:
-        month = F.month(F.col(date_col))
-    else:
-        raise ValueError("Provide a month column (present in data) or a date column to extract month.")
-    if df.where(F.col(value).isNotNull()).limit(1).count() == 0:
-        raise ValueError(f"'{value}' has only nulls.")
+    require_columns(df, [value, *keys], "panel")
     mkey = "_month_resolved_"
-    base = df.withColumn(mkey, month)
+    base = df.withColumn(mkey, extract_month(df, month_col, date_col))
     gkeys = [*keys, mkey]
-    if method == "window":
-        pct = F.percentile(F.col(value), F.lit(p / 100.0)).over(Window.partitionBy(*gkeys))
-        out = base.withColumn("ppt_pctl", pct).drop(mkey)
-        return out.withColumn(label, F.coalesce((F.col(value) <= F.col("ppt_pctl")).cast("bigint"),
-                                                F.lit(0).cast("bigint")))
-    clim = climatology_percentile(base, value, gkeys, p)
-    if broadcast_max_rows is not None:
-        clim = sized_broadcast(clim, broadcast_max_rows)
+    clim = materialize(climatology_percentile(base, value, gkeys, p), "climatology")
+    if clim.where(F.col("ppt_pctl").isNotNull()).isEmpty() and not clim.isEmpty():
+        raise ValueError(f"nothing to rank: {value!r} is null in every row")
     a, b = base.alias("_a"), clim.alias("_b")
     joined = a.join(b, null_safe_keys(a, b, gkeys), "left")
     out = joined.select(*[F.col(f"_a.{c}") for c in df.columns], F.col("_b.ppt_pctl"))

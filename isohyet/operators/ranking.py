@@ -9,16 +9,15 @@ rows is therefore still ranked by many tasks.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from .strategy import null_safe_keys
 
 
 HASH_BUCKET_HEX_DIGITS = 3          # 4096 buckets per stratum
-MAX_LOCAL_GROUPS = 1_000_000        # group-size table small enough for the greedy fold balancer
 
 
 def stable_hash(id_col: str, seed: int) -> Column:
@@ -30,7 +29,7 @@ def hash_rank(df: DataFrame, id_col: str, seed: int, strata: Sequence[str] = (),
     """Add ``out`` = 0-based rank of each row by (hash(id, seed), id) within ``strata``."""
     strata = list(strata)
     h = df.withColumn("_h", stable_hash(id_col, seed)).withColumn(
-        "_b", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int"))
+        "_b", F.coalesce(F.conv(F.substring("_h", 1, digits), 16, 10).cast("int"), F.lit(-1)))
     counts = h.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_nb"))
     # offsets over the count table only (<= 16^digits rows per stratum, never the data rows);
     # without strata the whole table is one such small group
@@ -40,7 +39,9 @@ def hash_rank(df: DataFrame, id_col: str, seed: int, strata: Sequence[str] = (),
     # at most 16^digits rows per stratum. It is an aggregate, so AQE sees its exact size when the
     # shuffle stage completes and broadcasts it then; counting it first would cost a full pass.
     local = F.row_number().over(Window.partitionBy(*strata, "_b").orderBy("_h", id_col)) - 1
-    ranked = h.withColumn("_loc", local).join(offsets, [*strata, "_b"], "inner")
+    ranked = h.withColumn("_loc", local)
+    a, o = ranked.alias("_a"), offsets.alias("_o")
+    ranked = a.join(o, null_safe_keys(a, o, [*strata, "_b"]), "inner").select("_a.*", "_o._off")
     return ranked.withColumn(out, (F.col("_off") + F.col("_loc")).cast("bigint")).drop("_h", "_b", "_loc", "_off")
 
 
@@ -83,45 +84,29 @@ def stratified_kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: i
             .withColumn(out, (F.col("_r") % k).cast("int")).drop("_r"))
 
 
-def greedy_group_folds(sizes: list[tuple], k: int) -> dict:
-    """Largest group first to the currently lightest fold (lowest fold id on ties)."""
-    order = sorted(sizes, key=lambda t: (-t[1], t[0] is None, t[0] if t[0] is not None else 0))
-    heap = [(0, f) for f in range(k)]
-    heapq.heapify(heap)
-    out = {}
-    for g, n in order:
-        load, f = heapq.heappop(heap)
-        out[g] = f
-        heapq.heappush(heap, (load + n, f))
-    return out
-
+def group_fold_table(df: DataFrame, group: str, k: int = 5, seed: int = 42) -> DataFrame:
+    """(group, n, fold): groups never split, folds within one group's rows of each other.
 
-def _group_folds(df: DataFrame, group: str, k: int, max_local_groups: int) -> tuple[DataFrame, bool]:
+    Groups are ranked by size, largest first, and dealt round-robin. The rank is distributed at
+    every size: ranks inside a size come from hash buckets, and the sizes themselves (one row each)
+    supply the offsets. The reference gives each group to the lightest fold instead; dealing keeps
+    its balance without a sequential pass over the groups.
+    """
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    rows = sizes.limit(max_local_groups + 1).collect()     # stops after max_local_groups + 1 groups
-    if len(rows) <= max_local_groups:
-        assign = greedy_group_folds([(r[group], r["n"]) for r in rows], k)
-        schema = T.StructType([*sizes.schema.fields, T.StructField("fold", T.IntegerType())])
-        table = df.sparkSession.createDataFrame([(r[group], r["n"], assign[r[group]]) for r in rows], schema)
-        return table, True
-    return sizes.withColumn("fold", F.pmod(F.xxhash64(F.col(group)), F.lit(k)).cast("int")), False
-
+    ranked = hash_rank(sizes, group, seed, strata=["n"])
+    larger = Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.groupBy("n").agg(F.count(F.lit(1)).alias("_c")).select("n", F.coalesce(F.sum("_c").over(larger), F.lit(0)).alias("_before"))
+    return ranked.join(before, "n").select(group, "n", F.pmod(F.col("_rank") + F.col("_before"), F.lit(k)).cast("int").alias("fold"))
 
-def group_fold_table(df: DataFrame, group: str, k: int = 5, max_local_groups: int = MAX_LOCAL_GROUPS) -> DataFrame:
-    """(group, n, fold): groups never split, folds balanced by row count.
 
-    The group-size table is a partial aggregate. When it has at most ``max_local_groups`` rows
-    (checked by a bounded read), the greedy balancer runs on it (group-sized, never row-sized);
-    beyond that, folds are ``pmod(xxhash64(group), k)``, which balances by law of large numbers.
-    """
-    return _group_folds(df, group, k, max_local_groups)[0]
+def group_kfold(df: DataFrame, group: str, k: int = 5, out: str = "fold", seed: int = 42) -> DataFrame:
+    folds = group_fold_table(df, group, k, seed).select(group, F.col("fold").alias(out))
+    a, b = df.alias("_d"), folds.alias("_f")   # AQE broadcasts or skew-splits by the measured sizes
+    return a.join(b, a[group].eqNullSafe(b[group]), "left").select("_d.*", F.col(f"_f.{out}"))
 
 
-def group_kfold(df: DataFrame, group: str, k: int = 5, out: str = "fold",
-                max_local_groups: int = MAX_LOCAL_GROUPS) -> DataFrame:
-    table, local = _group_folds(df, group, k, max_local_groups)
-    folds = table.select(group, F.col("fold").alias(out))
-    if local:
-        folds = F.broadcast(folds)      # at most max_local_groups rows; the hashed table is left to AQE
-    a, b = df.alias("_d"), folds.alias("_f")
-    return a.join(b, a[group].eqNullSafe(b[group]), "left").select("_d.*", F.col(f"_f.{out}"))
+def sample_subset(df: DataFrame, group: str | None, label: str, id_col: str, frac: float, seed: int = 42) -> DataFrame:
+    """Whole groups when there is more than one, rows of every class otherwise."""
+    if group is not None and group in df.columns and df.select(group).where(F.col(group).isNotNull()).distinct().limit(2).count() > 1:
+        return sample_groups(df, group, frac, seed)
+    return df if frac >= 0.999 else sample_stratified(df, label, id_col, frac, seed)

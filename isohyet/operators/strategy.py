@@ -1,26 +1,10 @@
-"""Join-strategy helpers with explicit size checks."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# A dimension is broadcast only when it is proven to have at most this many rows.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows. The job stops reading after max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a bounded row-count check; otherwise leave it to AQE,
-    which converts to broadcast from runtime shuffle statistics or keeps a shuffle join
-    (with skew-split) when the side is large."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
 def null_safe_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

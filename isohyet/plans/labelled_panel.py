@@ -1,7 +1,7 @@
 """The panel-building chain: merge -> spatial blocks -> features -> label, as one Spark DAG.
 
-The reference runs these as separate processes with a CSV between each; here they compose into
-one plan, so Catalyst prunes columns across steps and nothing is written in between.
+The reference runs these as separate processes with a CSV between each; here they compose, and
+only what several steps read is written, to the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import month_start_date, spatial_block
-from ..operators.panel import add_features, choose_strategy, enrich_left_join, event_label
+from ..operators.panel import add_features, enrich_left_join, event_label
+from ..session import materialize
 from ..sources import fixtures
 
 FEATURE_COLS = ("precip", "n_obs", "humid")
@@ -31,22 +32,11 @@ def blocked_panel(spark: SparkSession, sf_dir: str, km: float = 50.0) -> DataFra
 
 
 def featured_panel(spark: SparkSession, sf_dir: str, cols: Sequence[str] = FEATURE_COLS,
-                   lags: Sequence[int] = (1, 2, 3), windows: Sequence[int] = (3, 6),
-                   strategy: str = "auto") -> DataFrame:
-    df = blocked_panel(spark, sf_dir)
-    if strategy == "auto":
-        strategy = choose_strategy(df, ("LAT", "LON"))
-    return add_features(df, cols, keys=("LAT", "LON"), date_col="date", lags=lags, windows=windows,
-                        strategy=strategy)
-
-
-def labelled_panel(spark: SparkSession, sf_dir: str, p: float = 20.0, strategy: str = "auto", **kw) -> DataFrame:
-    """Window features are already site-partitioned, so the label window adds no exchange; the
-    skew-safe features use the aggregate form so no task holds a whole (site, month) group.
-    ``strategy="auto"`` picks the skew-safe pair only when some site is hot."""
-    if strategy == "auto":
-        strategy = choose_strategy(blocked_panel(spark, sf_dir), ("LAT", "LON"))
-    df = featured_panel(spark, sf_dir, strategy=strategy, **kw)
-    method = "aggregate" if strategy == "range" else "window"
-    return event_label(df, value="precip", keys=("LAT", "LON"), month_col="MONTH", p=p, label="sequia",
-                       method=method)
+                   lags: Sequence[int] = (1, 2, 3), windows: Sequence[int] = (3, 6)) -> DataFrame:
+    return add_features(blocked_panel(spark, sf_dir), cols, keys=("LAT", "LON"), date_col="date", lags=lags, windows=windows)
+
+
+def labelled_panel(spark: SparkSession, sf_dir: str, p: float = 20.0, **kw) -> DataFrame:
+    """The finished features are written once: the label's percentiles and its join both read them."""
+    df = materialize(featured_panel(spark, sf_dir, **kw), "featured")
+    return event_label(df, value="precip", keys=("LAT", "LON"), month_col="MONTH", p=p, label="sequia")

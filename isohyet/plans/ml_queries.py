@@ -147,11 +147,16 @@ def q_hyperparameter_search(spark, sf):
 
 
 def q_refit_from_best(spark, sf):
+    """Search, store the best trial, read it back, refit by it on the other folds, score the holdout."""
     df = model_frame(spark, sf)
     feats = features(df)
-    best = {"kind": "rf", "sampler": "none", "params": SMALL_RF}
     folded = T.assign_folds(df, LABEL, ID, GROUP, 3, 42)
-    model = T.refit_from_best(folded.where("fold != 0"), feats, LABEL, ID, best, calibration="sigmoid", inner_cv=3)
+    train = folded.where("fold != 0").drop("fold")
+    _, best = T.hyperparameter_search(train, feats, LABEL, ID, kind="rf", n_trials=1, group_col=GROUP, k=2, sampler="none", seed=42,
+                                      space={"n_estimators": (10, 20, 10), "max_depth": (3, 5)})
+    path = scratch_path(spark, "best")
+    T.write_best(spark, best, path)
+    model = T.refit_from_best(train, feats, LABEL, ID, T.read_best(spark, path), calibration="sigmoid", inner_cv=3)
     return M.holdout_metrics(T.score(model, folded.where("fold = 0"), feats), y=LABEL, prob="prob_sequia")
 
 

@@ -282,21 +282,15 @@ ORACLE: dict[str, str] = {
 
 # ---- scored-table oracles (metrics, folds, sampling)
 
+def _h(col: str, seed: int = 42) -> str:
+    return f"md5(CAST({col} AS VARCHAR) || ':{seed}')"
+
+
 def group_folds_sql(k: int = 5) -> str:
-    zeros = ", ".join("0" for _ in range(k))
+    """Groups dealt round-robin, largest first; groups of one size in hash order."""
     return f"""
-SELECT grp, n, fold FROM (
-  WITH RECURSIVE g AS (
-    SELECT grp, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, grp) AS rn
-    FROM ({SCORED_SQL}) s GROUP BY grp),
-  r(rn, grp, n, fold, loads) AS (
-    SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS INTEGER), [{zeros}]::BIGINT[]
-    UNION ALL
-    SELECT g.rn, g.grp, g.n, CAST(list_position(r.loads, list_min(r.loads)) - 1 AS INTEGER),
-           list_transform(range(1, {k + 1}), lambda i: r.loads[i] +
-               CASE WHEN i = list_position(r.loads, list_min(r.loads)) THEN g.n ELSE 0 END)
-    FROM r JOIN g ON g.rn = r.rn + 1)
-  SELECT grp, n, fold FROM r WHERE rn > 0) x
+SELECT grp, n, CAST((row_number() OVER (ORDER BY n DESC, {_h('grp')} NULLS FIRST, grp NULLS FIRST) - 1) % {k} AS INTEGER) AS fold
+FROM (SELECT grp, count(*) AS n FROM ({SCORED_SQL}) s GROUP BY grp) g
 """
 
 
@@ -383,10 +377,6 @@ def cv_summary_sql(src: str, metrics: Sequence[str]) -> str:
             f"FROM ({unions}) u GROUP BY metric")
 
 
-def _h(col: str, seed: int = 42) -> str:
-    return f"md5(CAST({col} AS VARCHAR) || ':{seed}')"
-
-
 _CM = ["precision", "recall", "f1", "positive_rate_pred", "positive_rate_true", "brier", "threshold"]
 _SWEEP_D = ["threshold", "precision", "recall", "f1", "fpr", "objective"]
 _FOLD_D = ["best_threshold", "pr_auc", "roc_auc", "f1", "recall", "precision"]
@@ -440,7 +430,7 @@ ORACLE.update({
              r AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {_h('row_id')}, row_id) - 1 AS rk,
                           count(*) OVER (PARTITION BY y) AS nc FROM s)
         SELECT row_id, grp, y, prob FROM r WHERE rk < CAST(round(nc * CAST(0.35 AS DOUBLE)) AS BIGINT)""", ["prob"]),
-    "group_semi_join": rounded(f"SELECT * FROM ({PANEL_SQL}) p WHERE loc_id IN (SELECT loc_id FROM ({SITE_SQL}) s)",
+    "group_semi_join": rounded(f"SELECT * FROM ({PANEL_SQL}) p WHERE loc_id IN (SELECT loc_id FROM ({SITE_SQL}) s WHERE elev IS NOT NULL)",
                                PANEL_D),
 })
 

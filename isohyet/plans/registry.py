@@ -70,25 +70,26 @@ def q_zscore_by_group(spark, sf):
 
 def q_lag_features(spark, sf):
     d = _dated(spark, sf)
-    return d.select("*", *P.lag_columns(FEAT, ["LAT", "LON"], ["date"], (1, 2, 3)))
+    return P.lag_features(d, FEAT, ["LAT", "LON"], ["date"], (1, 2, 3))
 
 
 def q_rolling_mean(spark, sf):
     d = _dated(spark, sf)
-    return d.select("*", *P.rolling_mean_columns(FEAT, ["LAT", "LON"], ["date"], (3, 6)))
+    return P.rolling_mean(d, FEAT, ["LAT", "LON"], ["date"], (3, 6))
 
 
 def q_rolling_mean_past(spark, sf):
     d = _dated(spark, sf)
-    return d.select("*", *P.rolling_mean_past_columns(FEAT, ["LAT", "LON"], ["date"], (1, 2, 3, 4, 5, 6)))
+    return P.rolling_mean_past(d, FEAT, ["LAT", "LON"], ["date"], (1, 2, 3, 4, 5, 6))
 
 
 def q_add_features(spark, sf):
-    return LP.featured_panel(spark, sf, strategy="window")
+    return LP.featured_panel(spark, sf)
 
 
 def q_add_features_skew_safe(spark, sf):
-    return LP.featured_panel(spark, sf, strategy="range")
+    """The same features with runs far shorter than a site, so that every site is cut into several."""
+    return P.add_features(LP.blocked_panel(spark, sf), FEAT, keys=("LAT", "LON"), date_col="date", run_rows=16)
 
 
 def q_climatology_percentile(spark, sf):
@@ -251,7 +252,7 @@ def q_sample_stratified(spark, sf):
 
 
 def q_group_semi_join(spark, sf):
-    return P.group_semi_join(fixtures.panel(spark, sf), fixtures.site(spark, sf), "loc_id")
+    return P.group_semi_join(fixtures.panel(spark, sf), fixtures.site(spark, sf).where("elev is not null"), "loc_id")
 
 
 QUERIES: dict[str, Query] = {}

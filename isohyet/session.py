@@ -49,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it has to name a folder that all executors share")
     # Unset (tests, local runs): a private folder is fine because there is only one machine.
     local = tempfile.mkdtemp(prefix="isohyet-ckpt-")
     sc.setCheckpointDir(local)

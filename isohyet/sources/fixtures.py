@@ -50,11 +50,11 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Static site attributes; every 7th supplier is missing so the left join has a null side."""
+    """Static site attributes; the elevation of every 7th is unknown."""
     s = table(spark, sf_dir, "supplier")
-    return s.where(F.col("s_suppkey") % 7 != 0).select(
+    return s.select(
         F.col("s_suppkey").alias("loc_id"),
-        F.col("s_acctbal").cast("double").alias("elev"),
+        F.when(F.col("s_suppkey") % 7 != 0, F.col("s_acctbal").cast("double")).alias("elev"),
         F.col("s_nationkey").cast("bigint").alias("soil_class"),
     )
 
@@ -70,18 +70,6 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents joined to their labels: a small imbalanced classification input."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
-    lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    return d.join(lab, "doc_id", "inner").select(
-        "doc_id",
-        F.col("n_chars").cast("double").alias("n_chars"),
-        F.col("quality").cast("double").alias("quality"),
-        F.col("toxic").cast("int").alias("toxic"),
-    )
-
-
 # ---- DuckDB twins (pre-registered views: lineitem, supplier, events, ...) ----
 
 PANEL_SQL = """
@@ -102,8 +90,9 @@ FROM (
 """
 
 SITE_SQL = """
-SELECT s_suppkey AS loc_id, CAST(s_acctbal AS DOUBLE) AS elev, CAST(s_nationkey AS BIGINT) AS soil_class
-FROM supplier WHERE s_suppkey % 7 <> 0
+SELECT s_suppkey AS loc_id, CASE WHEN s_suppkey % 7 <> 0 THEN CAST(s_acctbal AS DOUBLE) END AS elev,
+       CAST(s_nationkey AS BIGINT) AS soil_class
+FROM supplier
 """
 
 SCORED_SQL = """

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -49,24 +47,3 @@ def read_metrics(spark: SparkSession, path: str, schema: T.StructType | None = N
     if schema is not None:
         r = r.schema(schema)
     return r.json(path)
-
-
-def metrics_summary(row: dict) -> str:
-    """One-line summary of a holdout metrics record."""
-    keys = ["pr_auc", "roc_auc", "f1", "recall", "precision", "brier"]
-    return " ".join(f"{k}={row[k]:.4f}" for k in keys if row.get(k) is not None)
-
-
-def read_feature_list(spark: SparkSession, path: str) -> list[str]:
-    """Accepts ``{"feature_columns": [...]}`` or a bare list (a small JSON text file, read via Spark
-    so shared storage works)."""
-    data = json.loads("\n".join(r["value"] for r in spark.read.text(path).collect()))
-    if isinstance(data, dict) and "feature_columns" in data:
-        cols = list(data["feature_columns"])
-    elif isinstance(data, list):
-        cols = list(data)
-    else:
-        raise ValueError(f"Unrecognized columns format in {path}")
-    if not cols:
-        raise ValueError("feature list must be non-empty")
-    return cols

@@ -77,33 +77,68 @@ def test_month_start_and_leakage(spark):
     assert drop_leakage(d2).columns == ["precip__roll_prev3m", "n_obs"]
 
 
-def test_skew_safe_strategy_equals_window_strategy(spark):
-    rng = np.random.default_rng(9)
+def _site_panel(spark, seed=9, null_key=True):
+    rng = np.random.default_rng(seed)
     rows = []
     for site in range(3):
         months = sorted(rng.choice(60, size=40, replace=False))          # gaps in the calendar
         for m in map(int, months):
             v = None if rng.random() < 0.15 else float(rng.integers(0, 20))
             rows.append((float(site), 0.0, dt.date(2000 + m // 12, m % 12 + 1, 1), v, m % 12 + 1))
-    rows.append((None, 0.0, dt.date(2001, 1, 1), 3.0, 1))                 # null key row
-    df = _panel(spark, rows)
-    a = add_features(df, ["x"], lags=(1, 2, 3, 4, 5, 6), windows=(3, 6), strategy="window")
-    b = add_features(df, ["x"], lags=(1, 2, 3, 4, 5, 6), windows=(3, 6), strategy="range")
-    assert a.columns == b.columns
-    ra = a.select([F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in a.dtypes])
-    rb = b.select([F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in b.dtypes])
-    assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
-
-
-def test_label_window_and_aggregate_forms_agree(spark):
-    rng = np.random.default_rng(11)
-    rows = [(float(s), 0.0, dt.date(2000 + y, m, 1), float(rng.integers(0, 9)) if rng.random() > 0.1 else None, m)
-            for s in range(3) for y in range(6) for m in (1, 2, 3)]
-    rows.append((None, 0.0, dt.date(2001, 1, 1), 2.0, 1))
-    df = _panel(spark, rows)
-    a = event_label(df, value="x", month_col="MONTH", p=20, method="window")
-    b = event_label(df, value="x", month_col="MONTH", p=20, method="aggregate")
-    assert a.exceptAll(b.select(*a.columns)).count() == 0 and b.select(*a.columns).exceptAll(a).count() == 0
+    if null_key:
+        rows.append((None, 0.0, dt.date(2001, 1, 1), 3.0, 1))
+    return _panel(spark, rows)
+
+
+def _rounded(df):
+    return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()), key=repr)
+
+
+def test_features_do_not_depend_on_runs_or_partitions(spark):
+    """Against plain windows over a whole site, with many runs a site and with 4 and 400 partitions."""
+    from isohyet.operators import panel as P
+
+    lags = (1, 2, 3, 4, 5, 6)
+    df = _site_panel(spark)
+    z = P.zscore_by_group(df, ["x"], ["LAT", "LON"])
+    want = z.select("*", *P.lag_columns(["x"], ["LAT", "LON"], ["date"], lags), *P.rolling_mean_columns(["x"], ["LAT", "LON"], ["date"]),
+                    *P.rolling_mean_past_columns(["x"], ["LAT", "LON"], ["date"], lags))
+    got = add_features(df, ["x"], lags=lags, run_rows=7)
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert _rounded(got) == _rounded(want)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "400")
+        assert _rounded(add_features(df, ["x"], lags=lags, run_rows=7)) == _rounded(want)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_one_site_decimals_and_an_integer_order_column(spark):
+    n = 500
+    df = spark.createDataFrame([(1.0, 2.0, i, i * 3 % 101) for i in range(n)], "LAT double, LON double, t int, v int") \
+        .select("LAT", "LON", "t", F.col("v").cast("decimal(10,2)").alias("x"))
+    out = add_features(df, None, date_col="t", lags=(1, 2, 3), windows=(3,), run_rows=50)
+    assert [t for c, t in out.dtypes if c in ("x", "x__lag1")] == ["decimal(10,2)"] * 2
+    rows = out.orderBy("t").collect()
+    assert len(rows) == n and all(rows[i].x__lag2 == rows[i - 2].x for i in range(2, n)) and rows[1].x__lag2 is None
+    assert all(abs(float(rows[i].x__roll3m) - sum(float(rows[j].x) for j in (i, i - 1, i - 2)) / 3) < 1e-4 for i in range(2, n))
+
+
+def test_null_dates_fail(spark):
+    import pytest
+
+    df = _panel(spark, [(0.0, 0.0, None, 1.0, 1)])
+    with pytest.raises(Exception, match="without a value in the order column"):
+        add_features(df, ["x"]).count()
+
+
+def test_all_null_values_fail(spark):
+    import pytest
+
+    df = spark.createDataFrame([(0.0, 0.0, 1, None)], "LAT double, LON double, MONTH int, x double")
+    with pytest.raises(ValueError, match="null in every row"):
+        event_label(df, value="x")
 
 
 def test_month_from_date_when_no_month_column(spark):
@@ -118,16 +153,9 @@ def test_parse_date_strict_rejects_bad_values(spark):
     import pytest
 
     from isohyet.functions.scalar import parse_date_strict
-    good = spark.createDataFrame([("2001-02-01",), (None,)], "d string")
-    assert parse_date_strict(good, "d").where("d is not null").count() == 1
+    assert parse_date_strict(spark.createDataFrame([("2001-02-01",)], "d string"), "d").where("d is not null").count() == 1
+    with pytest.raises(ValueError):
+        parse_date_strict(spark.createDataFrame([("2001-02-01",), (None,)], "d string"), "d")
     bad = spark.createDataFrame([("2001-02-01",), ("not a date",)], "d string")
     with pytest.raises(ValueError):
         parse_date_strict(bad, "d")
-
-
-def test_auto_strategy_detects_a_hot_site(spark):
-    from isohyet.operators.panel import choose_strategy
-    even = spark.createDataFrame([(float(i % 50), 0.0) for i in range(500)], "LAT double, LON double")
-    hot = spark.createDataFrame([(0.0 if i < 200 else float(i % 50), 0.0) for i in range(600)], "LAT double, LON double")
-    assert choose_strategy(even, ["LAT", "LON"], n_parts=4) == "window"
-    assert choose_strategy(hot, ["LAT", "LON"], n_parts=4) == "range"
