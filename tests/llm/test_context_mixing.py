@@ -16,7 +16,6 @@ def _split(i):
 
 def test_base_score_and_counts_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(M, "CODED_WORDS", 12)  # most words go the way of the join
-    monkeypatch.setattr(M, "SLOT_BITS", 14)
     got = M.score_documents(spark.createDataFrame(ROWS, "doc_id long, text string")).collect()
     counts = Counter()
     for i, t in ROWS:

@@ -74,3 +74,94 @@ def test_confusion_zero_division(spark):
     df = spark.createDataFrame(pd.DataFrame({"y": [0, 0], "prob": [0.1, 0.2]}))
     r = M.confusion_metrics(df, th=0.5).first()
     assert r["precision"] == 0.0 and r["recall"] == 0.0 and r["f1"] == 0.0
+
+
+def test_bad_scores_and_labels_fail_everywhere(spark):
+    import pytest
+
+    from isohyet.operators import metrics as M
+
+    bad = [[(1, 0.5), (0, None)], [(1, 0.5), (0, float("nan"))], [(1, 0.5), (2, 0.1)], [(1, 0.5), (None, 0.1)]]
+    for rows in bad:
+        df = spark.createDataFrame(rows, "y int, prob double")
+        for metric in (M.ranking_metrics, M.confusion_metrics, M.threshold_sweep, M.reliability_curve, M.brier_score, M.pr_curve):
+            with pytest.raises(Exception, match="a score is null or NaN|a label is neither"):
+                metric(df).collect()
+
+
+def test_counts_past_the_range_of_a_long_product(spark):
+    from isohyet.operators import metrics as M
+
+    scores = spark.createDataFrame([(0.9, 4_000_000_000, 0), (0.5, 0, 9_000_000_000)], "score double, tp long, fp long")
+    r = M.ranking_of_scores(scores).first()
+    assert r.roc_auc == 1.0 and r.pr_auc == 1.0
+
+
+def test_no_metric_plan_has_a_nested_loop_join(spark):
+    from isohyet.operators import metrics as M
+
+    df = spark.createDataFrame([(i % 2, i / 100) for i in range(100)], "y int, prob double")
+    for f in (M.ranking_metrics, M.pr_curve, M.roc_curve, M.threshold_sweep, M.holdout_metrics):
+        plan = f(df)._jdf.queryExecution().optimizedPlan().toString() + f(df)._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_sweep_with_a_fractional_step(spark):
+    from isohyet.operators import metrics as M
+
+    df = spark.createDataFrame([(i % 2, i / 40) for i in range(41)], "y int, prob double")
+    got = M.threshold_sweep(df, min_pct=2.5, max_pct=50, step_pct=2.5).orderBy("threshold").collect()
+    assert len(got) == 20
+    for k, r in enumerate(got):
+        th = (2.5 + k * 2.5) / 100
+        assert r.threshold == th and r.tp == sum(1 for i in range(41) if i % 2 and i / 40 >= th)
+
+
+def test_medians_are_exact(spark):
+    import numpy as np
+
+    from isohyet.ml.prep import column_medians
+
+    rng = np.random.default_rng(3)
+    a = [5.0] * 700 + rng.normal(size=301).tolist()                     # a hot value
+    b = [1.0, 2.0, 3.0, 4.0] + [None] * 996 + [float("nan")]            # an even count
+    c = (rng.normal(size=1001) * 10.0 ** rng.integers(-200, 200, 1001)).tolist()
+    df = spark.createDataFrame(list(zip(a, b, c)), "a double, b double, c double").withColumn("d", __import__("pyspark").sql.functions.lit(None).cast("double"))
+    got = column_medians(df, ["a", "b", "c", "d"])
+    assert got == {"a": float(np.median(a)), "b": 2.5, "c": float(np.median(c)), "d": None}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+
+    from isohyet import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Fake:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Fake())
+
+
+def test_a_best_record_is_needed_for_a_refit():
+    import pytest
+
+    from isohyet.ml import train as T
+
+    spec = T.spec_of_best({"model": "rf", "best_params": {"rf_max_depth": 7, "gbm_subsample": 1}})
+    assert spec.params == {"n_estimators": 400, "max_depth": 7, "min_samples_leaf": 2, "max_features": 0.8} and spec.sampler == "none"
+    record = T.best_record("gbm", "smote", {"n_estimators": 9, "learning_rate": 0.1}, 0.5)
+    assert T.spec_of_best(record).params["n_estimators"] == 9 and T.spec_of_best(record).sampler == "smote"
+    for bad in ({}, {"kind": "rf", "params": {}}, {"model": "svm", "best_params": {}}):
+        with pytest.raises(ValueError):
+            T.spec_of_best(bad)
