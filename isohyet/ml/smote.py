@@ -1,17 +1,16 @@
 """SMOTE minority oversampling as Spark jobs.
 
-1. k nearest minority neighbours of every minority row, EXACT, without all-pairs work:
-   rows are ordered along their first principal direction and cut into chunks of bounded
-   size (quantile buckets); each chunk's rows search the chunk and its two neighbours
-   (Arrow-batched numpy inside ``applyInPandas``). Because a projection onto a unit vector
-   never lengthens a distance, a row whose k-th distance r fits inside the searched
-   projection range is certified exact. For the remaining rows, every minority row whose
-   projection lies within r of theirs is a candidate (no cap): candidates are searched one
-   (query chunk, candidate chunk) pair per task, so no task holds more than two chunks, and
-   the partial top-k lists are merged per row. Every result is exact.
+1. k nearest minority neighbours by a forest of random-projection trees, at every size: each of
+   ``TREES`` trees halves the rows by random directions until a leaf is expected to hold ``LEAF_ROWS``
+   (cuts are medians of a bounded sample), and a leaf that came out larger is cut along one more
+   direction into even parts, ties or not. Rows are compared only inside their part, and a row's
+   best over all trees are merged. So the work is trees x rows x leaf, no list of pairs or chunks
+   exists anywhere, and up to ``LEAF_ROWS`` rows the search is exact. Recall is measured in the tests.
 2. ``n_major - n_minor`` synthetic rows ``x + u * (nn - x)``: sample j picks its base row,
-   neighbour slot and gap from seeded hashes of j, so generation is an equi-join spread over
-   all tasks, never a driver loop.
+   neighbour and gap from seeded hashes of j, so generation is an equi-join spread over all
+   tasks, never a driver loop.
+
+The functions that run in Python workers hold all they need, so workers need not import this package.
 """
 
 from __future__ import annotations
@@ -20,130 +19,100 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, Bucketizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.ranking import hash_rank
 from ..session import materialize
 
 DEFAULT_K = 5
-CHUNK_ROWS = 2048
-_REL = 1e-9  # slack on the certified radius for floating error
-
-
-def _knn_block(qx, qi, cand_x, cand_i, k):
-    """Exact k nearest candidates (excluding self) for a block of queries: (rows, exact dists)."""
-    d2 = (qx * qx).sum(1)[:, None] + (cand_x * cand_x).sum(1)[None, :] - 2.0 * qx @ cand_x.T
-    d2[qi[:, None] == cand_i[None, :]] = np.inf
-    out = []
-    for r in range(len(qi)):
-        finite = np.isfinite(d2[r])
-        kk = min(k, int(finite.sum()))
-        if kk == 0:
-            out.append((np.array([], dtype=np.int64), np.array([])))
-            continue
-        # a few extra by the expanded form, then exact distances decide (ties by index)
-        m = min(int(finite.sum()), kk + 8)
-        idx = np.argpartition(d2[r], m - 1)[:m]
-        idx = idx[np.isfinite(d2[r, idx])]
-        exact = np.sqrt(((cand_x[idx] - qx[r]) ** 2).sum(1))
-        order = np.lexsort((cand_i[idx], exact))[:kk]
-        out.append((cand_i[idx][order], exact[order]))
-    return out
-
-
-def _chunk_knn(k: int, n_chunks: int, certify: bool, block: int = 256):
-    """Per target chunk: queries (``_q``) against candidates (``_cand``).
-
-    With ``certify``, a result is exact when the k-th distance fits inside the projection range
-    covered by the candidates; without it the caller guarantees coverage.
-    """
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        c = int(pdf["_tc"].iloc[0])
-        q = pdf[pdf["_q"]]
-        cand = pdf[pdf["_cand"]].drop_duplicates("_i")
-        cols = ["_i", "_slot", "_j", "_d", "_ok"]
-        if q.empty or cand.empty:
-            return pd.DataFrame({c_: [] for c_ in cols})
-        cand_x = np.stack(cand["x"].to_numpy()).astype(np.float64)
-        cand_i = cand["_i"].to_numpy()
-        cand_p = cand["p"].to_numpy()
-        lo = -np.inf if (c == 0 or not certify) else cand_p.min()
-        hi = np.inf if (c == n_chunks - 1 or not certify) else cand_p.max()
-        qx_all = np.stack(q["x"].to_numpy()).astype(np.float64)
-        qi_all, qp_all = q["_i"].to_numpy(), q["p"].to_numpy()
+TREES = 16
+#: Rows that a leaf is expected to hold; no part of a leaf holds more than twice as many.
+LEAF_ROWS = 1024
+#: Rows that the cuts of a tree are learnt from, and its depth at most.
+SAMPLE_ROWS = 20_000
+MAX_DEPTH = 10
+
+
+def _grow(sample: np.ndarray, depth: int, seed: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Directions, and for each level the cuts of its nodes (medians of the sample's rows there)."""
+    rng = np.random.default_rng(seed)
+    ways = rng.normal(size=(depth + 1, sample.shape[1]))
+    node, cuts = np.zeros(len(sample), np.int64), []
+    for level in range(depth):
+        p = sample @ ways[level]
+        cut = np.array([np.median(p[node == v]) if (node == v).any() else 0.0 for v in range(1 << level)])
+        cuts.append(cut)
+        node = node * 2 + (p > cut[node])
+    return ways, cuts
+
+
+def _plant(trees: list[tuple[np.ndarray, list[np.ndarray]]]):
+    """Every row once for each tree, with its leaf and its place along the leaf's last direction."""
+
+    def run(frames):
+        for pdf in frames:
+            x = np.stack(pdf["x"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, len(trees[0][0][0])))
+            for t, (ways, cuts) in enumerate(trees):
+                node = np.zeros(len(x), np.int64)
+                for level, cut in enumerate(cuts):
+                    node = node * 2 + (x @ ways[level] > cut[node])
+                yield pd.DataFrame({"_t": np.int32(t), "_leaf": node, "_p": x @ ways[-1], "_i": pdf["_i"].to_numpy(), "x": pdf["x"].to_numpy()})
+    return run
+
+
+def _nearest(k: int, block: int = 256):
+    """The k nearest other rows of every row of a part, by exact distances; ties by index."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, i = np.stack(pdf["x"].to_numpy()).astype(np.float64), pdf["_i"].to_numpy()
+        n, kk = len(i), min(k, len(i) - 1)
         rows = []
-        for b0 in range(0, len(qi_all), block):
-            res = _knn_block(qx_all[b0:b0 + block], qi_all[b0:b0 + block], cand_x, cand_i, k)
-            for r, (js, ds) in enumerate(res):
-                qi, qp = qi_all[b0 + r], qp_all[b0 + r]
-                if len(js) == 0:
-                    if certify:   # nothing to compare with here: uncertain with unbounded radius
-                        rows.append((qi, -1, qi, float("inf"), False))
-                    continue
-                rk = ds[-1] * (1 + _REL)
-                ok = (not certify) or bool(len(js) == k and qp - rk >= lo and qp + rk <= hi)
-                rows += [(qi, s, int(j), float(d), ok) for s, (j, d) in enumerate(zip(js, ds))]
-        return pd.DataFrame(rows, columns=cols)
-    return fn
-
-
-def knn_minority(pts: DataFrame, k: int = DEFAULT_K, chunk_rows: int = CHUNK_ROWS, n_rows: int | None = None) -> DataFrame:
-    """``pts(_i, x array<double>)`` -> ``(_i, _slot, _j, _d)``: exact k nearest other rows."""
+        sq = (x * x).sum(1)
+        for b in range(0, n if kk > 0 else 0, block):
+            q = x[b:b + block]
+            d2 = sq[b:b + block, None] + sq[None, :] - 2.0 * q @ x.T
+            d2[np.arange(len(q)), np.arange(b, b + len(q))] = np.inf
+            m = min(n - 1, kk + 8)  # a few more by the expanded form, then exact distances decide
+            near = np.argpartition(d2, m - 1, axis=1)[:, :m]
+            exact = np.sqrt(((x[near] - q[:, None, :]) ** 2).sum(2))
+            for r in range(len(q)):
+                best = np.lexsort((i[near[r]], exact[r]))[:kk]
+                rows.append((np.full(kk, i[b + r]), i[near[r][best]], exact[r][best]))
+        if not rows:
+            return pd.DataFrame({"_i": np.zeros(0, np.int64), "_j": np.zeros(0, np.int64), "_d": np.zeros(0)})
+        return pd.DataFrame({c: np.concatenate([r[j] for r in rows]) for j, c in enumerate(("_i", "_j", "_d"))})
+    return run
+
+
+def neighbour_lists(pts: DataFrame, k: int = DEFAULT_K, n_rows: int | None = None, leaf_rows: int = LEAF_ROWS,
+                    trees: int = TREES, seed: int = 42) -> DataFrame:
+    """``pts(_i, x array<double>)`` -> ``(_i, nn)``: up to k nearest other rows, array of (_d, _j)."""
+    pts = materialize(pts.select(F.col("_i").cast("bigint").alias("_i"), "x"), "knn_points")
     n = n_rows if n_rows is not None else pts.count()
-    xv = pts.withColumn("_xv", array_to_vector("x"))
-    pca = PCA(k=1, inputCol="_xv", outputCol="_pv").fit(xv)
-    proj = pca.transform(xv).select("_i", "x", vector_to_array("_pv")[0].alias("p"))
-    n_chunks = max(1, math.ceil(n / chunk_rows))
-    cuts: list[float] = []
-    if n_chunks > 1:
-        qs = proj.approxQuantile("p", [i / n_chunks for i in range(1, n_chunks)], 1e-4)
-        cuts = sorted({q for q in qs if q == q})
-        proj = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="p", outputCol="_c").transform(proj)
-        n_chunks = len(cuts) + 1
-    else:
-        proj = proj.withColumn("_c", F.lit(0.0))
-    proj = materialize(proj.withColumn("_c", F.col("_c").cast("int")), "knn_points")
-    schema = "_i long, _slot int, _j long, _d double, _ok boolean"
-    # stage 1: each chunk searches itself and its two neighbours; results are certified or not
-    rep = proj.select("_i", "x", "p", "_c", F.explode(F.array(F.col("_c") - 1, F.col("_c"), F.col("_c") + 1)).alias("_tc")) \
-        .where((F.col("_tc") >= 0) & (F.col("_tc") < n_chunks)) \
-        .withColumn("_q", F.col("_tc") == F.col("_c")).withColumn("_cand", F.lit(True)).drop("_c")
-    first = materialize(rep.groupBy("_tc").applyInPandas(_chunk_knn(k, n_chunks, True), schema=schema), "knn_stage1")
-    certain = first.where("_ok").drop("_ok")
-    todo = first.where(~F.col("_ok")).groupBy("_i").agg(F.max("_d").alias("_r"))
-    todo = todo.join(proj.select("_i", "p", "_c"), "_i")
-    # stage 2 (exact): per query chunk, the projection range its uncertain rows still need
-    need = todo.groupBy("_c").agg(F.min(F.col("p") - F.col("_r")).alias("lo"), F.max(F.col("p") + F.col("_r")).alias("hi"))
-    need_rows = need.collect()                     # at most one row per chunk
-    if not need_rows:
-        return certain
-    edges = [-math.inf, *cuts, math.inf]
-    pairs = []                                     # (candidate chunk j, query chunk c): <= n_chunks^2
-    for r in need_rows:
-        for j in range(n_chunks):
-            if edges[j + 1] >= r["lo"] and edges[j] <= r["hi"]:
-                pairs.append((j, int(r["_c"])))
-    spark = pts.sparkSession
-    route = F.broadcast(spark.createDataFrame(pairs, "_cj int, _tc int"))
-    # one task per (query chunk, candidate chunk): both sides at most ~chunk_rows rows
-    cands = proj.select("_i", "x", "p", F.col("_c").alias("_cj")).join(route, "_cj") \
-        .select("_i", "x", "p", "_tc", "_cj", F.lit(False).alias("_q"), F.lit(True).alias("_cand"))
-    queries = proj.join(todo.select("_i"), "_i").select("_i", "x", "p", F.col("_c").alias("_tc")) \
-        .join(route, "_tc").select("_i", "x", "p", "_tc", "_cj", F.lit(True).alias("_q"), F.lit(False).alias("_cand"))
-    partial = cands.unionByName(queries).groupBy("_tc", "_cj") \
-        .applyInPandas(_chunk_knn(k, n_chunks, False), schema=schema)
-    # merge partial top-k lists: at most k x (candidate chunks) rows per query
-    best = partial.withColumn("_r", F.row_number().over(Window.partitionBy("_i").orderBy("_d", "_j"))) \
-        .where(F.col("_r") <= k).select("_i", (F.col("_r") - 1).cast("int").alias("_slot"), "_j", "_d")
-    return certain.unionByName(best)
+    depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(n, 1) / leaf_rows))))
+    sample = [r["x"] for r in pts.orderBy(F.xxhash64("_i"), "_i").limit(SAMPLE_ROWS).collect()]   # bounded
+    if not sample:
+        return pts.select("_i", F.array().cast("array<struct<_d:double,_j:bigint>>").alias("nn"))
+    forest = [_grow(np.array(sample, np.float64), depth, seed + t) for t in range(trees if depth else 1)]
+    leaves = pts.mapInPandas(_plant(forest), "_t int, _leaf long, _p double, _i long, x array<double>")
+    w = Window.partitionBy("_t", "_leaf")
+    parts = F.ceil(F.count(F.lit(1)).over(w) / F.lit(2 * leaf_rows))
+    at = (F.row_number().over(w.orderBy("_p", "_i")) - 1) * parts / F.count(F.lit(1)).over(w)
+    pairs = leaves.withColumn("_part", F.floor(at)).select("_t", "_leaf", "_part", "_i", "x") \
+        .groupBy("_t", "_leaf", "_part").applyInPandas(_nearest(k), "_i long, _j long, _d double")
+    lists = pairs.groupBy("_i").agg(F.slice(F.array_sort(F.collect_set(F.struct("_d", "_j"))), 1, k).alias("nn"))  # trees x k at most
+    return pts.select("_i").join(lists, "_i", "left").select("_i", F.coalesce("nn", F.array().cast("array<struct<_d:double,_j:bigint>>")).alias("nn"))
+
+
+def knn_minority(pts: DataFrame, k: int = DEFAULT_K, n_rows: int | None = None, **kw) -> DataFrame:
+    """``(_i, _slot, _j, _d)``: the neighbour lists, one row a neighbour."""
+    return neighbour_lists(pts, k, n_rows, **kw).select("_i", F.posexplode("nn").alias("_slot", "e")).select("_i", "_slot", "e._j", "e._d")
 
 
 def smote(df: DataFrame, features: str = "features", label: str = "label", id_col: str = "row_id",
-          k: int = DEFAULT_K, seed: int = 42, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+          k: int = DEFAULT_K, seed: int = 42) -> DataFrame:
     """Raise the minority class to the majority count with synthetic rows (train rows only).
 
     Output keeps ``df``'s columns for real rows; synthetic rows carry ``features``, ``label``
@@ -160,18 +129,18 @@ def smote(df: DataFrame, features: str = "features", label: str = "label", id_co
         return base
     pts = hash_rank(df.where(F.col(label) == minority).select(id_col, vector_to_array(features).alias("x")),
                     id_col, seed, out="_i").select("_i", "x")
+    pts = materialize(pts, "minority")
     kk = min(k, n_min - 1)
     spark = df.sparkSession
     gen = spark.range(n_new).select(
         F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(n_min)).alias("_i"),
-        (F.pmod(F.xxhash64(F.col("id"), F.lit(seed + 1)), F.lit(max(kk, 1)))).cast("int").alias("_slot"),
+        F.pmod(F.xxhash64(F.col("id"), F.lit(seed + 1)), F.lit(2 ** 31)).alias("_pick"),
         (F.pmod(F.xxhash64(F.col("id"), F.lit(seed + 2)), F.lit(2 ** 53)).cast("double") / float(2 ** 53)).alias("_u"))
-    if kk == 0:
-        nb = pts.select("_i", F.lit(0).alias("_slot"), F.col("_i").alias("_j"))
-    else:
-        nb = knn_minority(pts, kk, chunk_rows, n_rows=n_min).select("_i", "_slot", "_j")
-    g = gen.join(nb, ["_i", "_slot"]).join(pts, "_i") \
-        .join(pts.select(F.col("_i").alias("_j"), F.col("x").alias("xn")), "_j")
+    nb = neighbour_lists(pts, kk, n_min, seed=seed) if kk else pts.select("_i", F.array().cast("array<struct<_d:double,_j:bigint>>").alias("nn"))
+    slot = F.when(F.size("nn") > 0, F.pmod("_pick", F.size("nn"))).cast("int")
+    # a row without neighbours is its own, so no synthetic row is lost
+    gen = gen.join(nb, "_i").select("_i", "_u", F.coalesce(F.get("nn", slot)["_j"], F.col("_i")).alias("_j"))
+    g = gen.join(pts, "_i").join(pts.select(F.col("_i").alias("_j"), F.col("x").alias("xn")), "_j")
     new_x = F.zip_with("x", "xn", lambda a, b: a + F.col("_u") * (b - a))
     synth = g.select(array_to_vector(new_x).alias(features), F.lit(minority).cast(df.schema[label].dataType).alias(label))
     others = [f for f in df.schema.fields if f.name not in (features, label)]
