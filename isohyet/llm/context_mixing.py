@@ -29,9 +29,11 @@ from __future__ import annotations
 
 import heapq
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +49,7 @@ ORDERS = 4
 BLOCK = 32
 LANES = 256
 #: Tokens expanded into bits at a time while counting.
-COUNT_TOKENS = 60_000
+COUNT_TOKENS = 30_000
 ESC, END = 0, 1
 GATES = 32
 BUCKETS = 25
@@ -90,33 +92,38 @@ class Codebook:
         self.count = np.array([0, ends, *(c for _, c in words)], np.int64)
         self.at, self.size, self.node, self.bit = huffman(np.array([escapes + 1, ends + 1, *(c for _, c in words)], np.int64))
         self.n_nodes = len(words) + 1
+        self.salt = self.node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         depth = np.arange(len(self.node)) - np.repeat(self.at, self.size)
         self.gate = np.minimum(depth, GATES - 1)
 
-    def symbols(self, docs: list[list[bytes]], cache: dict) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-        """Codes of the tokens of documents end to end, hashes of the words before them, and where each document begins."""
-        words = [w for d in docs for w in (*d, b"")]
+    def symbols(self, docs: list[list[bytes]], cache: "_Seen") -> tuple[np.ndarray, list[np.ndarray], np.ndarray, list[bytes]]:
+        """Codes of the tokens of documents end to end, hashes of the words before them, where each
+        document begins, and the tokens (empty: the end)."""
+        words = list(chain.from_iterable((*d, b"") for d in docs))
         n = np.array([len(d) + 1 for d in docs], np.int64)
         ends = np.concatenate(([0], np.cumsum(n)))
-        codes = np.fromiter(map(self.code.get, words, [ESC] * len(words)), np.int64, len(words))
-        codes[ends[1:] - 1] = END
-        h = C.word_hashes(words, cache)
+        codes, h = cache.look_up(words)
         place = np.arange(len(words)) - np.repeat(ends[:-1], n)
         h1 = np.where(place >= 1, np.roll(h, 1), np.uint64(1))  # none reaches into another document
         h2 = np.where(place >= 2, np.roll(h, 2), np.uint64(2))
         one = C.mix64(h1 ^ np.uint64(0x51))
-        return codes, [one, C.mix64(one ^ h2), C.mix64(h2 ^ np.uint64(0xA7))], ends
+        return codes, [one, C.mix64(one ^ h2), C.mix64(h2 ^ np.uint64(0xA7))], ends, words
 
     def bits(self, sym: np.ndarray, ctx: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
         """Per decision: its bit, its slot in every table, its gate, and the token it belongs to."""
         size = self.size[sym]
-        owner = np.repeat(np.arange(len(sym)), size)
-        k = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size - self.at[sym], size)
+        owner = np.repeat(np.arange(len(sym), dtype=np.int32), size)
+        first = np.cumsum(size) - size
+        k = np.arange(len(owner), dtype=np.int64) - (first - self.at[sym])[owner]
         node = self.node[k]
-        salt = node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        salt = self.salt[k]
         slots = [node]
         for c in ctx:
-            slots.append((((c[owner] ^ salt) * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
+            x = c[owner]
+            x ^= salt
+            x *= np.uint64(0x9FB21C651E98DF25)
+            x >>= np.uint64(64 - SLOT_BITS)
+            slots.append(x.view(np.int64))
         return self.bit[k], slots, self.gate[k], owner
 
     def table_sizes(self) -> list[int]:
@@ -124,6 +131,33 @@ class Codebook:
         return [pad, *[1 << SLOT_BITS] * (ORDERS - 1)]
 
 
+class _Seen(dict):
+    """Code and hash of the words that a task has met, looked up together."""
+
+    def __init__(self, book: Codebook):
+        self.known = book.code
+        self._empty()
+
+    def _empty(self) -> None:
+        self.clear()
+        self.codes, self.hashes = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.uint64)
+
+    def __missing__(self, w: bytes) -> int:
+        i = len(self)
+        if i == len(self.codes):
+            self.codes, self.hashes = np.resize(self.codes, 2 * i), np.resize(self.hashes, 2 * i)
+        self.codes[i] = self.known.get(w, ESC) if w else END
+        self.hashes[i] = xxhash.xxh3_64_intdigest(w)
+        self[w] = i
+        return i
+
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self) > 300_000:  # bounds memory
+            self._empty()
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.codes[at], self.hashes[at]
+
+
 def _count_words(batches):
     words: Counter = Counter()
 
@@ -138,7 +172,7 @@ def _count_words(batches):
             for t in rb.column(0).slice(i, 500):
                 words.update(C.lower_words(t.as_py()))
                 words[b""] += 1  # the end token
-            if len(words) > 300_000:
+            if len(words) > 200_000:
                 yield rows()
     if words:
         yield rows()
@@ -169,15 +203,16 @@ def _count_contexts(sent):
         book = sent.value
         sizes = book.table_sizes()
         tables = [np.zeros(2 * n, np.uint32) for n in sizes]
-        cache = C.new_cache()
+        cache = _Seen(book)
         some = False
         for rb in batches:
             for part in _slices(rb.column(0), 1 << 18):
                 some = True
-                sym, ctx, _ = book.symbols([C.lower_words(t) for _, t in part], cache)
+                sym, ctx, _, _ = book.symbols([C.lower_words(t) for _, t in part], cache)
                 for i in range(0, len(sym), COUNT_TOKENS):
                     bit, slots, _, _ = book.bits(sym[i:i + COUNT_TOKENS], [c[i:i + COUNT_TOKENS] for c in ctx])
-                    for table, slot in zip(tables, slots):
+                    tables[0] += np.bincount(2 * slots[0] + bit, minlength=len(tables[0])).astype(np.uint32)
+                    for table, slot in zip(tables[1:], slots[1:]):
                         np.add.at(table, 2 * slot + bit, np.uint32(1))
         if some:
             z = zstandard.ZstdCompressor(level=1)
@@ -256,12 +291,13 @@ def log10_probabilities(book: Codebook, tables: list[np.ndarray], sym: np.ndarra
     size = np.diff(ends)
     order = np.argsort(-size, kind="stable")
     out = np.zeros(n_docs)
-    centers = np.linspace(-12, 12, BUCKETS)
+    step = np.float32(1 / _STEP)
+    fresh = (1 / (1 + np.exp(-np.linspace(-12, 12, BUCKETS)))).astype(np.float32)
     for g in range(0, n_docs, LANES):
         lanes = order[g:g + LANES]  # longest first, so those still going are a prefix
         begin, count = ends[lanes], size[lanes]
-        w = np.broadcast_to(np.array(WEIGHTS), (len(lanes), GATES, ORDERS)).reshape(-1, ORDERS).copy()
-        apm = np.broadcast_to(1 / (1 + np.exp(-centers)), (len(lanes) * GATES, BUCKETS)).copy()
+        w = [np.full(len(lanes) * GATES, x, np.float32) for x in WEIGHTS]
+        apm = np.tile(fresh, len(lanes) * GATES)
         total = np.zeros(len(lanes))
         for at in range(0, int(count[0]), BLOCK):
             live = int(np.searchsorted(-count, -at, side="left"))
@@ -269,29 +305,34 @@ def log10_probabilities(book: Codebook, tables: list[np.ndarray], sym: np.ndarra
             lane = np.repeat(np.arange(live), take)
             which = np.arange(take.sum()) + np.repeat(begin[:live] + at - (np.cumsum(take) - take), take)
             bit, slots, gate, owner = book.bits(sym[which], [c[which] for c in ctx])
-            key = lane[owner] * GATES + gate
-            s = np.stack([t[k] for t, k in zip(tables, slots)], axis=1) / _STEP
-            dot = np.clip(np.einsum("ij,ij->i", s, w[key]), -11.99, 11.99)
+            of = lane[owner]
+            key = of * GATES + gate
+            s = [t[k] * step for t, k in zip(tables, slots)]
+            dot = s[0] * w[0][key]
+            for x, y in zip(s[1:], w[1:]):
+                dot += x * y[key]
+            np.clip(dot, -11.99, 11.99, out=dot)
             p = 1 / (1 + np.exp(-dot))
-            where = (dot + 12) * ((BUCKETS - 1) / 24)
-            low = where.astype(np.int64)
+            where = (dot + np.float32(12)) * np.float32((BUCKETS - 1) / 24)
+            low = where.astype(np.int32)
             part = where - low
-            refined = apm[key, low] * (1 - part) + apm[key, low + 1] * part
-            final = np.clip((p + refined) / 2, 1e-6, 1 - 1e-6)
-            hit = bit.astype(np.float64)
-            total[:live] += np.bincount(lane[owner], weights=np.log10(np.where(bit == 1, final, 1 - final)), minlength=live)
+            cell = key * BUCKETS + low
+            final = (p + apm[cell] * (1 - part) + apm[cell + 1] * part) * np.float32(0.5)
+            hit = bit.astype(np.float32)
+            final = np.clip(np.where(bit == 1, final, 1 - final), 1e-6, 1)
+            total[:live] += np.bincount(of, weights=np.log10(final), minlength=live)
             # What the block taught: one step for weights and map, used from the next block on.
             err = hit - p
             n = live * GATES
-            for j in range(ORDERS):
-                w[:n, j] += RATE * np.bincount(key, weights=err * s[:, j], minlength=n)
-            near = np.where(part < 0.5, low, low + 1)
-            cell = key * BUCKETS + near
+            for x, y in zip(s, w):
+                y[:n] += np.float32(RATE) * np.bincount(key, weights=err * x, minlength=n).astype(np.float32)
+            cell += part >= 0.5
             seen = np.bincount(cell, minlength=n * BUCKETS)
-            hits = np.bincount(cell, weights=hit, minlength=n * BUCKETS)
-            flat = apm[:n].reshape(-1)
+            touched = np.flatnonzero(seen)
+            seen = seen[touched]
+            hits = np.bincount(cell, weights=hit, minlength=n * BUCKETS)[touched]
             keep = (1 - MAP_RATE) ** seen
-            flat[:] = flat * keep + np.where(seen > 0, hits / np.maximum(seen, 1), 0) * (1 - keep)
+            apm[touched] = apm[touched] * keep + hits / seen * (1 - keep)
         out[lanes] = total
     return out
 
@@ -304,22 +345,25 @@ _REST = pa.list_(pa.struct([("w", pa.binary()), ("n", pa.int64())]))
 def _score(sent, n_train: int, v_train: int):
     def run(batches):
         book, tables = sent.value
-        cache = C.new_cache()
+        cache = _Seen(book)
         base = np.log10((book.count + 1) / (n_train + v_train + 1))
         have = book.count > 0
         uid = TaskContext.get().partitionId() << 33
         for rb in batches:
             ids, held = rb.column(0), rb.column(1)
-            for part in _slices(rb.column(2), 1 << 21):
+            for part in _slices(rb.column(2), 1 << 20):
                 docs = [C.lower_words(t) for _, t in part]
-                codes, ctx, ends = book.symbols(docs, cache)
+                codes, ctx, ends, words = book.symbols(docs, cache)
                 score = log10_probabilities(book, tables, codes, ctx, ends)
                 n_tok = np.diff(ends)
                 doc = np.repeat(np.arange(len(docs)), n_tok)
                 coded = codes != ESC
                 known = np.bincount(doc, weights=coded & have[codes], minlength=len(docs)).astype(np.int64)
                 b = np.bincount(doc, weights=np.where(coded, base[codes], 0), minlength=len(docs))
-                rest = [[{"w": w, "n": n} for w, n in Counter(x for x in d if x not in book.code).items()] for d in docs]
+                escaped = np.flatnonzero(~coded)
+                cut = np.searchsorted(escaped, ends).tolist()
+                escaped = escaped.tolist()
+                rest = [[{"w": w, "n": n} for w, n in Counter(words[k] for k in escaped[i:j]).items()] for i, j in zip(cut, cut[1:])]
                 at = [i for i, _ in part]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(uid + np.arange(len(docs)), pa.int64()), ids.take(pa.array(at)), held.take(pa.array(at)), pa.array(n_tok),

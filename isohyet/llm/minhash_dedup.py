@@ -4,11 +4,16 @@ A document's set is its distinct five-word shingles (64-bit hashes). Documents w
 form one class, kept as its smallest ``doc_id``. Classes meet in band buckets, and every bucket
 compares its members with chosen leaders rather than with one another: a pair is first held
 against the signature, then confirmed on the full sets, and confirmed links are joined into
-components by alternating large-star and small-star. A bucket whose members already lie in one
-component needs no more work; in each later round the rest get twice as many leaders and the
-leaders of the round before, by then compared with every member of another component, leave the
-bucket. The rounds end when no bucket spans two components, so no link is lost to the choice of
-leaders, and a bucket of m near copies costs a few multiples of m comparisons, not m squared.
+components by alternating large-star and small-star.
+
+Only classes that share a bucket go on. Of those, one with so many shingles that no other has that
+the rest cannot reach the threshold links with nothing, and leaves. The first leaders are the
+most central members (fewest shingles of their own), so most of a group of copies is joined at
+once. A bucket whose members lie in one component needs no more work; in each later round the
+rest get twice as many leaders, from the smallest components first, and leaders that have been
+compared with every member of another component leave the bucket. The rounds end when no bucket
+spans two components, so no link is lost to the choice of leaders. A bucket of m near copies costs
+m comparisons, and m more for each member that stays outside its large component.
 
 Bands: 32 of 4 minima. Two sets at the threshold (0.85) share a band with probability
 1 - 5e-11. The signature check lets through every pair whose estimate is above
@@ -99,6 +104,26 @@ def _sets(batches):
                                          names=["rep", "s"])
 
 
+def _single(batches):
+    """(h, rep, n): each shingle of a task's sets once, with its owner if it has one alone."""
+
+    def out(hs, owners):
+        h, at, n = np.unique(np.concatenate(hs), return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.concatenate(owners)[at]), pa.array(np.minimum(n, 2).astype(np.int32))], names=["h", "rep", "n"])
+
+    hs, owners, size = [], [], 0
+    for rb in batches:
+        for rep, s in zip(rb.column(0).to_pylist(), rb.column(1)):
+            hs.append(np.frombuffer(s.as_py(), np.uint64))
+            owners.append(np.full(len(hs[-1]), rep, np.int64))
+            size += len(hs[-1])
+            if size > 2_000_000:
+                yield out(hs, owners)
+                hs, owners, size = [], [], 0
+    if hs:
+        yield out(hs, owners)
+
+
 def _agreeing(least: int):
     """Pairs whose signatures agree in at least ``least`` places, with that number."""
 
@@ -187,16 +212,26 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     least = int(np.floor(HASHES * percent / 100 - 6 * np.sqrt(HASHES * percent / 100 * (1 - percent / 100))))
     # Buckets of one class have nothing to compare and go before the first round.
     active = put(active.join(active.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("key"), "key", "left_semi"), "minhash-bands")
+    sets = put(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(active.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+               .mapInArrow(_sets, "rep long, s binary"), "minhash-full")
+    # Shingles that one class alone has: they cannot be shared, so J <= (size - own) / size.
+    own = sets.select("rep", "s").mapInArrow(_single, "h long, rep long, n int").groupBy("h").agg(F.sum("n").alias("n"), F.min("rep").alias("rep")) \
+        .where("n = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    size = (F.octet_length("s") / 8).cast("long")
+    info = put(sets.select("rep", size.alias("size")).distinct().join(own, "rep", "left").select("rep", "size", F.coalesce("own", F.lit(0)).alias("own"))
+               .where((F.col("size") - F.col("own")) * 100 >= F.col("size") * percent).select("rep", "own").distinct()
+               .join(sigs, "rep").select("rep", "own", "sig"), "minhash-info")
+    active = put(active.join(info.select("rep", "own"), "rep"), "minhash-active")
 
     comps: DataFrame | None = None
     rounds = 0
     while True:
         rows = active.where(F.col("band") < FIRST_BANDS) if rounds == 0 else active
         if comps is not None:
-            rows = rows.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+            rows = rows.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")).withColumn("many", F.coalesce("many", F.lit(1)))
         else:
-            rows = rows.withColumn("comp", F.col("rep"))
-        rows = rows.select("rep", "band", "key", "comp")
+            rows = rows.withColumn("comp", F.col("rep")).withColumn("many", F.lit(1).cast("long"))
+        rows = rows.select("rep", "band", "key", "own", "comp", "many")
         if rounds:  # buckets that still span two components
             rows = rows.join(rows.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key"), "key", "left_semi")
         rows, path, (n, _) = _counted(rows, "minhash-rows")
@@ -206,12 +241,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         # One leader per (bucket, salt); the number of salts doubles from round to round.
         salts = 1 << max(0, rounds - 1)
         order = F.xxhash64("key", "rep", F.lit(rounds))
+        first = F.col("own") if rounds < 2 else F.col("many")
         leaders = rows.groupBy("key", F.pmod(order, F.lit(salts)).alias("salt")) \
-            .agg(F.min(F.struct(order.alias("o"), "rep", "comp")).alias("l")) \
+            .agg(F.min(F.struct(first.alias("f"), order.alias("o"), "rep", "comp")).alias("l")) \
             .select("key", F.col("l.rep").alias("y"), F.col("l.comp").alias("yc"))
         pairs = rows.join(leaders, "key").where("comp <> yc").select(F.col("rep").alias("x"), "y").distinct()
-        near = pairs.join(sigs.select(F.col("rep").alias("x"), F.col("sig").alias("p")), "x") \
-            .join(sigs.select(F.col("rep").alias("y"), F.col("sig").alias("q")), "y") \
+        near = pairs.join(info.select(F.col("rep").alias("x"), F.col("sig").alias("p")), "x") \
+            .join(info.select(F.col("rep").alias("y"), F.col("sig").alias("q")), "y") \
             .select("x", "y", "p", "q").mapInArrow(_agreeing(least), "x long, y long, same int")
         if rounds == 0:
             # The closest leader first: one exact check per class joins most of them.
@@ -219,11 +255,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         near, path, (n, _) = _counted(near, "minhash-near")
         trash.append(path)
         if n:
-            want = near.select(F.col("x").alias("doc_id")).union(near.select("y")).distinct()
-            sets = put(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(want, "doc_id", "left_semi")
-                       .mapInArrow(_sets, "rep long, s binary"), "minhash-full")
-            found, path, (n, _) = _counted(near.join(sets.select(F.col("rep").alias("x"), F.col("s").alias("p")), "x")
-                                           .join(sets.select(F.col("rep").alias("y"), F.col("s").alias("q")), "y")
+            met = sets.join(near.select(F.col("x").alias("rep")).union(near.select("y")).distinct(), "rep", "left_semi")
+            found, path, (n, _) = _counted(near.join(met.select(F.col("rep").alias("x"), F.col("s").alias("p")), "x")
+                                           .join(met.select(F.col("rep").alias("y"), F.col("s").alias("q")), "y")
                                            .select("x", "y", "p", "q").mapInArrow(_confirmed(percent), "x long, y long"), "minhash-links")
             trash.append(path)
         if n:
@@ -231,8 +265,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             edges = found if comps is None else found.union(comps.where("node <> comp").select(F.col("node").alias("x"), F.col("comp").alias("y")))
             comps, path = components(edges)
             trash.append(path)
+            comps = put(comps.join(comps.groupBy("comp").agg(F.count(F.lit(1)).alias("many")), "comp").select("node", "comp", "many"), "minhash-comps")
         if rounds:
-            active = put(rows.select("rep", "band", "key").join(leaders.select("key", F.col("y").alias("rep")), ["key", "rep"], "left_anti"), "minhash-active")
+            active = put(rows.select("rep", "band", "key", "own").join(leaders.select("key", F.col("y").alias("rep")), ["key", "rep"], "left_anti"), "minhash-active")
         rounds += 1
 
     label = reps.select("fp", "rep")

@@ -142,7 +142,7 @@ class PieceModel:
                     x = self.split[x][1]
                     if x == limit:
                         ok = True
-        if len(self.pairs) > 2_000_000:  # bounds memory
+        if len(self.pairs) > 300_000:  # bounds memory
             self.pairs.clear()
         self.pairs[a, b] = ok
         return ok

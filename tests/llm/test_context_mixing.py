@@ -4,7 +4,6 @@ from collections import Counter
 
 import numpy as np
 
-from isohyet.llm import common as C
 from isohyet.llm import context_mixing as M
 
 ROWS = [(i, f"the cat number {i % 5} sat on the mat . the dog {i} saw the cat {'again ' * (i % 4)}") for i in range(60)] + [(100, None), (101, ""), (None, "the cat")]
@@ -40,10 +39,10 @@ def test_probabilities_of_all_next_tokens_sum_to_one():
     rng = np.random.default_rng(1)
     tables = [np.clip(rng.normal(0, 30, n), -127, 127).astype(np.int8) for n in book.table_sizes()]
     start = [b"w3", b"w1", b"w3"] * 40  # long enough for weights and map to have moved
-    alone = M.log10_probabilities(book, tables, *(lambda s: (s[0][:-1], [c[:-1] for c in s[1]], np.array([0, len(start)])))(book.symbols([start], C.new_cache())))
+    alone = M.log10_probabilities(book, tables, *(lambda s: (s[0][:-1], [c[:-1] for c in s[1]], np.array([0, len(start)])))(book.symbols([start], M._Seen(book))))
     total = 0.0
     for w in [b"unseen", None, *(w for w, _ in words)]:
-        codes, ctx, _ = book.symbols([start + ([] if w is None else [w])], C.new_cache())
+        codes, ctx, _, _ = book.symbols([start + ([] if w is None else [w])], M._Seen(book))
         k = len(start) + 1
         total += 10 ** (M.log10_probabilities(book, tables, codes[:k], [c[:k] for c in ctx], np.array([0, k]))[0] - alone[0])
     assert abs(total - 1) < 1e-6
@@ -53,9 +52,9 @@ def test_scores_do_not_depend_on_company():
     book = M.Codebook([(b"a", 5), (b"b", 3)], 2, 4)
     tables = [np.full(n, 9, np.int8) for n in book.table_sizes()]
     docs = [[b"a", b"b"] * k for k in (1, 100, 7)]
-    together = M.log10_probabilities(book, tables, *book.symbols(docs, C.new_cache()))
+    together = M.log10_probabilities(book, tables, *book.symbols(docs, M._Seen(book))[:3])
     for d, want in zip(docs, together):
-        assert np.isclose(M.log10_probabilities(book, tables, *book.symbols([d], C.new_cache()))[0], want)
+        assert np.isclose(M.log10_probabilities(book, tables, *book.symbols([d], M._Seen(book))[:3])[0], want)
 
 
 def test_without_training_documents(spark):

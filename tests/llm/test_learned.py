@@ -46,7 +46,7 @@ def test_gradient_of_the_ordinal_loss():
 def test_quality_of_held_out_documents(spark):
     labels = pd.read_parquet(f"{SF}/labels.parquet")
     got = O.op3_ordinal_quality(spark, SF).toPandas()
-    assert len(got) == 1000 and got.tail.between(0, 1).all() and got.expected_grade.between(0, 2).all()
+    assert len(got) == 1000 and got["tail"].between(0, 1).all() and got.expected_grade.between(0, 2).all()
     m = got.merge(labels, on="doc_id")
     m = m[m.held_out]
     good = (m.quality == 1) & (m.toxic == 0)

@@ -30,7 +30,7 @@ def test_links_order_and_errors(spark):
     assert (got[1, "c", "call"].depth, got[1, "d", "call"].depth) == (2, 0) and got[1, "d", "call"].valid
     assert all(got[2, k, "call"].depth is None and got[2, k, "call"].errors == "circle" for k in "abc")
     assert [got[3, k, "call"].errors for k in "abcd"] == ["tool", "arguments", "arguments", "arguments"]
-    assert got[4, "a", "call"].errors == "repeated result" and got[4, "b", "call"].errors == "repeated call"
+    assert got[4, "a", "call"].errors == "repeated result" and got[4, "b", "call"].errors == "repeated call,unknown:z"
     assert got[1, "zz", "result"].linked is False and got[1, "zz", "result"].valid is None
     assert sum(r.errors == "no identifier" for r in rows) == 4
     for r in rows:
