@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -50,6 +51,18 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Arrow batches of so many rows for what runs inside: rows that carry sets or long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def drop_written(spark: SparkSession, *paths: str) -> None:
     """Delete tables made by :func:`written` whose readers have all finished."""
     jvm = spark.sparkContext._jvm

@@ -6,8 +6,9 @@ compares its members with chosen leaders rather than with one another: a pair is
 against the signature, then confirmed on the full sets, and confirmed links are joined into
 components by alternating large-star and small-star.
 
-Only classes that share a bucket go on. Of those, one with so many shingles that no other has that
-the rest cannot reach the threshold links with nothing, and leaves. The first leaders are the
+Only classes that share a bucket go on. Shingles that no other of them has bound what a pair can
+reach: a class that cannot reach the threshold in its bucket leaves it, and pairs that cannot are
+not compared. The first leaders are the
 most central members (fewest shingles of their own), so most of a group of copies is joined at
 once. A bucket whose members lie in one component needs no more work; in each later round the
 rest get twice as many leaders, from the smallest components first, and leaders that have been
@@ -204,7 +205,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         trash.append(path)
         return out
 
-    desc = put(describe(docs), "minhash-sets")
+    with C.small_batches(spark, 1000):
+        desc = put(describe(docs), "minhash-sets")
     named = desc.where("fp is not null and doc_id is not null")
     reps = put(named.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "minhash-classes")
     sigs = reps.select("rep", "sig")
@@ -212,16 +214,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     least = int(np.floor(HASHES * percent / 100 - 6 * np.sqrt(HASHES * percent / 100 * (1 - percent / 100))))
     # Buckets of one class have nothing to compare and go before the first round.
     active = put(active.join(active.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("key"), "key", "left_semi"), "minhash-bands")
-    sets = put(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(active.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-               .mapInArrow(_sets, "rep long, s binary"), "minhash-full")
-    # Shingles that one class alone has: they cannot be shared, so J <= (size - own) / size.
+    with C.small_batches(spark, 1000):
+        sets = put(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(active.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+                   .mapInArrow(_sets, "rep long, s binary"), "minhash-full")
+    # Shingles that one class alone has cannot be shared: with m the smaller rest, J <= m / (sizes - m).
     own = sets.select("rep", "s").mapInArrow(_single, "h long, rep long, n int").groupBy("h").agg(F.sum("n").alias("n"), F.min("rep").alias("rep")) \
         .where("n = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
-    size = (F.octet_length("s") / 8).cast("long")
-    info = put(sets.select("rep", size.alias("size")).distinct().join(own, "rep", "left").select("rep", "size", F.coalesce("own", F.lit(0)).alias("own"))
-               .where((F.col("size") - F.col("own")) * 100 >= F.col("size") * percent).select("rep", "own").distinct()
-               .join(sigs, "rep").select("rep", "own", "sig"), "minhash-info")
-    active = put(active.join(info.select("rep", "own"), "rep"), "minhash-active")
+    sizes = sets.select("rep", (F.octet_length("s") / 8).cast("long").alias("size")).distinct()
+    info = put(sizes.join(own, "rep", "left").select("rep", "size", F.coalesce("own", F.lit(0)).alias("own")).join(sigs, "rep"), "minhash-info")
+    # In a bucket whose smallest set has s shingles, a class can reach no more than rest / (size + max(s, rest) - rest).
+    with_own = active.join(info.select("rep", "size", "own"), "rep")
+    least_size = with_own.groupBy("key").agg(F.min("size").alias("s"))
+    rest = F.col("size") - F.col("own")
+    active = put(with_own.join(least_size, "key").where(rest * 100 >= percent * (F.col("size") + F.greatest("s", rest) - rest)).drop("s"), "minhash-active")
 
     comps: DataFrame | None = None
     rounds = 0
@@ -231,7 +236,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             rows = rows.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")).withColumn("many", F.coalesce("many", F.lit(1)))
         else:
             rows = rows.withColumn("comp", F.col("rep")).withColumn("many", F.lit(1).cast("long"))
-        rows = rows.select("rep", "band", "key", "own", "comp", "many")
+        rows = rows.select("rep", "band", "key", "size", "own", "comp", "many")
         if rounds:  # buckets that still span two components
             rows = rows.join(rows.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key"), "key", "left_semi")
         rows, path, (n, _) = _counted(rows, "minhash-rows")
@@ -243,9 +248,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         order = F.xxhash64("key", "rep", F.lit(rounds))
         first = F.col("own") if rounds < 2 else F.col("many")
         leaders = rows.groupBy("key", F.pmod(order, F.lit(salts)).alias("salt")) \
-            .agg(F.min(F.struct(first.alias("f"), order.alias("o"), "rep", "comp")).alias("l")) \
-            .select("key", F.col("l.rep").alias("y"), F.col("l.comp").alias("yc"))
-        pairs = rows.join(leaders, "key").where("comp <> yc").select(F.col("rep").alias("x"), "y").distinct()
+            .agg(F.min(F.struct(first.alias("f"), order.alias("o"), "rep", "comp", "size", "own")).alias("l")) \
+            .select("key", F.col("l.rep").alias("y"), F.col("l.comp").alias("yc"), F.col("l.size").alias("ys"), F.col("l.own").alias("yo"))
+        both = F.least(F.col("size") - F.col("own"), F.col("ys") - F.col("yo"))
+        reach = both * 100 >= percent * (F.col("size") + F.col("ys") - both)
+        pairs = rows.join(leaders, "key").where((F.col("comp") != F.col("yc")) & reach).select(F.col("rep").alias("x"), "y").distinct()
         near = pairs.join(info.select(F.col("rep").alias("x"), F.col("sig").alias("p")), "x") \
             .join(info.select(F.col("rep").alias("y"), F.col("sig").alias("q")), "y") \
             .select("x", "y", "p", "q").mapInArrow(_agreeing(least), "x long, y long, same int")
@@ -256,9 +263,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         trash.append(path)
         if n:
             met = sets.join(near.select(F.col("x").alias("rep")).union(near.select("y")).distinct(), "rep", "left_semi")
-            found, path, (n, _) = _counted(near.join(met.select(F.col("rep").alias("x"), F.col("s").alias("p")), "x")
-                                           .join(met.select(F.col("rep").alias("y"), F.col("s").alias("q")), "y")
-                                           .select("x", "y", "p", "q").mapInArrow(_confirmed(percent), "x long, y long"), "minhash-links")
+            with C.small_batches(spark, 500):
+                found, path, (n, _) = _counted(near.join(met.select(F.col("rep").alias("x"), F.col("s").alias("p")), "x")
+                                               .join(met.select(F.col("rep").alias("y"), F.col("s").alias("q")), "y")
+                                               .select("x", "y", "p", "q").mapInArrow(_confirmed(percent), "x long, y long"), "minhash-links")
             trash.append(path)
         if n:
             # What is joined already stands for its links: the stars of the last round and the new ones.
@@ -267,7 +275,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             trash.append(path)
             comps = put(comps.join(comps.groupBy("comp").agg(F.count(F.lit(1)).alias("many")), "comp").select("node", "comp", "many"), "minhash-comps")
         if rounds:
-            active = put(rows.select("rep", "band", "key", "own").join(leaders.select("key", F.col("y").alias("rep")), ["key", "rep"], "left_anti"), "minhash-active")
+            active = put(rows.select("rep", "band", "key", "size", "own").join(leaders.select("key", F.col("y").alias("rep")), ["key", "rep"], "left_anti"), "minhash-active")
         rounds += 1
 
     label = reps.select("fp", "rep")
