@@ -34,7 +34,8 @@ def main() -> None:
                 "correlation_matrix_topk", "average_precision", "roc_curve", "threshold_by_fold", "cv_summary",
                 "stratified_kfold", "sample_groups", "group_kfold"]
     if os.environ.get("BENCH_MODELS", "1") != "0":
-        headline += ["standardize", "smote_oversample", "random_forest", "calibrated_ensemble"]
+        headline += ["standardize", "smote_oversample", "random_forest", "calibrated_ensemble", "l1_logistic",
+                     "permutation_importance", "score"]
     only = os.environ.get("BENCH_QUERIES")
     if only:
         headline = [q for q in only.split(",") if q in QUERIES]
