@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isohyet.session import materialize
+
 MIN_WORDS = 50
 #: Percent of words that may lie in repeated three-word windows.
 MAX_REPEAT_PERCENT = 50
@@ -103,7 +105,8 @@ def keep_clean(docs: DataFrame) -> DataFrame:
     cols = docs.columns
     extra = [c for c in cols if c.lower() in RESULT_COLUMNS]  # a clash: carried under another name meanwhile
     d = docs.withColumnsRenamed({c: f"__in_{c}" for c in extra})
-    r = judge(d).where("kept")
+    # Written first: a filter pushed below the projections would work out every rule many times over.
+    r = materialize(judge(d), "judged").where("kept")
     text = F.when(F.col("n_bad_lines") == 0, F.col("text")).otherwise(F.col("clean_text"))
     out = []
     for c in cols:
