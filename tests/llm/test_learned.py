@@ -30,6 +30,20 @@ def test_language_edges(spark):
     assert L.predict(docs.limit(0), model).count() == 0
 
 
+def test_rare_languages_keep_their_words_and_grams(spark, monkeypatch):
+    """What is sent to the tasks is full of one hot language; the rest is found by joins, with equal scores."""
+    rows = [("en", "the cat sat on the mat and the rat ran at the hat")] * 30 + [("da", "rugbrod med smor"), ("fi", "ruisleipa voilla"), ("sv", "limpa med smor")]
+    docs = spark.createDataFrame([(1, "rugbrod smor"), (2, "ruisleipa voilla"), (3, "ruisleivat"), (4, "the cat"), (5, "limporna"), (6, "rugbrodet")], "doc_id long, text string")
+    train = spark.createDataFrame(rows, "lang string, text string")
+    whole = {r.doc_id: (r.lang_pred, r.score) for r in L.predict(docs, L.learn(train)).collect()}
+    assert [whole[i][0] for i in range(1, 7)] == ["da", "fi", "fi", "en", "sv", "da"]
+    monkeypatch.setattr(L, "KNOWN_WORDS", 5)
+    monkeypatch.setattr(L, "KNOWN_GRAMS", 5)
+    cut = {r.doc_id: (r.lang_pred, r.score) for r in L.predict(docs, L.learn(train)).collect()}
+    assert {k: v[0] for k, v in cut.items()} == {k: v[0] for k, v in whole.items()}
+    assert all(abs(cut[k][1] - whole[k][1]) < 1e-5 for k in whole)
+
+
 def test_gradient_of_the_ordinal_loss():
     rng = np.random.default_rng(1)
     place = rng.integers(0, 20, 200)
