@@ -9,12 +9,12 @@ from contextlib import contextmanager
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from isohyet.session import ensure_checkpoint_dir, materialize, scratch_path
 
-__all__ = ["drop_written", "ensure_checkpoint_dir", "lower_words", "materialize", "mix64", "scratch_path",
+__all__ = ["drop_written", "ensure_checkpoint_dir", "lower_words", "materialize", "mix64", "positions", "scratch_path",
            "ship_package", "table", "window_hashes", "word_hashes", "written"]
 
 #: Largest side, in bytes, that any operator here ships whole to every task.
@@ -72,6 +72,25 @@ def drop_written(spark: SparkSession, *paths: str) -> None:
         hp.getFileSystem(conf).delete(hp, True)
 
 
+def positions(df: DataFrame, order: list[Column], group: str | None = None, name: str = "ranked") -> tuple[DataFrame, str]:
+    """Adds ``pos``, the 0-based place in ``order`` within the (never null) ``group``, and ``total``, the group's rows.
+
+    The rows are dealt into ranges of (group, order) and written sorted, so a hot group is many ranges;
+    a row's place is its place in its range and the group's rows in the ranges before. The window runs
+    over one row for each range that a group has rows in. Rows that are equal in ``order`` share a range.
+    """
+    by = [*([F.col(group)] if group else []), *order]
+    g = F.col(group) if group else F.lit(0)
+    dealt, path = written(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_at", 33)
+    runs = dealt.groupBy(g.alias("_g"), part.alias("_part")).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("_g")
+    before = F.coalesce(F.sum("_n").over(w.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.select("_g", "_part", (before - F.col("_first")).alias("_shift"), F.sum("_n").over(w).alias("total"))
+    out = dealt.join(runs, (g == F.col("_g")) & (part == F.col("_part")))
+    return out.select(*df.columns, (F.col("_at") + F.col("_shift")).alias("pos"), "total"), path
+
+
 def crc_of_id(col: str | Column) -> Column:
     """crc32 of an id written as decimal text; a null id counts as the empty text."""
     c = F.col(col) if isinstance(col, str) else col

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from isohyet.llm import (context_mixing, decontaminate, language_id, minhash_dedup, ordinal_quality, pieces, quality_rules, substring_dedup,
+from isohyet.llm import (context_mixing, decontaminate, language_id, merkle_manifest, minhash_dedup, ordinal_quality, pieces, quality_rules, substring_dedup,
                          tool_calls, warc)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_tool_calls": tool_calls.op8_tool_calls,
     "op9_language_id": language_id.op9_language_id,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_merkle_manifest": merkle_manifest.op11_merkle_manifest,
 }
 
 ORACLE = {
@@ -24,4 +25,5 @@ ORACLE = {
     "op6_minhash_dedup": minhash_dedup.SQL,
     "op8_tool_calls": tool_calls.SQL,
     "op10_quality_rules": quality_rules.SQL,
+    "op11_merkle_manifest": merkle_manifest.SQL,
 }
