@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from isohyet.llm import (context_mixing, decontaminate, language_id, merkle_manifest, minhash_dedup, ordinal_quality, pieces, quality_rules, substring_dedup,
-                         tool_calls, warc)
+from isohyet.llm import (context_mixing, decontaminate, language_id, merkle_manifest, minhash_dedup, ordinal_quality, personal_data, pieces,
+                         quality_rules, substring_dedup, target_resampling, tool_calls, warc)
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -17,6 +17,8 @@ QUERIES = {
     "op9_language_id": language_id.op9_language_id,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_merkle_manifest": merkle_manifest.op11_merkle_manifest,
+    "op12_personal_data": personal_data.op12_personal_data,
+    "op13_target_resampling": target_resampling.op13_target_resampling,
 }
 
 ORACLE = {
@@ -26,4 +28,5 @@ ORACLE = {
     "op8_tool_calls": tool_calls.SQL,
     "op10_quality_rules": quality_rules.SQL,
     "op11_merkle_manifest": merkle_manifest.SQL,
+    "op13_target_resampling": target_resampling.SQL,
 }
