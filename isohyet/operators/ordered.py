@@ -5,61 +5,52 @@ runs of ``RUN_ROWS`` rows, whatever its size, and a run also gets copies of the
 run before it, as many as the deepest look-back needs. The window is then over (site, run), so a
 site that holds a third of all rows is spread over many tasks and n (1 + H / RUN_ROWS) rows move.
 
-Row numbers within a site come from two levels: ranks inside (site, range of the order column), and
-the site's counts in earlier ranges. The ranges are quantiles of the order column, so they follow
-the data; the result does not depend on them, nor on any partition count.
-
-The input is written once to the shared checkpoint folder: moments, ranges and ranks all read it.
+Row numbers within a site come from ranges of (site, order columns), which any orderable type has: the
+rows are dealt into ranges, sorted, and written once to the shared checkpoint folder with their place;
+a row's number is its place in its range and the site's rows in the ranges before. So a hot site is
+many ranges whatever its order column is, and moments and features read the same written table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..session import materialize
 from .strategy import null_safe_keys
 
 RUN_ROWS = 65_536
 
 
-def _position(df: DataFrame, col: str):
-    """The order column as a number to cut ranges from; one range for other types."""
-    t = df.schema[col].dataType
-    if isinstance(t, T.DateType):
-        return F.unix_date(F.col(col)).cast("double")
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
-    return F.col(col).cast("double") if isinstance(t, T.NumericType) else F.lit(0.0)
-
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "_rn") -> DataFrame:
+    """``df``, written, with the 0-based row number per site in ``order`` (nulls first).
 
-def site_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "_rn") -> DataFrame:
-    """0-based row number per site in ``order`` (nulls first), from ranks inside ranges plus offsets."""
-    keys = list(keys)
-    n = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    d = df.withColumn("_pos", _position(df, order[0]))
-    cuts = d.approxQuantile("_pos", [i / n for i in range(1, n)], 0.25 / n)
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    d = Bucketizer(splits=splits, inputCol="_pos", outputCol="_bkt", handleInvalid="keep").transform(d)
-    d = d.withColumn("_bkt", F.when(F.col("_pos").isNull(), F.lit(-1.0)).otherwise(F.col("_bkt"))).drop("_pos")
-    d = d.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, "_bkt").orderBy(*order)) - 1)
-    counts = d.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
-    offsets = counts.select(*keys, "_bkt", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    a, o = d.alias("_d"), offsets.alias("_o")
-    joined = a.join(o, null_safe_keys(a, o, [*keys, "_bkt"]), "inner").select("_d.*", F.col("_o._before"))
-    return joined.withColumn(out, (F.col("_local") + F.col("_before")).cast("bigint")).drop("_bkt", "_local", "_before")
+    The range table has a row for each range and site in it, and is written so that its size decides
+    whether it is broadcast.
+    """
+    by = [*keys, *order]
+    at, part = "_at", F.shiftright("_at", 33)
+    d = materialize(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(at, F.monotonically_increasing_id()), "ordered")
+    ranges = d.groupBy(*keys, part.alias("_part")).agg(F.min(at).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)   # one row a range
+    shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")
+    ranges = materialize(ranges.select(*keys, "_part", shift.alias("_shift")), "ranges")
+    a, o = d.withColumn("_part", part).alias("_d"), ranges.alias("_o")
+    joined = a.join(o, null_safe_keys(a, o, [*keys, "_part"])).select("_d.*", F.col("_o._shift"))
+    return joined.withColumn(out, F.col(at) + F.col("_shift")).drop(at, "_part", "_shift")
 
 
 def over_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], depth: int, features,
               run_rows: int | None = None) -> DataFrame:
-    """``df`` with ``features(keys, order)``: window columns that look back at most ``depth`` rows of a site."""
+    """``df`` with ``features(keys, order)``: window columns that look back at most ``depth`` rows of a site.
+
+    ``df`` is numbered by :func:`number_rows` first, unless it already has its column ``_rn``.
+    """
     size = max(run_rows or RUN_ROWS, depth + 1)
-    base = df.columns
-    d = site_row_number(df, keys, order)
+    base = [c for c in df.columns if c != "_rn"]
+    d = df if "_rn" in df.columns else number_rows(df, keys, order)
     run = F.floor(F.col("_rn") / size)
     into_next = (F.col("_rn") % size >= size - depth) if depth else F.lit(False)
     d = d.withColumn("_own", run).withColumn(

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import extract_month, numeric_columns, require_columns
 from ..session import materialize
-from .ordered import over_runs, site_moments
+from .ordered import number_rows, over_runs, site_moments
+from .selection import grouped_quantile
 from .strategy import null_safe_keys
 
 DEFAULT_KEYS = ("LAT", "LON")
@@ -64,7 +65,8 @@ def zscore_by_group(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) ->
     A group whose std is 0 or undefined gets 0.0 on every row (null rows included). Rows with
     a null key get null (their group is dropped by the reference's group-by).
     """
-    a, s = df.alias("_a"), site_moments(df, cols, keys).alias("_s")
+    # written: its size decides whether it is broadcast
+    a, s = df.alias("_a"), materialize(site_moments(df, cols, keys), "moments").alias("_s")
     joined = a.join(s, null_safe_keys(a, s, list(keys)), "left")
     out = []
     for i, c in enumerate(cols):
@@ -113,17 +115,17 @@ def rolling_mean_past_columns(cols: Sequence[str], keys: Sequence[str], order: S
 
 def lag_features(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
                  lags: Sequence[int] = DEFAULT_LAGS) -> DataFrame:
-    return over_runs(materialize(df, "lags"), keys, order, max(lags, default=0), lambda k, o: lag_columns(cols, k, o, lags))
+    return over_runs(df, keys, order, max(lags, default=0), lambda k, o: lag_columns(cols, k, o, lags))
 
 
 def rolling_mean(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
                  windows: Sequence[int] = DEFAULT_WINDOWS) -> DataFrame:
-    return over_runs(materialize(df, "rolls"), keys, order, max(windows, default=1) - 1, lambda k, o: rolling_mean_columns(cols, k, o, windows))
+    return over_runs(df, keys, order, max(windows, default=1) - 1, lambda k, o: rolling_mean_columns(cols, k, o, windows))
 
 
 def rolling_mean_past(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
                       lags: Sequence[int] = DEFAULT_LAGS, ks: Sequence[int] = PAST_ROLL_K) -> DataFrame:
-    return over_runs(materialize(df, "past_rolls"), keys, order, max(ks, default=0), lambda k, o: rolling_mean_past_columns(cols, k, o, lags, ks))
+    return over_runs(df, keys, order, max(ks, default=0), lambda k, o: rolling_mean_past_columns(cols, k, o, lags, ks))
 
 
 def add_features(df: DataFrame, cols: Sequence[str] | None = None, keys: Sequence[str] = DEFAULT_KEYS,
@@ -146,7 +148,7 @@ def add_features(df: DataFrame, cols: Sequence[str] | None = None, keys: Sequenc
         return zscore_by_group(materialize(df, "features"), cols, keys)
     unset = F.raise_error(F.lit(f"a row without a value in the order column {date_col!r}"))
     checked = F.when(F.col(date_col).isNull(), unset.cast(df.schema[date_col].dataType)).otherwise(F.col(date_col))
-    df = materialize(df.withColumn(date_col, checked), "features")
+    df = number_rows(df.withColumn(date_col, checked), keys, order)
     depth = max([*lags, *[w - 1 for w in windows], *(k for k in PAST_ROLL_K if set(range(1, k + 1)) <= set(lags)), 0])
     return over_runs(zscore_by_group(df, cols, keys), keys, order, depth, lambda k, o: [
         *lag_columns(cols, k, o, lags), *rolling_mean_columns(cols, k, o, windows),
@@ -158,12 +160,12 @@ def add_features(df: DataFrame, cols: Sequence[str] | None = None, keys: Sequenc
 def climatology_percentile(df: DataFrame, value: str, keys: Sequence[str], p: float) -> DataFrame:
     """Per-group exact percentile (linear interpolation, nulls skipped); null keys form a group.
 
-    ``percentile`` aggregates partially on the map side (a value->count map), so a hot group
-    ships its distinct values, not its rows.
+    A group of up to ``selection.ORDERED_VALUES`` rows is a plain aggregate; the values of larger ones are
+    searched in many tasks, see ``selection.py``.
     """
     if not 0 <= p <= 100:
         raise ValueError("percentile must be in [0, 100]")
-    return df.groupBy(*keys).agg(F.percentile(F.col(value), F.lit(p / 100.0)).alias("ppt_pctl"))
+    return grouped_quantile(df, value, keys, p / 100.0, out="ppt_pctl")
 
 
 def event_label(df: DataFrame, value: str = "precip", keys: Sequence[str] = DEFAULT_KEYS,
@@ -172,7 +174,7 @@ def event_label(df: DataFrame, value: str = "precip", keys: Sequence[str] = DEFA
     """``label = value <= percentile_p(value | site, calendar month)``; ties count, null -> 0.
 
     Adds ``ppt_pctl`` and ``label``. Fails if the value column holds nothing but nulls. The
-    percentile is a partial aggregate per (site, month) joined back; no task holds a whole group.
+    percentile of each (site, month) is joined back; a group with many values is searched, not gathered.
     """
     require_columns(df, [value, *keys], "panel")
     mkey = "_month_resolved_"

@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +65,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_OPEN: ContextVar[list | None] = ContextVar("open_scope", default=None)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Tables that :func:`materialize` writes inside are deleted at the end; results have to be collected or written by then."""
+    token = _OPEN.set([])
+    try:
+        yield
+    finally:
+        paths = _OPEN.get()
+        _OPEN.reset(token)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+            hp.getFileSystem(conf).delete(hp, True)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing Parquet to the shared folder and reading it back.
 
@@ -71,5 +91,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _OPEN.get() is not None:
+        _OPEN.get().append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -125,6 +125,26 @@ def test_one_site_decimals_and_an_integer_order_column(spark):
     assert all(abs(float(rows[i].x__roll3m) - sum(float(rows[j].x) for j in (i, i - 1, i - 2)) / 3) < 1e-4 for i in range(2, n))
 
 
+def test_a_hot_site_with_a_text_order_column_is_dealt_over_ranges(spark):
+    from isohyet.operators.ordered import number_rows
+
+    n = 20_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise(F.col("id").cast("double")).alias("LAT"), F.lit(0.0).alias("LON"),
+                               F.concat(F.lit("é-"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("when"), F.col("id").cast("double").alias("x"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = number_rows(df, ["LAT", "LON"], ["when"])
+        parts = [spark.read.parquet(f).where("LAT = 0").count() for f in rows.inputFiles() if "/ordered-" in f]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert sum(parts) == -(-n // 3) and sum(p > 0 for p in parts) > 1
+    hot = [r.x for r in rows.where("LAT = 0").orderBy("_rn").collect()]
+    assert hot == [float(i) for i in range(0, n, 3)]
+    out = add_features(df, ["x"], date_col="when", lags=(1,), windows=(3,), run_rows=100).where("LAT = 0").orderBy("when").collect()
+    assert out[0]["x__lag1"] is None and all(r["x__lag1"] == r.x - 3 for r in out[1:]) and all(r["x__roll3m"] == r.x - 3 for r in out[2:])
+
+
 def test_null_dates_fail(spark):
     import pytest
 
