@@ -14,9 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .strategy import null_safe_keys
 
-
 HASH_BUCKET_HEX_DIGITS = 3          # 4096 buckets per stratum
 
 
@@ -84,19 +84,65 @@ def stratified_kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: i
             .withColumn(out, (F.col("_r") % k).cast("int")).drop("_r"))
 
 
+def deal_sizes(sizes: Sequence[tuple[int, int]], k: int) -> list[tuple[int, int, list[int]]]:
+    """The greedy deal of groups to the lightest fold, for (size, number of groups) from the largest size on.
+
+    Returns (size, start, folds): from the start-th group of that size on, groups go to ``folds`` in turn.
+    Among groups of one size s, fold f of load L takes a group at the levels L, L + s, L + 2s, ..., and
+    the deal follows the levels upwards, lower fold numbers first. Between the loads of two folds
+    that is one cycle over the lighter folds, so a size needs k cycles at most, however many groups it has.
+    """
+    loads = [0] * k
+    out = []
+    for size, count in sizes:
+        if size <= 0:
+            raise ValueError("a group has at least one row")
+        taken = [0] * k
+        by_load = sorted(range(k), key=lambda f: (loads[f], f))
+        start = 0
+        for i in range(k):
+            level = loads[by_load[i]]
+            span = loads[by_load[i + 1]] - level if i + 1 < k else None
+            if span == 0:
+                continue
+            cycle = sorted(by_load[:i + 1], key=lambda f: ((loads[f] - level) % size, f))
+            left = count - start
+            if span is None:
+                here = left
+            else:
+                rest = span % size
+                here = min(left, span // size * len(cycle) + sum((loads[f] - level) % size < rest for f in cycle))
+            if here:
+                out.append((size, start, cycle))
+                for at, f in enumerate(cycle):
+                    taken[f] += here // len(cycle) + (at < here % len(cycle))
+                start += here
+            if start == count:
+                break
+        loads = [x + size * n for x, n in zip(loads, taken)]
+    return out
+
+
 def group_fold_table(df: DataFrame, group: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """(group, n, fold): groups never split, folds within one group's rows of each other.
+    """(group, n, fold): groups never split; from the largest on, each goes to the lightest fold.
 
-    Groups are ranked by size, largest first, and dealt round-robin. The rank is distributed at
-    every size: ranks inside a size come from hash buckets, and the sizes themselves (one row each)
-    supply the offsets. The reference gives each group to the lightest fold instead; dealing keeps
-    its balance without a sequential pass over the groups.
+    The deal runs over the distinct sizes, not the groups: n rows have fewer than sqrt(2n) of them, and
+    only those and their numbers of groups reach the driver. It gives each size a few cycles of folds;
+    a group's fold follows from its rank among the groups of its size, which are ranked by hash in
+    many tasks. Of equally light folds the lowest takes the group.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    ranked = hash_rank(sizes, group, seed, strata=["n"])
-    larger = Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.groupBy("n").agg(F.count(F.lit(1)).alias("_c")).select("n", F.coalesce(F.sum("_c").over(larger), F.lit(0)).alias("_before"))
-    return ranked.join(before, "n").select(group, "n", F.pmod(F.col("_rank") + F.col("_before"), F.lit(k)).cast("int").alias("fold"))
+    spark = df.sparkSession
+    sizes = materialize(df.groupBy(group).agg(F.count(F.lit(1)).alias("n")), "groups")
+    runs = [(r["n"], r["c"]) for r in sizes.groupBy("n").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("n")).collect()]   # distinct sizes
+    cycles: dict[int, list] = {}
+    for size, start, folds in deal_sizes(runs, k):
+        cycles.setdefault(size, []).append((start, folds))
+    deal = spark.createDataFrame(list(cycles.items()), "n bigint, cycles array<struct<start: bigint, folds: array<int>>>")
+    ranked = hash_rank(sizes, group, seed, strata=["n"]).join(deal, "n")
+    own = F.element_at(F.filter("cycles", lambda c: c["start"] <= F.col("_rank")), -1)
+    ranked = ranked.withColumn("_own", own)
+    place = (F.col("_rank") - F.col("_own.start")) % F.size("_own.folds")
+    return ranked.select(group, "n", F.element_at(F.col("_own.folds"), (place + 1).cast("int")).alias("fold"))
 
 
 def group_kfold(df: DataFrame, group: str, k: int = 5, out: str = "fold", seed: int = 42) -> DataFrame:

@@ -287,10 +287,19 @@ def _h(col: str, seed: int = 42) -> str:
 
 
 def group_folds_sql(k: int = 5) -> str:
-    """Groups dealt round-robin, largest first; groups of one size in hash order."""
+    """Each group, largest first and groups of one size in hash order, goes to the lightest fold (of equal ones the first)."""
     return f"""
-SELECT grp, n, CAST((row_number() OVER (ORDER BY n DESC, {_h('grp')} NULLS FIRST, grp NULLS FIRST) - 1) % {k} AS INTEGER) AS fold
-FROM (SELECT grp, count(*) AS n FROM ({SCORED_SQL}) s GROUP BY grp) g
+WITH RECURSIVE g AS (
+  SELECT grp, n, row_number() OVER (ORDER BY n DESC, {_h('grp')} NULLS FIRST, grp NULLS FIRST) AS r
+  FROM (SELECT grp, count(*) AS n FROM ({SCORED_SQL}) s GROUP BY grp) c
+), deal AS (
+  SELECT CAST(0 AS BIGINT) AS r, CAST(NULL AS BIGINT) AS grp, CAST(0 AS BIGINT) AS n, CAST(0 AS INTEGER) AS fold, list_transform(range({k}), lambda x: CAST(0 AS BIGINT)) AS loads
+  UNION ALL
+  SELECT g.r, g.grp, g.n, CAST(list_position(loads, list_min(loads)) - 1 AS INTEGER),
+         list_transform(loads, lambda x, i: x + CASE WHEN i = list_position(loads, list_min(loads)) THEN g.n ELSE 0 END)
+  FROM deal JOIN g ON g.r = deal.r + 1
+)
+SELECT grp, n, fold FROM deal WHERE r > 0
 """
 
 

@@ -26,6 +26,45 @@ def test_group_folds_never_split_and_balance(spark):
     assert sizes.max() - sizes.min() <= np.bincount(g).max()
 
 
+def greedy(sizes, k):
+    """Each group to the lightest fold, one after the other."""
+    loads, out = [0] * k, []
+    for n in sizes:
+        f = loads.index(min(loads))
+        loads[f] += n
+        out.append(f)
+    return loads, out
+
+
+def test_deal_by_size_runs_equals_the_greedy_deal():
+    rng = np.random.default_rng(1)
+    for _ in range(400):
+        k = int(rng.integers(1, 8))
+        sizes = sorted((int(x) for x in rng.choice([rng.integers(1, 6, 60), rng.integers(1, 300, 60), rng.geometric(0.2, 60)][rng.integers(3)], rng.integers(1, 60))), reverse=True)
+        runs = [(s, sizes.count(s)) for s in sorted(set(sizes), reverse=True)]
+        want = greedy(sizes, k)[1]
+        got = []
+        cycles = RK.deal_sizes(runs, k)
+        for s, c in runs:
+            mine = [x for x in cycles if x[0] == s]
+            for r in range(c):
+                _, start, folds = [x for x in mine if x[1] <= r][-1]
+                got.append(folds[(r - start) % len(folds)])
+        assert got == want
+    assert len(RK.deal_sizes([(10 ** 6, 3), (7, 10 ** 12)], 5)) <= 10  # cycles, not groups
+
+
+def test_group_folds_equal_the_greedy_deal_on_uneven_groups(spark):
+    rng = np.random.default_rng(8)
+    g = np.concatenate([np.full(n, i) for i, n in enumerate(np.concatenate([rng.integers(1, 9, 80), [500, 77, 77]]))])
+    df = spark.createDataFrame(pd.DataFrame({"g": g, "id": np.arange(len(g))}))
+    df = df.unionByName(spark.createDataFrame([(None, 1_000_000), (None, 1_000_001)], "g long, id long"))  # a null group is a group
+    f = RK.group_kfold(df, "g", k=4).toPandas()
+    sizes = f.groupby("g", dropna=False).size().sort_values(ascending=False)
+    assert sorted(f.groupby("fold").size()) == sorted(greedy(list(sizes), 4)[0]) and len(f) == len(g) + 2
+    assert (f.groupby("g", dropna=False)["fold"].nunique() == 1).all()
+
+
 def test_sampling_sizes(spark):
     df = spark.createDataFrame(pd.DataFrame({"g": np.arange(100) % 10, "id": np.arange(100), "y": np.arange(100) % 4 == 0}))
     s = RK.sample_groups(df, "g", 0.35).toPandas()
