@@ -3,8 +3,10 @@
 The reference's knobs map onto Spark ML estimators:
 trees -> numTrees / maxIter, depth None -> 30 (Spark's cap), min leaf -> minInstancesPerNode,
 max_features sqrt / fraction -> featureSubsetStrategy, class_weight balanced -> weightCol.
-Spark forests bin continuous features (maxBins), so numbers are close to, never equal to, the
-reference's exact-split trees.
+Spark forests bin continuous features (maxBins). With ``bins="exact"`` a column's candidate splits are the
+middles between all its distinct values, as in the reference's trees, for up to ``MAX_EXACT_BINS`` values;
+a column with more has that many quantile bins. The deepest tree has 30 levels. The L1 model is
+``l1.py``, with the reference's objective.
 """
 
 from __future__ import annotations
@@ -12,9 +14,12 @@ from __future__ import annotations
 import math
 from typing import Any
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.sql import functions as F
 
 SPARK_MAX_DEPTH = 30
+#: Bins that exact splits may take: a node's histogram has features x bins entries.
+MAX_EXACT_BINS = 4096
 
 # Fixed values that must equal the reference's for identical results (default model settings).
 RF_DEFAULTS = {"n_estimators": 400, "max_depth": None, "min_samples_leaf": 2, "max_features": "sqrt"}
@@ -49,8 +54,7 @@ def _subset(mf) -> str:
 
 def make_classifier(kind: str = "rf", params: dict[str, Any] | None = None, seed: int = 42,
                     features_col: str = "features", label_col: str = "label", weight_col: str | None = None,
-                    prob_col: str = "probability", raw_col: str = "rawPrediction", pred_col: str = "prediction",
-                    n_rows: int | None = None):
+                    prob_col: str = "probability", raw_col: str = "rawPrediction", pred_col: str = "prediction"):
     p = dict(params or {})
     common = dict(featuresCol=features_col, labelCol=label_col, predictionCol=pred_col)
     if kind == "rf":
@@ -58,7 +62,8 @@ def make_classifier(kind: str = "rf", params: dict[str, Any] | None = None, seed
         est = RandomForestClassifier(
             numTrees=int(q["n_estimators"]), maxDepth=_depth(q["max_depth"]),
             minInstancesPerNode=int(q["min_samples_leaf"]), featureSubsetStrategy=_subset(q["max_features"]),
-            seed=seed, probabilityCol=prob_col, rawPredictionCol=raw_col, **common)
+            seed=seed, probabilityCol=prob_col, rawPredictionCol=raw_col, maxBins=int(q.get("bins") or 32),
+            bootstrap=bool(q.get("bootstrap", True)), **common)
     elif kind == "gbm":
         q = {**GBM_DEFAULTS, **p}
         est = GBTClassifier(
@@ -66,12 +71,6 @@ def make_classifier(kind: str = "rf", params: dict[str, Any] | None = None, seed
             minInstancesPerNode=int(q["min_samples_leaf"]), subsamplingRate=float(q["subsample"]), seed=seed,
             **common)
         est._set(probabilityCol=prob_col, rawPredictionCol=raw_col)
-    elif kind == "l1":
-        q = {**L1_DEFAULTS, **p}
-        # liblinear minimises C * sum(loss) + |w|_1; Spark minimises mean(loss) + reg * |w|_1.
-        reg = 1.0 / (float(q["C"]) * float(n_rows or 1))
-        est = LogisticRegression(elasticNetParam=1.0, regParam=reg, maxIter=int(q["max_iter"]),
-                                 standardization=False, probabilityCol=prob_col, rawPredictionCol=raw_col, **common)
     else:
         raise ValueError(f"unknown model kind {kind!r}")
     if weight_col:
@@ -79,6 +78,23 @@ def make_classifier(kind: str = "rf", params: dict[str, Any] | None = None, seed
     return est
 
 
+def resolve_bins(params: dict[str, Any], train, features) -> dict[str, Any]:
+    """``bins="exact"`` as a number: one more than the most distinct values that a column of ``train`` has.
+
+    Values are counted exactly when the approximate count is near the limit or below it.
+    """
+    if params.get("bins") != "exact" or not features:
+        return params
+    rough = train.agg(*[F.approx_count_distinct(c, 0.02).alias(f"_{i}") for i, c in enumerate(features)]).first()
+    near = [c for i, c in enumerate(features) if rough[f"_{i}"] <= 1.2 * MAX_EXACT_BINS]
+    most = MAX_EXACT_BINS if len(near) < len(features) else 0
+    if near and not most:
+        values = train.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(near)])).alias("e"))
+        counts = values.select("e.*").where("v is not null").distinct().groupBy("i").count().agg(F.max("count").alias("m")).first()["m"]
+        most = min(MAX_EXACT_BINS, (counts or 0) + 2)   # the imputed median may be a value of its own
+    return {**params, "bins": max(2, most)}
+
+
 def sample_params(kind: str, rng, space: dict | None = None) -> dict[str, Any]:
     """One draw from the tuning space (numpy Generator ``rng``); ``space`` overrides ranges."""
     RF = {**RF_SPACE, **(space or {})}

@@ -1,93 +1,120 @@
 """Train-fold preprocessing: median imputation, ddof-0 standardisation, class weights.
 
-Statistics are computed on the TRAIN rows only (one aggregate pass each) and frozen into a
-``SQLTransformer`` whose statement carries them as literals, so the fitted stage is a built-in,
-persistable, codegen'd projection. Spark's own ``Imputer`` returns a data point for the median
-and ``StandardScaler`` uses the sample std; neither matches the reference, hence this stage.
+Statistics are computed on the TRAIN rows only and frozen into a ``SQLTransformer`` whose statement
+carries them as literals, so the fitted stage is a built-in, persistable, codegen'd projection.
+Spark's own ``Imputer`` returns a data point for the median and ``StandardScaler`` uses the sample
+std; neither matches the reference, hence this stage.
+
+A cross-validation needs K sets of statistics, each without one fold. ``fold_statistics`` takes all of
+them from one count of the values, with a weight column a train set, and one table of moments a fold.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-
-#: Intervals that a column's range is cut into at each step of the median search.
-MEDIAN_CUTS = 1024
+from ..operators.selection import weighted_quantiles
+from ..session import materialize, temporary_tables
 
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def column_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
-    """Exact interpolated medians of all columns, nulls and NaN skipped, at every size.
+@dataclass
+class Statistics:
+    """What a train set gives a column: its median (None: no value), and mean and ddof-0 deviation after imputation."""
+
+    medians: dict[str, float | None]
+    means: dict[str, float]
+    deviations: dict[str, float]
+
+
+def _value(c: str):
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)
+
 
-    The value counts are written once. Each step counts them in ``MEDIAN_CUTS`` intervals between
-    the smallest and largest value still possible for a middle rank, and goes on in the interval
-    that holds the rank; it ends when that holds a single value. What reaches the driver is a row
-    for each column and interval, and a hot value is one count.
+def _train_medians(df: DataFrame, cols: list[str], fold: str | None, folds: list) -> dict:
+    """{fold: {column: median of the rows outside that fold}}; without a fold column, {None: ...} of all rows."""
+    entry = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _value(c).alias("v")) for i, c in enumerate(cols)])).alias("e")
+    values = df.select(entry, (F.col(fold) if fold else F.lit(None)).alias("f")).select("e.*", "f").where("v is not null")
+    train = [F.count(F.lit(1)).alias("n0")] if fold is None else [
+        F.count(F.when(~F.col("f").eqNullSafe(F.lit(x)), F.lit(1))).alias(f"n{k}") for k, x in enumerate(folds)]
+    counts = materialize(values.groupBy("i", "v").agg(*train), "values")
+    names = [f"n{k}" for k in range(len(train))]
+    rows = {r["i"]: r for r in weighted_quantiles(counts, ["i"], "v", names, [0.5]).collect()}   # one row a column
+    return {x: {c: rows[i][f"q_n{k}_0"] if i in rows else None for i, c in enumerate(cols)} for k, x in enumerate(folds if fold else [None])}
+
+
+def _together(parts: list[tuple[float, float, float]]) -> tuple[float, float]:
+    """Mean and ddof-0 deviation of the union of parts (rows, mean, squared deviations from it)."""
+    n = mean = m2 = 0.0
+    for rows, mu, sq in parts:
+        if rows:
+            d = mu - mean
+            m2 += sq + d * d * n * rows / (n + rows)
+            mean += d * rows / (n + rows)
+            n += rows
+    return (mean, math.sqrt(m2 / n)) if n else (0.0, 0.0)
+
+
+def fold_statistics(df: DataFrame, cols: Sequence[str], fold: str | None = None, folds: Sequence = ()) -> dict:
+    """{f: Statistics of the rows whose ``fold`` is not f} for all f; without a fold column, {None: of all rows}.
+
+    The table is read twice, however many folds there are: once to count values, once for the moments
+    of each fold. Rows with a null fold belong to every train set. Nulls and NaN are missing.
     """
+    cols, folds = list(cols), list(folds)
+    keys = folds if fold else [None]
+    if not cols:
+        return {f: Statistics({}, {}, {}) for f in keys}
+    with temporary_tables(df.sparkSession):
+        medians = _train_medians(df, cols, fold, folds)
+    moments = [F.count(F.lit(1)).alias("_n")]
+    for i, c in enumerate(cols):
+        moments += [F.count(_value(c)).alias(f"_c{i}"), F.avg(_value(c)).alias(f"_a{i}"), F.var_pop(_value(c)).alias(f"_v{i}")]
+    by_fold = df.groupBy(*([F.col(fold).alias("_f")] if fold else [])).agg(*moments).collect()   # one row a fold
+    out = {}
+    for f in keys:
+        train = [r for r in by_fold if not fold or r["_f"] is None or r["_f"] != f]
+        stats = Statistics(medians[f], {}, {})
+        for i, c in enumerate(cols):
+            missing = sum(r["_n"] - r[f"_c{i}"] for r in train)
+            parts = [(float(r[f"_c{i}"]), r[f"_a{i}"], r[f"_v{i}"] * r[f"_c{i}"]) for r in train if r[f"_c{i}"]]
+            stats.means[c], stats.deviations[c] = _together([*parts, (float(missing), medians[f][c] or 0.0, 0.0)])
+        out[f] = stats
+    return out
+
+
+def column_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
+    """Exact interpolated medians of all columns, nulls and NaN skipped, at every size (see ``selection.py``)."""
     cols = list(cols)
-    spark = df.sparkSession
     if not cols:
         return {}
-    v = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("e")
-    counts = materialize(df.select(v).select("e.*").where("v is not null and not isnan(v)").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")), "values")
-    total = {r.i: r for r in counts.groupBy("i").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
-    found: dict[tuple[int, int], float] = {}
-    open_: dict[tuple[int, int], tuple[int, float, float]] = {}
-    for i, r in total.items():
-        for half in (0, 1):
-            rank = (r.n - 1 + half) // 2
-            open_[i, half] = (rank, r.lo, r.hi)
-    while True:
-        for k in [k for k, (_, lo, hi) in open_.items() if lo == hi]:
-            found[k] = open_.pop(k)[1]
-        if not open_:
-            break
-        want = spark.createDataFrame([(i, half, lo, hi) for (i, half), (_, lo, hi) in open_.items()], "i int, half int, lo double, hi double")
-        share = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)  # halves: the range itself may overflow
-        cut = F.least(F.floor(share * MEDIAN_CUTS).cast("int"), F.lit(MEDIAN_CUTS - 1))
-        rows = counts.join(F.broadcast(want), "i").where("v between lo and hi").groupBy("i", "half", cut.alias("cut")) \
-            .agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
-        for k in list(open_):
-            rank = open_[k][0]
-            for r in sorted((r for r in rows if (r.i, r.half) == k), key=lambda r: r.cut):
-                if rank < r.n:
-                    open_[k] = (rank, r.lo, r.hi)
-                    break
-                rank -= r.n
-    return {c: (found[i, 0] + found[i, 1]) / 2 if i in total else None for i, c in enumerate(cols)}
+    with temporary_tables(df.sparkSession):
+        return _train_medians(df, cols, None, [])[None]
 
 
-def fit_impute_scale(train: DataFrame, cols: Sequence[str], scale: bool = True,
-                     suffix: str = "") -> SQLTransformer:
-    """Fit median-impute (+ optional ddof-0 standardise) on ``train``; returns the frozen stage.
+def impute_scale_stage(cols: Sequence[str], stats: Statistics, scale: bool = True, suffix: str = "") -> SQLTransformer:
+    """The frozen stage: fill with the median, then (x - mean) / deviation when asked.
 
     An all-null column imputes to 0.0; a constant column scales to 0.0. Outputs replace the
     inputs (or get ``suffix``).
     """
     cols = list(cols)
-    med = column_medians(train, cols)
-    fill = {c: (0.0 if med[c] is None else float(med[c])) for c in cols}
-    imputed = [F.coalesce(F.col(c).cast("double"), F.lit(fill[c])) for c in cols]
     exprs = {}
-    if scale:
-        mom = train.agg(*[F.avg(e).alias(f"_a{i}") for i, e in enumerate(imputed)],
-                        *[F.stddev_pop(e).alias(f"_s{i}") for i, e in enumerate(imputed)]).first()
-        for i, c in enumerate(cols):
-            mu = mom[f"_a{i}"] or 0.0
-            sd = mom[f"_s{i}"] or 0.0
-            base = f"COALESCE(CAST({_q(c)} AS DOUBLE), {fill[c]!r})"
-            exprs[c] = f"({base} - {mu!r}) / {sd!r}" if sd > 0 else "CAST(0.0 AS DOUBLE)"
-    else:
-        for c in cols:
-            exprs[c] = f"COALESCE(CAST({_q(c)} AS DOUBLE), {fill[c]!r})"
+    for c in cols:
+        exprs[c] = f"COALESCE(CAST({_q(c)} AS DOUBLE), {float(stats.medians[c] or 0.0)!r})"
+        if scale:
+            mu, sd = stats.means[c], stats.deviations[c]
+            exprs[c] = f"({exprs[c]} - {mu!r}) / {sd!r}" if sd > 0 else "CAST(0.0 AS DOUBLE)"
     if suffix:
         sel = ", ".join(f"{e} AS {_q(c + suffix)}" for c, e in exprs.items())
         stmt = f"SELECT *, {sel} FROM __THIS__"
@@ -98,6 +125,12 @@ def fit_impute_scale(train: DataFrame, cols: Sequence[str], scale: bool = True,
     return SQLTransformer(statement=stmt)
 
 
+def fit_impute_scale(train: DataFrame, cols: Sequence[str], scale: bool = True,
+                     suffix: str = "") -> SQLTransformer:
+    """Fit median-impute (+ optional ddof-0 standardise) on ``train``; returns the frozen stage."""
+    return impute_scale_stage(cols, fold_statistics(train, cols)[None], scale, suffix)
+
+
 def impute_median(train: DataFrame, cols: Sequence[str], **kw) -> SQLTransformer:
     return fit_impute_scale(train, cols, scale=False, **kw)
 

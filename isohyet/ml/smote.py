@@ -5,8 +5,11 @@
    (cuts are medians of a bounded sample), and a leaf that came out larger is cut along one more
    direction into even parts, ties or not. Rows are compared only inside their part, and a row's
    best over all trees are merged. So the work is trees x rows x leaf, no list of pairs or chunks
-   exists anywhere, and up to ``LEAF_ROWS`` rows the search is exact. Recall is measured in the tests.
-2. ``n_major - n_minor`` synthetic rows ``x + u * (nn - x)``: sample j picks its base row,
+   exists anywhere, and up to ``LEAF_ROWS`` rows the search is exact.
+2. Beyond that the lists are refined: a row is compared with the neighbours of its neighbours, in lists
+   ``WIDTH_TIMES`` as wide as asked for, which finds across the parts what every tree has cut apart. ``measure_recall``
+   holds the lists of a hashed set of rows against all rows; the tests do so past the depth limit.
+3. ``n_major - n_minor`` synthetic rows ``x + u * (nn - x)``: sample j picks its base row,
    neighbour and gap from seeded hashes of j, so generation is an equi-join spread over all
    tasks, never a driver loop.
 
@@ -27,7 +30,10 @@ from ..operators.ranking import hash_rank
 from ..session import materialize
 
 DEFAULT_K = 5
-TREES = 16
+TREES = 8
+#: Passes over the neighbours of neighbours, when there is more than one leaf, and the lists' width in them.
+REFINEMENTS = 1
+WIDTH_TIMES = 3
 #: Rows that a leaf is expected to hold; no part of a leaf holds more than twice as many.
 LEAF_ROWS = 1024
 #: Rows that the cuts of a tree are learnt from, and its depth at most.
@@ -63,22 +69,33 @@ def _plant(trees: list[tuple[np.ndarray, list[np.ndarray]]]):
 
 
 def _nearest(k: int, block: int = 256):
-    """The k nearest other rows of every row of a part, by exact distances; ties by index."""
+    """The k nearest other rows of every row of a part, by exact distances; ties by a hash of the pair.
+
+    By index, all of many equal rows would name the same few neighbours, a hot key of every later join.
+    """
+
+    def tie(a, b):
+        with np.errstate(over="ignore"):
+            h = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+            return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x, i = np.stack(pdf["x"].to_numpy()).astype(np.float64), pdf["_i"].to_numpy()
         n, kk = len(i), min(k, len(i) - 1)
         rows = []
         sq = (x * x).sum(1)
+        span = 1e-13 * (sq.max() if n else 0.0) + 1e-300
         for b in range(0, n if kk > 0 else 0, block):
             q = x[b:b + block]
-            d2 = sq[b:b + block, None] + sq[None, :] - 2.0 * q @ x.T
+            ties = tie(i[b:b + block, None], i[None, :])
+            # the hash decides between distances that the expanded form cannot tell apart
+            d2 = sq[b:b + block, None] + sq[None, :] - 2.0 * q @ x.T + ties * (span / 2.0 ** 64)
             d2[np.arange(len(q)), np.arange(b, b + len(q))] = np.inf
             m = min(n - 1, kk + 8)  # a few more by the expanded form, then exact distances decide
             near = np.argpartition(d2, m - 1, axis=1)[:, :m]
             exact = np.sqrt(((x[near] - q[:, None, :]) ** 2).sum(2))
             for r in range(len(q)):
-                best = np.lexsort((i[near[r]], exact[r]))[:kk]
+                best = np.lexsort((ties[r, near[r]], exact[r]))[:kk]
                 rows.append((np.full(kk, i[b + r]), i[near[r][best]], exact[r][best]))
         if not rows:
             return pd.DataFrame({"_i": np.zeros(0, np.int64), "_j": np.zeros(0, np.int64), "_d": np.zeros(0)})
@@ -86,24 +103,85 @@ def _nearest(k: int, block: int = 256):
     return run
 
 
+_LIST = "array<struct<_d:double,_j:bigint>>"
+
+
+def _merged(pairs: DataFrame, k: int) -> DataFrame:
+    """The k nearest of every row from (_i, _j, _d); what is merged is trees x k or k x k rows."""
+    return pairs.groupBy("_i").agg(F.slice(F.array_sort(F.collect_set(F.struct("_d", "_j"))), 1, k).alias("nn"))
+
+
+def _distance(a: str, b: str):
+    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v))
+
+
+def refine(pts: DataFrame, lists: DataFrame, k: int) -> DataFrame:
+    """``lists`` (_i, nn) after each row met the neighbours of its neighbours (pts: _i, x).
+
+    A row has k * k new candidates at most. Equal rows are spread over each other by the tie hash, and a
+    row that very many name is one key of two equi-joins, which adaptive execution splits.
+    """
+    edges = lists.select("_i", F.explode("nn").alias("e")).select("_i", "e._j", "e._d")
+    far = lists.select(F.col("_i").alias("_j"), F.transform("nn", lambda e: e["_j"]).alias("_next"))
+    known = lists.select("_i", F.transform("nn", lambda e: e["_j"]).alias("_known"))
+    step = edges.select("_i", "_j").join(far, "_j").groupBy("_i").agg(F.array_distinct(F.flatten(F.collect_list("_next"))).alias("_c"))
+    fresh = step.join(known, "_i").select("_i", F.explode(F.array_except("_c", "_known")).alias("_j")).where("_i != _j")
+    met = fresh.join(pts, "_i").join(pts.select(F.col("_i").alias("_j"), F.col("x").alias("y")), "_j")
+    return _merged(edges.unionByName(met.select("_i", "_j", _distance("x", "y").alias("_d"))), k)
+
+
 def neighbour_lists(pts: DataFrame, k: int = DEFAULT_K, n_rows: int | None = None, leaf_rows: int = LEAF_ROWS,
-                    trees: int = TREES, seed: int = 42) -> DataFrame:
+                    trees: int = TREES, seed: int = 42, refinements: int = REFINEMENTS, max_depth: int = MAX_DEPTH) -> DataFrame:
     """``pts(_i, x array<double>)`` -> ``(_i, nn)``: up to k nearest other rows, array of (_d, _j)."""
     pts = materialize(pts.select(F.col("_i").cast("bigint").alias("_i"), "x"), "knn_points")
     n = n_rows if n_rows is not None else pts.count()
-    depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(n, 1) / leaf_rows))))
+    depth = min(max_depth, max(0, math.ceil(math.log2(max(n, 1) / leaf_rows))))
     sample = [r["x"] for r in pts.orderBy(F.xxhash64("_i"), "_i").limit(SAMPLE_ROWS).collect()]   # bounded
     if not sample:
-        return pts.select("_i", F.array().cast("array<struct<_d:double,_j:bigint>>").alias("nn"))
+        return pts.select("_i", F.array().cast(_LIST).alias("nn"))
+    wide = k * WIDTH_TIMES if depth and refinements else k
     forest = [_grow(np.array(sample, np.float64), depth, seed + t) for t in range(trees if depth else 1)]
     leaves = pts.mapInPandas(_plant(forest), "_t int, _leaf long, _p double, _i long, x array<double>")
     w = Window.partitionBy("_t", "_leaf")
     parts = F.ceil(F.count(F.lit(1)).over(w) / F.lit(2 * leaf_rows))
     at = (F.row_number().over(w.orderBy("_p", "_i")) - 1) * parts / F.count(F.lit(1)).over(w)
     pairs = leaves.withColumn("_part", F.floor(at)).select("_t", "_leaf", "_part", "_i", "x") \
-        .groupBy("_t", "_leaf", "_part").applyInPandas(_nearest(k), "_i long, _j long, _d double")
-    lists = pairs.groupBy("_i").agg(F.slice(F.array_sort(F.collect_set(F.struct("_d", "_j"))), 1, k).alias("nn"))  # trees x k at most
-    return pts.select("_i").join(lists, "_i", "left").select("_i", F.coalesce("nn", F.array().cast("array<struct<_d:double,_j:bigint>>")).alias("nn"))
+        .groupBy("_t", "_leaf", "_part").applyInPandas(_nearest(wide), "_i long, _j long, _d double")
+    lists = _merged(pairs, wide)
+    for _ in range(refinements if depth else 0):
+        lists = refine(pts, materialize(lists, "knn_lists"), wide)
+    lists = lists.select("_i", F.slice("nn", 1, k).alias("nn"))
+    return pts.select("_i").join(lists, "_i", "left").select("_i", F.coalesce("nn", F.array().cast(_LIST)).alias("nn"))
+
+
+def measure_recall(pts: DataFrame, lists: DataFrame, k: int = DEFAULT_K, queries: int = 200, seed: int = 7) -> DataFrame:
+    """(queries, wanted, found, recall): the lists of about ``queries`` rows, chosen by hash, against all rows.
+
+    An entry is found if it is as near as the exact k-th neighbour, so ties count. ``queries`` bounds
+    what is sent to the tasks; every row is compared with all of them, and each task keeps k a query.
+    """
+    spark = pts.sparkSession
+    chosen = [(r["_i"], list(r["x"])) for r in pts.orderBy(F.xxhash64("_i", F.lit(seed)), "_i").limit(queries).collect()]   # bounded
+    if not chosen:
+        return spark.createDataFrame([], "queries long, wanted long, found long, recall double")
+
+    def run(frames):
+        ids, q = np.array([i for i, _ in chosen]), np.array([x for _, x in chosen], np.float64)
+        best = np.full((len(q), k), np.inf)
+        for pdf in frames:
+            x, i = np.stack(pdf["x"].to_numpy()).astype(np.float64), pdf["_i"].to_numpy()
+            for at in range(0, len(x), 512):
+                d = np.sqrt(((q[:, None, :] - x[None, at:at + 512, :]) ** 2).sum(2))
+                d[ids[:, None] == i[None, at:at + 512]] = np.inf
+                best = np.sort(np.concatenate([best, d], axis=1), axis=1)[:, :k]
+        yield pd.DataFrame({"_i": np.repeat(ids, k), "_d": best.ravel()})
+
+    exact = pts.select("_i", "x").mapInPandas(run, "_i long, _d double").where("_d < double('infinity')")
+    exact = exact.groupBy("_i").agg(F.slice(F.array_sort(F.collect_list("_d")), 1, k).alias("near"))   # k a task
+    both = exact.join(lists, "_i", "left").withColumn("_reach", F.element_at("near", -1) * (1 + 1e-9))
+    found = F.coalesce(F.size(F.filter("nn", lambda e: e["_d"] <= F.col("_reach"))), F.lit(0))
+    out = both.agg(F.count(F.lit(1)).alias("queries"), F.sum(F.size("near")).alias("wanted"), F.sum(F.least(found, F.size("near"))).alias("found"))
+    return out.withColumn("recall", F.col("found") / F.col("wanted"))
 
 
 def knn_minority(pts: DataFrame, k: int = DEFAULT_K, n_rows: int | None = None, **kw) -> DataFrame:

@@ -27,6 +27,30 @@ class PositiveProbability(Transformer, DefaultParamsReadable, DefaultParamsWrita
                              vector_to_array(F.col(self.getOrDefault("inputCol")))[1])
 
 
+class LogisticProbability(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """``outputCol = 1 / (1 + exp(-(weights . inputCol + intercept)))`` of a feature vector."""
+
+    inputCol = Param(Params._dummy(), "inputCol", "feature vector column", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "probability column", TypeConverters.toString)
+    weights = Param(Params._dummy(), "weights", "coefficients", TypeConverters.toListFloat)
+    intercept = Param(Params._dummy(), "intercept", "intercept", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, inputCol: str = "features", outputCol: str = "p", weights: list | None = None, intercept: float = 0.0):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    @property
+    def coefficients(self) -> list[float]:
+        return self.getOrDefault("weights")
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        w = F.array(*[F.lit(float(x)) for x in self.coefficients])
+        dot = F.aggregate(F.zip_with(vector_to_array(F.col(self.getOrDefault("inputCol"))), w, lambda x, c: x * c),
+                          F.lit(self.getOrDefault("intercept")), lambda s, v: s + v)
+        return df.withColumn(self.getOrDefault("outputCol"), F.lit(1.0) / (F.lit(1.0) + F.exp(-dot)))
+
+
 class PlattScaler(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """``outputCol = 1 / (1 + exp(-(a * inputCol + b)))`` with fitted a, b."""
 

@@ -10,7 +10,9 @@ is a distributed Spark job.
 from __future__ import annotations
 
 import json
+import threading
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 from typing import Any
@@ -19,7 +21,7 @@ import numpy as np
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,11 +29,14 @@ from ..functions.scalar import require_binary, require_columns
 from ..operators import metrics as M
 from ..operators.profile import cv_summary, importance_summary
 from ..operators.ranking import group_kfold, hash_rank, stratified_kfold
-from ..session import materialize
-from .models import GBM_REFIT_DEFAULTS, RF_REFIT_DEFAULTS, make_classifier, sample_params
-from .prep import balanced_class_weight, fit_impute_scale
+from ..session import materialize, temporary_tables
+from .isotonic import fit_isotonic
+from .l1 import fit_l1_logistic
+from .models import GBM_REFIT_DEFAULTS, L1_DEFAULTS, RF_REFIT_DEFAULTS, make_classifier, resolve_bins, sample_params
+from .permute import parts_of, permuted_scores
+from .prep import Statistics, balanced_class_weight, fold_statistics, impute_scale_stage
 from .smote import smote
-from .stages import DropColumns, MeanOfColumns, PlattScaler, PositiveProbability
+from .stages import DropColumns, LogisticProbability, MeanOfColumns, PlattScaler, PositiveProbability
 
 METRIC_NAMES = ("pr_auc", "roc_auc", "f1", "recall", "precision")
 # Independent fits (folds, trials) submitted concurrently, as Spark's CrossValidator does with
@@ -66,32 +71,38 @@ class ModelSpec:
 # --------------------------------------------------------------------------- fitting
 
 def fit_base(train: DataFrame, features: list[str], label: str, id_col: str, spec: ModelSpec,
-             tag: str = "0") -> PipelineModel:
+             tag: str = "0", stats: Statistics | None = None) -> PipelineModel:
     """impute/scale (train statistics) -> assemble -> [SMOTE | class weights] -> classifier.
 
-    Output column of the fitted model: ``_p{tag}`` = positive-class probability.
+    Output column of the fitted model: ``_p{tag}`` = positive-class probability. ``stats`` are the
+    statistics of ``train`` when they are known already (see ``fold_statistics``).
     """
-    sfx = f"__s{tag}"
-    train = train.select(id_col, label, *features).persist()   # read by every statistic and the fit
-    prep = fit_impute_scale(train, features, scale=spec.scale, suffix=sfx)
-    vec = f"_feat{tag}"
-    asm = VectorAssembler(inputCols=[c + sfx for c in features], outputCol=vec)
-    prepared = asm.transform(prep.transform(train.select(id_col, label, *features)))
-    weight_col = None
-    if spec.sampler == "smote":
-        prepared = smote(prepared.select(id_col, vec, label), features=vec, label=label, id_col=id_col, seed=spec.seed)
-    elif spec.sampler == "class_weight":
-        prepared = balanced_class_weight(prepared, label, out="_w")
-        weight_col = "_w"
-    n_rows = prepared.count() if spec.kind == "l1" else None
-    clf = make_classifier(spec.kind, spec.params, spec.seed, features_col=vec, label_col=label,
-                          weight_col=weight_col, prob_col=f"_prob{tag}", raw_col=f"_raw{tag}",
-                          pred_col=f"_pred{tag}", n_rows=n_rows)
-    model = clf.fit(prepared.select(vec, label, *([weight_col] if weight_col else [])))
-    train.unpersist()
-    drop = [c + sfx for c in features] + [vec, f"_raw{tag}", f"_pred{tag}", f"_prob{tag}"]
-    return PipelineModel(stages=[prep, asm, model, PositiveProbability(inputCol=f"_prob{tag}", outputCol=f"_p{tag}"),
-                                 DropColumns(cols=drop)])
+    sfx, vec = f"__s{tag}", f"_feat{tag}"
+    with temporary_tables(train.sparkSession):
+        train = materialize(train.select(id_col, label, *features), "train")   # read by every statistic and the fit
+        prep = impute_scale_stage(features, stats or fold_statistics(train, features)[None], spec.scale, sfx)
+        asm = VectorAssembler(inputCols=[c + sfx for c in features], outputCol=vec)
+        prepared = asm.transform(prep.transform(train)).select(id_col, vec, label)
+        weight_col = None
+        if spec.sampler == "smote":
+            prepared = smote(prepared, features=vec, label=label, id_col=id_col, seed=spec.seed)
+        elif spec.sampler == "class_weight":
+            prepared = balanced_class_weight(prepared, label, out="_w")
+            weight_col = "_w"
+        prepared = materialize(prepared.select(vec, label, *([weight_col] if weight_col else [])), "prepared")
+        middle = [f"_raw{tag}", f"_pred{tag}", f"_prob{tag}"]
+        if spec.kind == "l1":
+            p = {**L1_DEFAULTS, **spec.params}
+            rows = prepared.select(vector_to_array(vec).alias("x"), F.col(label).cast("double").alias("y"),
+                                   (F.col(weight_col) if weight_col else F.lit(1.0)).alias("w"))
+            w, b, _ = fit_l1_logistic(rows, "x", "y", "w", len(features), float(p["C"]), int(p["max_iter"]))
+            stages, middle = [LogisticProbability(inputCol=vec, outputCol=f"_p{tag}", weights=[float(v) for v in w], intercept=b)], []
+        else:
+            params = resolve_bins(spec.params, train, features) if spec.kind == "rf" else spec.params
+            clf = make_classifier(spec.kind, params, spec.seed, features_col=vec, label_col=label, weight_col=weight_col,
+                                  raw_col=middle[0], pred_col=middle[1], prob_col=middle[2])
+            stages = [clf.fit(prepared), PositiveProbability(inputCol=f"_prob{tag}", outputCol=f"_p{tag}")]
+    return PipelineModel(stages=[prep, asm, *stages, DropColumns(cols=[c + sfx for c in features] + [vec, *middle])])
 
 
 def fit_calibrator(scored: DataFrame, raw: str, label: str, method: str, out: str):
@@ -100,12 +111,10 @@ def fit_calibrator(scored: DataFrame, raw: str, label: str, method: str, out: st
     Both are fitted on weighted distinct scores: a partial aggregate first, so rows that share a
     score travel and are held once.
     """
-    by_score = scored.groupBy(F.col(raw).alias("s")).agg(F.sum(F.col(label)).cast("double").alias("pos"), F.count(F.lit(1)).cast("double").alias("n"))
+    by_score = materialize(scored.groupBy(F.col(raw).alias("s")).agg(F.sum(F.col(label)).cast("double").alias("pos"), F.count(F.lit(1)).cast("double").alias("n")), "scores")
     if method == "isotonic":
-        rows = by_score.select(F.col("s").alias(raw), (F.col("pos") / F.col("n")).alias(label), F.col("n").alias("w"))
-        return IsotonicRegression(featuresCol=raw, labelCol=label, predictionCol=out, weightCol="w", isotonic=True).fit(rows)
+        return fit_isotonic(by_score.select("s", F.col("pos").alias("total"), F.col("n").alias("weight")), raw, out)
     if method == "sigmoid":
-        by_score = by_score.persist()
         cnt = by_score.agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).first()
         pos, neg = float(cnt["pos"] or 0), float((cnt["n"] or 0) - (cnt["pos"] or 0))
         hi, lo = (pos + 1.0) / (pos + 2.0), 1.0 / (neg + 2.0)
@@ -115,33 +124,34 @@ def fit_calibrator(scored: DataFrame, raw: str, label: str, method: str, out: st
         soft = VectorAssembler(inputCols=["s"], outputCol="v").transform(soft)
         lr = LogisticRegression(featuresCol="v", labelCol="y", weightCol="w", regParam=0.0,
                                 standardization=False, maxIter=200).fit(soft)
-        by_score.unpersist()
         return PlattScaler(inputCol=raw, outputCol=out, a=float(lr.coefficients[0]), b=float(lr.intercept))
     raise ValueError(f"calibration {method!r} is neither 'isotonic' nor 'sigmoid'")
 
 
 def fit_model(train: DataFrame, features: list[str], label: str, id_col: str, spec: ModelSpec,
-              parallelism: int = DEFAULT_PARALLEL_FITS) -> PipelineModel:
-    """Uncalibrated: one base model. Calibrated: K inner stratified folds, each fits the base
-    model on K-1 parts and a calibrator on the held-out part; the output averages the K."""
+              parallelism: int = DEFAULT_PARALLEL_FITS, stats: Statistics | None = None) -> PipelineModel:
+    """Uncalibrated: one base model (``stats``: the train statistics, if known). Calibrated: K inner
+    stratified folds, each fits the base model on K-1 parts and a calibrator on the held-out part;
+    the output averages the K. The statistics of the K train parts come from one pass."""
     if not spec.calibration:
-        base = fit_base(train, features, label, id_col, spec, tag="0")
+        base = fit_base(train, features, label, id_col, spec, tag="0", stats=stats)
         return PipelineModel(stages=[*base.stages, MeanOfColumns(inputCols=["_p0"], outputCol="prob")])
-    train = train.select(id_col, label, *features)
-    inner = stratified_kfold(train, label, id_col, k=spec.inner_cv, seed=spec.seed, out="_inner").persist()
-    def one(i: int):
-        tr = inner.where(F.col("_inner") != i).drop("_inner")
-        ho = inner.where(F.col("_inner") == i).drop("_inner")
-        base = fit_base(tr, features, label, id_col, spec, tag=str(i))
-        cal = fit_calibrator(base.transform(ho), f"_p{i}", label, spec.calibration, f"_c{i}")
-        return [*base.stages, cal, DropColumns(cols=[f"_p{i}"])]
-
-    stages, outs = [], []
-    for i, st in enumerate(_in_parallel(one, list(range(spec.inner_cv)), parallelism)):
-        stages += st
-        outs.append(f"_c{i}")
-    inner.unpersist()
-    return PipelineModel(stages=[*stages, MeanOfColumns(inputCols=outs, outputCol="prob")])
+    spark = train.sparkSession
+    with temporary_tables(spark):
+        inner = materialize(stratified_kfold(train.select(id_col, label, *features), label, id_col, k=spec.inner_cv, seed=spec.seed, out="_inner"), "inner")
+        known = fold_statistics(inner, features, "_inner", range(spec.inner_cv))
+
+        def one(i: int):
+            tr = inner.where(F.col("_inner") != i).drop("_inner")
+            ho = inner.where(F.col("_inner") == i).drop("_inner")
+            base = fit_base(tr, features, label, id_col, spec, tag=str(i), stats=known[i])
+            with temporary_tables(spark):
+                cal = fit_calibrator(base.transform(ho), f"_p{i}", label, spec.calibration, f"_c{i}")
+            return [*base.stages, cal, DropColumns(cols=[f"_p{i}"])]
+
+        fitted = _in_parallel(one, list(range(spec.inner_cv)), parallelism)
+    outs = [f"_c{i}" for i in range(spec.inner_cv)]
+    return PipelineModel(stages=[*[st for part in fitted for st in part], MeanOfColumns(inputCols=outs, outputCol="prob")])
 
 
 # --------------------------------------------------------------------------- evaluation
@@ -156,11 +166,13 @@ def oof_predictions(df: DataFrame, features: list[str], label: str, id_col: str,
                     group_col: str | None = None, k: int = 5, parallelism: int = DEFAULT_PARALLEL_FITS) -> DataFrame:
     """Every row scored by the model that did not see its fold: (id, fold, label, prob)."""
     require_binary(df, label)
-    folded = assign_folds(df, label, id_col, group_col, k, spec.seed).persist()
+    folded = materialize(assign_folds(df, label, id_col, group_col, k, spec.seed).select(id_col, label, "fold", *features), "folded")
+    # the inner folds of a calibrated model have train parts of their own
+    known = {} if spec.calibration else fold_statistics(folded, features, "fold", range(k))
 
     def one(f: int):
         # inner calibration folds run serially here: the outer folds already run side by side
-        model = fit_model(folded.where(F.col("fold") != f), features, label, id_col, spec, parallelism=1)
+        model = fit_model(folded.where(F.col("fold") != f), features, label, id_col, spec, parallelism=1, stats=known.get(f))
         return model.transform(folded.where(F.col("fold") == f)).select(id_col, "fold", label, "prob")
 
     parts = _in_parallel(one, list(range(k)), parallelism)
@@ -188,17 +200,17 @@ def feature_importance_cv(df: DataFrame, features: list[str], label: str, id_col
                           group_col: str | None = None, k: int = 5, method: str = "rf",
                           params: dict | None = None, seed: int = 42) -> DataFrame:
     """Per-fold RF impurity importances or |L1 coefficients|, summarised (mean, std ddof 0)."""
-    folded = assign_folds(df, label, id_col, group_col, k, seed).persist()
+    folded = materialize(assign_folds(df, label, id_col, group_col, k, seed).select(id_col, label, "fold", *features), "folded")
     spark = df.sparkSession
     rows = []
+    known = fold_statistics(folded, features, "fold", range(k))
     for f in range(k):
         spec = ModelSpec(kind=method, params=params or {}, sampler="class_weight", calibration=None,
                          scale=True, seed=seed)
-        model = fit_base(folded.where(F.col("fold") != f), features, label, id_col, spec)
+        model = fit_base(folded.where(F.col("fold") != f), features, label, id_col, spec, stats=known[f])
         clf = model.stages[2]
-        vals = clf.featureImportances.toArray() if method == "rf" else np.abs(clf.coefficients.toArray())
+        vals = clf.featureImportances.toArray() if method == "rf" else np.abs(np.array(clf.coefficients))
         rows += [(f, feat, float(v)) for feat, v in zip(features, vals)]   # feature-sized
-    folded.unpersist()
     imp = spark.createDataFrame(rows, "fold int, feature string, importance double")
     return importance_summary(imp)
 
@@ -242,8 +254,13 @@ def permuted_rows(df: DataFrame, features: list[str], label: str, id_col: str, n
 def permutation_importance(model: Transformer, df: DataFrame, features: list[str], label: str, id_col: str,
                            n_repeats: int = 10, seed: int = 42) -> DataFrame:
     """Drop in AP and ROC AUC when one feature's values are shuffled across rows: (metric, feature,
-    importance_mean, importance_std). ``model`` is anything with a ``transform`` that adds ``prob``."""
-    scored = model.transform(permuted_rows(df, features, label, id_col, n_repeats, seed)).select("_f", "_rep", label, "prob")
+    importance_mean, importance_std). A pipeline of this module is scored by ``permute.py``, one pass a repeat;
+    anything else with a ``transform`` that adds ``prob`` scores the unfolded rows."""
+    parts = parts_of(model)
+    if parts:
+        scored = permuted_scores(parts, df, features, label, id_col, n_repeats, seed)
+    else:
+        scored = model.transform(permuted_rows(df, features, label, id_col, n_repeats, seed)).select("_f", "_rep", label, "prob")
     perm = M.ranking_metrics(scored, y=label, prob="prob", by=["_f", "_rep"])
     ref = M.ranking_metrics(model.transform(df), y=label, prob="prob").first()
     drops = perm.select(F.col("_f").alias("feature"), "_rep",
@@ -256,33 +273,100 @@ def permutation_importance(model: Transformer, df: DataFrame, features: list[str
                                                    F.stddev_pop("v").alias("importance_std"))
 
 
+TRIALS = "trial int, params string, state string, folds int, mean_pr_auc double, std_pr_auc double"
+
+
 def hyperparameter_search(df: DataFrame, features: list[str], label: str, id_col: str, kind: str = "rf",
                           n_trials: int = 20, timeout_s: float | None = None, group_col: str | None = None,
-                          k: int = 5, sampler: str = "smote", seed: int = 42,
-                          space: dict | None = None, parallelism: int = DEFAULT_PARALLEL_FITS) -> tuple[DataFrame, dict | None]:
+                          k: int = 5, sampler: str = "smote", seed: int = 42, space: dict | None = None,
+                          parallelism: int = DEFAULT_PARALLEL_FITS, race: bool = True) -> tuple[DataFrame, dict | None]:
     """Seeded random search maximising mean CV average precision. Returns (trials, best).
 
-    ``parallelism`` trials run side by side, each as distributed Spark jobs. With no trial finished in
-    time the table is empty and there is no best (None)."""
+    Folds and the statistics of their train parts are made once for all trials. With ``race``, trials are
+    judged fold by fold and the weaker half of those still running stops after each; without, all trials
+    run all folds. At ``timeout_s`` the running jobs are cancelled by their job tag, so the call ends
+    within seconds of the limit. The table has a row a trial: ``state`` is done (all folds), stopped (lost
+    the race) or cancelled (the limit), and the mean and deviation are over the ``folds`` it finished. The best
+    is the best done trial, or None if no trial was done in time.
+    """
     rng = np.random.default_rng(seed)
     draws = [sample_params(kind, rng, space) for _ in range(n_trials)]   # fixed by the seed
-    t0 = time.time()
+    scores: list[list[float]] = [[] for _ in draws]
+    running, stopped = list(range(n_trials)), set()
+    with temporary_tables(df.sparkSession), TimeLimit(df.sparkSession, timeout_s) as limit:
+        known, folded = {}, None
+
+        def prepare(_):
+            whole = assign_folds(df, label, id_col, group_col, k, seed).select(id_col, label, "fold", *features)
+            return materialize(whole, "folded")
+
+        def trial_fold(job: tuple[int, int]):
+            t, f = job
+            spec = ModelSpec(kind=kind, params=draws[t], sampler=sampler, calibration=None, seed=seed)
+            model = fit_model(folded.where(F.col("fold") != f), features, label, id_col, spec, parallelism=1, stats=known[f])
+            scored = model.transform(folded.where(F.col("fold") == f)).select(label, "prob")
+            scores[t].append(float(M.ranking_metrics(scored, y=label, prob="prob").first()["pr_auc"]))
+
+        folded = limit.run(prepare, None)
+        known = limit.run(lambda _: fold_statistics(folded, features, "fold", range(k)), None) or {}
+        for f in range(k):
+            if limit.over or folded is None:
+                break
+            _in_parallel(lambda job: limit.run(trial_fold, job), [(t, f) for t in running], parallelism)
+            if race and f + 1 < k and not limit.over and len(running) > 1:
+                ranked = sorted(running, key=lambda t: (-float(np.mean(scores[t])), t))
+                stopped |= set(ranked[-(-len(ranked) // 2):])
+                running = [t for t in running if t not in stopped]
+    rows = []
+    for t, got in enumerate(scores):
+        state = "done" if len(got) == k else "stopped" if t in stopped else "cancelled"
+        rows.append((t, json.dumps(draws[t], sort_keys=True), state, len(got), float(np.mean(got)) if got else None, float(np.std(got)) if got else None))
+    table = df.sparkSession.createDataFrame(rows, TRIALS)
+    done = [r for r in rows if r[2] == "done"]
+    if not done:
+        return table, None
+    best = max(done, key=lambda r: (r[4], -r[0]))
+    return table, best_record(kind, sampler, json.loads(best[1]), best[4])
 
-    def one(t: int):
-        if timeout_s is not None and time.time() - t0 > timeout_s:
-            return None
-        spec = ModelSpec(kind=kind, params=draws[t], sampler=sampler, calibration=None, seed=seed)
-        per_fold, _ = cross_validate(df, features, label, id_col, spec, group_col, k, parallelism=1)
-        agg = per_fold.agg(F.avg("pr_auc").alias("m"), F.stddev_pop("pr_auc").alias("s")).first()
-        return (t, json.dumps(draws[t], sort_keys=True), float(agg["m"]), float(agg["s"] or 0.0))
 
-    trials = [r for r in _in_parallel(one, list(range(n_trials)), parallelism) if r is not None]
-    spark = df.sparkSession
-    table = spark.createDataFrame(trials, "trial int, params string, mean_pr_auc double, std_pr_auc double")
-    if not trials:
-        return table, None
-    best = max(trials, key=lambda r: (r[2], -r[0]))
-    return table, best_record(kind, sampler, json.loads(best[1]), best[2])
+class TimeLimit:
+    """Work in tagged Spark jobs that are cancelled once the limit is over."""
+
+    def __init__(self, spark, seconds: float | None):
+        self.sc, self.seconds, self.tag = spark.sparkContext, seconds, f"limit-{uuid.uuid4().hex}"
+        self.ended = threading.Event()
+        self.end = None if seconds is None else time.monotonic() + seconds
+
+    @property
+    def over(self) -> bool:
+        return self.end is not None and time.monotonic() >= self.end
+
+    def __enter__(self) -> "TimeLimit":
+        if self.end is not None:
+            threading.Thread(target=self._watch, daemon=True).start()
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.ended.set()
+
+    def _watch(self) -> None:
+        self.ended.wait(max(0.0, self.end - time.monotonic()))
+        while not self.ended.wait(0.25):  # a fit goes on from job to job: each next one is cancelled too
+            self.sc.cancelJobsWithTag(self.tag)
+
+    def run(self, fn, arg):
+        """``fn(arg)``, or None when the limit ended it or was over before."""
+        if self.over:
+            return None
+        self.sc.addJobTag(self.tag)
+        try:
+            return fn(arg)
+        except Exception:
+            if self.over:
+                return None
+            raise
+        finally:
+            self.sc.removeJobTag(self.tag)
 
 
 #: The names that a stored best trial gives the settings of each model.

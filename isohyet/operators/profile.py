@@ -106,14 +106,14 @@ def topk_by_abs_corr(corr: DataFrame, k: int = 30) -> DataFrame:
 def correlation_matrix_topk(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Median-impute the features, then the full Pearson matrix in long form (a, b, r).
 
-    Two passes over the table: medians (one agg), then ONE agg of plain sums: n, the k sums
-    and the k(k+1)/2 cross products of median-centred values (centring keeps the moment
-    formula well conditioned). Only those feature-sized sums reach the driver, where the k x k
-    matrix is formed. A constant column gives null.
+    Two passes over the table: medians, then the Gram matrix of the median-centred values (centring
+    keeps the moment formula well conditioned), added up in blocks of rows and in a tree of tasks.
+    Only those feature-sized sums reach the driver. A constant column gives null.
     """
     import numpy as np
 
     from ..ml.prep import column_medians
+    from .gram import gram
 
     feats = list(features)
     k = len(feats)
@@ -124,19 +124,11 @@ def correlation_matrix_topk(df: DataFrame, features: Sequence[str]) -> DataFrame
     med = column_medians(df, feats)
     d = [F.coalesce(F.col(c).cast("double") - F.lit(float(med[c])), F.lit(0.0)) if med[c] is not None
          else F.lit(0.0) for c in feats]
-    base = df.select(*[e.alias(f"_d{i}") for i, e in enumerate(d)])
-    aggs = [F.count(F.lit(1)).cast("double").alias("_n")]
-    aggs += [F.sum(f"_d{i}").alias(f"_s{i}") for i in range(k)]
-    aggs += [F.sum(F.col(f"_d{i}") * F.col(f"_d{j}")).alias(f"_p{i}_{j}") for i in range(k) for j in range(i, k)]
-    row = base.agg(*aggs).first()
-    n = row["_n"] or 0.0
+    n, sums, products = gram(df.select(F.array(*d).alias("_d")), "_d", k)
     if n == 0:
         return spark.createDataFrame([(a, b, None) for a in feats for b in feats], schema)
-    mean = np.array([row[f"_s{i}"] for i in range(k)]) / n
-    cov = np.empty((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            cov[i, j] = cov[j, i] = row[f"_p{i}_{j}"] / n - mean[i] * mean[j]
+    mean = sums / n
+    cov = products / n - np.outer(mean, mean)
     sd = np.sqrt(np.clip(np.diag(cov), 0.0, None))
     out = []
     for i, a in enumerate(feats):
