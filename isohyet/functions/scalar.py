@@ -103,6 +103,12 @@ def require_binary(df: DataFrame, target: str) -> DataFrame:
     return df
 
 
+def select_columns(df: DataFrame, features: Sequence[str], target: str, ids: Iterable[str] = ("block_id", "LAT", "LON", "date")) -> DataFrame:
+    """The chosen features, the target and those ids that ``df`` has, in this order and each once."""
+    require_columns(df, [*features, target])
+    return df.select(*dict.fromkeys([*features, target, *(c for c in ids if c in df.columns)]))
+
+
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     ex = set(exclude)
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in ex]

@@ -73,29 +73,44 @@ def eda_numeric_columns(df: DataFrame, target: str, group_col: str | None = "blo
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in ex]
 
 
-def _pair_corr(x: Column, y: Column) -> Column:
-    """Pearson over rows where both are non-null; null when undefined (constant column)."""
-    xp = F.when(y.isNotNull(), x.cast("double"))
-    yp = F.when(x.isNotNull(), y.cast("double"))
-    return F.try_divide(F.covar_pop(xp, yp), F.stddev_pop(xp) * F.stddev_pop(yp))
-
-
 def target_correlation(df: DataFrame, target: str = "sequia", cols: Sequence[str] | None = None) -> DataFrame:
     """Point-biserial (Pearson) correlation of each numeric column with the 0/1 target.
 
-    Null when the column has fewer than 3 non-null values. Sorted by |r| descending, nulls last.
+    Over the rows where both are non-null; null when the column has fewer than 3 non-null values or is
+    constant. Sorted by |r| descending, nulls last. Two passes: counts and means, then the pairwise
+    moments around them, added up in blocks of rows; only column-sized sums reach the driver.
     """
+    import numpy as np
+
+    from .gram import array_sum
+
     cols = list(cols) if cols is not None else eda_numeric_columns(df, target)
-    y = F.col(target)
-    aggs = []
+    spark = df.sparkSession
+    schema = "feature string, corr_target double"
+    if not cols:
+        return spark.createDataFrame([], schema)
+    y = F.col(target).cast("double")
+    pair = [F.when(y.isNotNull(), F.col(c).cast("double")) for c in cols]
+    first = df.agg(F.avg(y).alias("_y"), *[F.count(c).alias(f"_k{i}") for i, c in enumerate(cols)],
+                   *[f(e).alias(f"_{n}{i}") for n, f in (("m", F.avg), ("lo", F.min), ("hi", F.max)) for i, e in enumerate(pair)]).first()
+    missing = F.lit(float("nan"))
+    around = F.array(*[F.coalesce(F.col(c).cast("double") - F.lit(float(first[f"_m{i}"] or 0.0)), missing) for i, c in enumerate(cols)])
+    rows = df.where(y.isNotNull()).select(around.alias("_x"), (y - F.lit(float(first["_y"] or 0.0))).alias("_y"))
+    k = len(cols)
+
+    def moments(x, t):
+        there = ~np.isnan(x)
+        v, w = np.where(there, x, 0.0), there.astype(np.float64)
+        return np.concatenate([w.sum(0), v.sum(0), (v * v).sum(0), w.T @ t, w.T @ (t * t), v.T @ t])
+
+    n, sx, sxx, sy, syy, sxy = array_sum(rows, "_x", ["_y"], 6 * k, moments).reshape(6, k)
+    vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+    out = []
     for i, c in enumerate(cols):
-        aggs.append(F.count(F.col(c)).alias(f"_k{i}"))
-        aggs.append(_pair_corr(F.col(c), y).alias(f"_r{i}"))
-    one = df.agg(*aggs)
-    entries = [F.struct(F.lit(c).alias("feature"),
-                        F.when(F.col(f"_k{i}") >= MIN_NONNULL_FOR_CORR, F.col(f"_r{i}")).alias("corr_target"))
-               for i, c in enumerate(cols)]
-    return _unpivot_row(one, entries).orderBy(F.abs("corr_target").desc_nulls_last(), "feature")
+        varied = first[f"_lo{i}"] != first[f"_hi{i}"] and vx[i] > 0 and vy[i] > 0
+        enough = first[f"_k{i}"] >= MIN_NONNULL_FOR_CORR
+        out.append((c, float((n[i] * sxy[i] - sx[i] * sy[i]) / np.sqrt(vx[i] * vy[i])) if varied and enough else None))
+    return spark.createDataFrame(out, schema).orderBy(F.abs("corr_target").desc_nulls_last(), "feature")
 
 
 def topk_by_abs_corr(corr: DataFrame, k: int = 30) -> DataFrame:

@@ -26,7 +26,7 @@ from ..session import materialize
 from .strategy import null_safe_keys
 
 #: Distinct values of an interval that one task puts in order.
-ORDERED_VALUES = 10_000
+ORDERED_VALUES = 100_000
 #: Pieces that an interval is cut into at each step.
 PIECES = 32
 #: Parts that the rows of a group are dealt into when they meet its intervals.
@@ -110,7 +110,6 @@ def weighted_quantiles(counts: DataFrame, keys: Sequence[str], value: str, weigh
         for i, p in enumerate(probs):
             position, lower, upper = _wanted(F.col(total[w]), p)
             found += [F.max(F.when((rank >= first) & (rank < last), F.col("_v"))).alias(f"_{half}_{w}_{i}") for half, rank in (("l", lower), ("u", upper))]
-            position, lower, upper = _wanted(F.col(total[w]), p)
             lo, hi = F.col(f"_l_{w}_{i}"), F.col(f"_u_{w}_{i}")
             mixed = (upper.cast("double") - position) * lo + (position - lower.cast("double")) * hi
             out.append(F.when(lo == hi, lo).otherwise(mixed).alias(f"q_{w}_{i}"))
@@ -128,9 +127,9 @@ def grouped_quantile(df: DataFrame, value: str, keys: Sequence[str], p: float, o
     keys = list(keys)
     plain = F.percentile(F.col(value), F.lit(float(p))).alias(out)
     sizes = df.groupBy(*keys).agg(F.count(value).alias("_n")).where(F.col("_n") > most).drop("_n")
-    large = materialize(sizes, "large_groups")
-    if large.isEmpty():
+    if sizes.isEmpty():
         return df.groupBy(*keys).agg(plain)
+    large = materialize(sizes, "large_groups")
     a, b = df.select(*keys, value).alias("_d"), large.alias("_g")
     same = null_safe_keys(a, b, keys)
     small = a.join(b, same, "left_anti").groupBy(*keys).agg(plain)

@@ -12,13 +12,13 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import feature_columns
+from ..functions.scalar import feature_columns, select_columns
 from ..ml import train as T
-from ..ml.prep import balanced_class_weight, impute_median, standardize
-from ..ml.smote import smote
+from ..ml.prep import balanced_class_weight, fold_statistics, impute_median, standardize
+from ..ml.smote import neighbour_lists, smote
 from ..operators import metrics as M
-from ..operators.ranking import sample_groups
-from ..session import scratch_path
+from ..operators.ranking import hash_rank, sample_groups
+from ..session import materialize, scratch_path
 from . import labelled_panel as LP
 
 SMALL_RF = {"n_estimators": 10, "max_depth": 5, "min_samples_leaf": 2}
@@ -61,6 +61,29 @@ def q_smote_oversample(spark, sf):
     return out.groupBy(LABEL, "_synthetic").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_smote_neighbours(spark, sf):
+    """The neighbour distances that oversampling uses: a row for each minority row."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    df = materialize(model_frame(spark, sf), "model_frame")
+    feats = features(df)
+    scaled = VectorAssembler(inputCols=feats, outputCol="features").transform(standardize(df, feats).transform(df))
+    pts = hash_rank(scaled.where(F.col(LABEL) == 1).select(ID, vector_to_array("features").alias("x")), ID, 42, out="_i")
+    pts = materialize(pts, "minority")
+    near = F.transform("nn", lambda e: e["_d"])
+    lists = neighbour_lists(pts.select("_i", "x"), 5).select("_i", F.size("nn").alias("n_neighbours"), F.array_min(near).alias("nearest"),
+                                                             F.array_max(near).alias("farthest"))
+    return pts.join(lists, "_i").select(ID, "n_neighbours", "nearest", "farthest")
+
+
+def q_fold_statistics(spark, sf):
+    """Median, and mean and deviation after imputation, of the rows outside each fold (the year modulo 5)."""
+    df = materialize(model_frame(spark, sf).select((F.col("YEAR") % 5).alias("fold"), *PREP_COLS), "model_frame")
+    stats = fold_statistics(df, PREP_COLS, "fold", range(5))
+    rows = [(f, c, s.medians[c], s.means[c], s.deviations[c]) for f, s in stats.items() for c in PREP_COLS]   # folds x columns
+    return spark.createDataFrame(rows, "fold int, feature string, median double, mean double, deviation double")
+
+
 def _fit_score(spark, sf, spec: T.ModelSpec) -> DataFrame:
     """Fit on folds 1.. of a group split, score fold 0 (a holdout), return the holdout metrics."""
     df = model_frame(spark, sf)
@@ -124,8 +147,7 @@ def q_select_topk_features(spark, sf):
     df = model_frame(spark, sf)
     summ = T.feature_importance_cv(df, features(df), LABEL, ID, group_col=GROUP, k=3, method="rf", params=SMALL_RF)
     keep = T.select_topk_features(summ, topk=10, min_importance=0.0)
-    ids = [c for c in (ID, GROUP, "LAT", "LON", "date") if c in df.columns]
-    return df.select(*keep, LABEL, *ids)
+    return select_columns(df, keep, LABEL, ids=(ID, GROUP, "LAT", "LON", "date"))
 
 
 def q_permutation_importance(spark, sf):
@@ -176,7 +198,9 @@ ML_QUERIES = [
     ("impute_median", q_impute_median),
     ("standardize", q_standardize),
     ("balanced_class_weight", q_balanced_class_weight),
+    ("fold_statistics", q_fold_statistics),
     ("smote_oversample", q_smote_oversample),
+    ("smote_neighbours", q_smote_neighbours),
     ("random_forest", q_random_forest),
     ("gradient_boosting", q_gradient_boosting),
     ("l1_logistic", q_l1_logistic),

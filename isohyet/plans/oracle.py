@@ -471,3 +471,36 @@ ORACLE.update({
         UNION ALL
         SELECT (SELECT sequia FROM mn), true, (SELECT max(n) - min(n) FROM c)""",
 })
+
+
+# ---- train statistics of each fold, isotonic values of given scores, chosen columns
+
+
+
+
+def fold_statistics_sql() -> str:
+    parts = []
+    for c in PREP_COLS:
+        med = f"(SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM m WHERE fold <> f.fold)"
+        filled = f"coalesce(CAST({c} AS DOUBLE), {med})"
+        parts.append(f"SELECT CAST(f.fold AS INTEGER) AS fold, '{c}' AS feature, {med} AS median, (SELECT avg({filled}) FROM m WHERE fold <> f.fold) AS mean, "
+                     f"(SELECT stddev_pop({filled}) FROM m WHERE fold <> f.fold) AS deviation FROM folds f")
+    inner = f"WITH m AS (SELECT *, YEAR % 5 AS fold FROM ({LABELLED_SQL}) l), folds AS (SELECT unnest(range(5)) AS fold) " + " UNION ALL ".join(parts)
+    return rounded(inner, ["median", "mean", "deviation"])
+
+
+#: The largest, over starts up to a score, of the smallest mean from there over ends from the score on.
+ISOTONIC_SQL = f"""
+WITH d AS (SELECT prob AS s, sum(y) AS t, count(*) AS w FROM ({SCORED_SQL}) x GROUP BY prob),
+c AS (SELECT s, row_number() OVER (ORDER BY s) AS i, sum(t) OVER (ORDER BY s) AS st, sum(w) OVER (ORDER BY s) AS sw, t, w FROM d),
+ends AS (SELECT a.i AS a, b.i AS b, (b.st - a.st + a.t)::DOUBLE / (b.sw - a.sw + a.w)::DOUBLE AS m FROM c a JOIN c b ON b.i >= a.i),
+low AS (SELECT a, b, min(m) OVER (PARTITION BY a ORDER BY b DESC) AS m FROM ends),
+iso AS (SELECT b AS i, max(m) AS v FROM low GROUP BY b)
+SELECT s, v AS calibrated FROM iso JOIN c USING (i)
+"""
+
+ORACLE |= {
+    "fold_statistics": fold_statistics_sql(),
+    "isotonic_scores": rounded(ISOTONIC_SQL, ["s", "calibrated"]),
+    "select_columns": rounded(f"SELECT precip__lag1, n_obs, humid__roll3m, sequia, block_id, LAT, LON, date FROM ({LABELLED_SQL}) l", ["precip__lag1", "humid__roll3m", "LAT", "LON"]),
+}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import drop_leakage, month_start_date, round_doubles, spatial_block, threshold_predict
+from ..functions.scalar import drop_leakage, month_start_date, round_doubles, select_columns, spatial_block, threshold_predict
 from ..operators import metrics as M
 from ..operators import panel as P
 from ..operators import profile as PR
@@ -39,7 +39,12 @@ def _dated(spark, sf):
 
 
 def q_read_panel(spark, sf):
-    return fixtures.panel(spark, sf)
+    """The panel as headered CSV, read with its schema."""
+    from ..sources.io import read_panel, write_panel
+    panel = fixtures.panel(spark, sf)
+    path = scratch_path(spark, "panel_in")
+    write_panel(panel, path, fmt="csv")
+    return read_panel(spark, path, schema=panel.schema, fmt="csv")
 
 
 def q_enrich_left_join(spark, sf):
@@ -251,6 +256,19 @@ def q_sample_stratified(spark, sf):
     return RK.sample_stratified(_scored(spark, sf), "y", "row_id", 0.35, seed=42)
 
 
+def q_select_columns(spark, sf):
+    lab = LP.labelled_panel(spark, sf)
+    return select_columns(lab, ["precip__lag1", "n_obs", "humid__roll3m"], "sequia", ids=("row_id", "block_id", "LAT", "LON", "date"))
+
+
+def q_isotonic_scores(spark, sf):
+    """Every distinct score with its isotonic value, pooled in ranges and merged."""
+    from ..ml.isotonic import fit_isotonic
+    d = _scored(spark, sf).groupBy(F.col("prob").alias("s")).agg(F.sum("y").alias("total"), F.count(F.lit(1)).alias("weight"))
+    d = materialize(d, "scores")
+    return fit_isotonic(d, "s", "calibrated", range_rows=256).transform(d.select("s")).select("s", "calibrated")
+
+
 def q_group_semi_join(spark, sf):
     return P.group_semi_join(fixtures.panel(spark, sf), fixtures.site(spark, sf).where("elev is not null"), "loc_id")
 
@@ -309,6 +327,8 @@ for _name, _fn in [
     ("sample_groups", q_sample_groups),
     ("sample_stratified", q_sample_stratified),
     ("group_semi_join", q_group_semi_join),
+    ("select_columns", q_select_columns),
+    ("isotonic_scores", q_isotonic_scores),
 ]:
     register(_name, _fn)
 

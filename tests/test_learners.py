@@ -225,3 +225,27 @@ def test_a_time_limit_ends_running_trials_within_seconds(spark):
     assert frame(spark, table(50)).count() == 50  # the session goes on
     none, best = T.hyperparameter_search(df, ["a"], "y", "row_id", kind="rf", n_trials=2, k=2, timeout_s=0.0)
     assert best is None and none.count() == 2 and array_to_vector is not None
+
+
+# ---- queries
+
+def test_neighbour_query_equals_brute_force(spark):
+    """Up to a leaf the search is exact: every minority row of the small table, against all others."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from isohyet.ml.prep import standardize
+    from isohyet.plans import ml_queries as Q
+
+    sf = "/root/testdata/sf0.001"
+    got = Q.q_smote_neighbours(spark, sf).toPandas().set_index("row_id").sort_index()
+    df = Q.model_frame(spark, sf)
+    feats = Q.features(df)
+    scaled = VectorAssembler(inputCols=feats, outputCol="f").transform(standardize(df, feats).transform(df))
+    d = scaled.where("sequia = 1").select("row_id", vector_to_array("f").alias("x")).toPandas().sort_values("row_id")
+    x = np.stack(d["x"].to_numpy())
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    np.fill_diagonal(dist, np.inf)
+    near = np.sort(dist, axis=1)[:, :5]
+    assert list(got.index) == list(d["row_id"]) and (got["n_neighbours"] == 5).all()
+    assert np.allclose(got["nearest"], near[:, 0]) and np.allclose(got["farthest"], near[:, -1])

@@ -9,7 +9,8 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 CHECK = ["event_label", "target_correlation", "column_histogram", "average_precision", "roc_auc",
-         "threshold_by_fold", "group_kfold", "stratified_kfold", "sample_groups", "standardize"]
+         "threshold_by_fold", "group_kfold", "stratified_kfold", "sample_groups", "standardize",
+         "read_panel", "select_columns", "isotonic_scores", "fold_statistics"]
 
 
 def _rows(cols, data):

@@ -88,3 +88,18 @@ def test_constant_column_correlation_is_null(spark):
     df = spark.createDataFrame(pd.DataFrame({"a": [1.0] * 5, "b": [1.0, 2, 3, 4, 6], "t": [0, 1, 0, 1, 1]}))
     r = {x["feature"]: x["corr_target"] for x in PR.target_correlation(df, "t", ["a", "b"]).collect()}
     assert r["a"] is None and np.isclose(r["b"], np.corrcoef([1, 2, 3, 4, 6], [0, 1, 0, 1, 1])[0, 1])
+
+
+def test_target_correlation_pairs_nulls_and_constants(spark):
+    rng = np.random.default_rng(12)
+    n = 400
+    d = pd.DataFrame({"y": (rng.random(n) < 0.3).astype(float), "a": rng.normal(1e6, 2, n), "c": 0.1, "few": np.nan, "b": rng.integers(0, 3, n).astype(float)})
+    d.loc[rng.random(n) < 0.2, "a"] = np.nan
+    d.loc[:9, "y"] = np.nan
+    d.loc[:1, "few"] = [1.0, 2.0]
+    df = spark.createDataFrame(d)
+    df = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in df.columns]).repartition(6)
+    got = {r.feature: r.corr_target for r in PR.target_correlation(df, "y", ["a", "c", "few", "b"]).collect()}
+    assert got["c"] is None and got["few"] is None
+    assert np.isclose(got["a"], d["a"].corr(d["y"])) and np.isclose(got["b"], d["b"].corr(d["y"]))
+    assert PR.target_correlation(df, "y", []).count() == 0 and PR.target_correlation(df.limit(0), "y", ["a"]).first().corr_target is None
