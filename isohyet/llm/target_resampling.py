@@ -88,7 +88,6 @@ class Hasher:
 
     def _start(self):
         self.ids = {w: i for i, w in enumerate(self.words)}
-        self.tail: list[bytes] = []
         self.crc = np.fromiter(map(zlib.crc32, self.words), np.uint32, self.head)
         self.len = np.fromiter(map(len, self.words), np.int64, self.head)
 
