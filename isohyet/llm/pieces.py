@@ -82,7 +82,7 @@ class PieceModel:
         self.known = {names[i] for i in self.id_of_rank[:singles]}
         self.split = [(r, r) for r in range(singles)]
         self.merge: dict[tuple[int, int], int] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         rank_of = {names[i]: r for r, i in enumerate(self.id_of_rank)}
         self.tokens = ahocorasick.Automaton()
         for r in range(singles):
@@ -118,7 +118,7 @@ class PieceModel:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether tokens (by rank) a and b stay apart when their texts stand side by side."""
-        known = self.pairs.get((a, b))
+        known = self.pairs.get(a << 32 | b)
         if known is not None:
             return known
         x, y, limit, ok = a, b, len(self.split) + 1, None
@@ -144,18 +144,22 @@ class PieceModel:
                         ok = True
         if len(self.pairs) > 300_000:  # bounds memory
             self.pairs.clear()
-        self.pairs[a, b] = ok
+        self.pairs[a << 32 | b] = ok
         return ok
 
     def _known_run(self, text: str) -> list[int]:
         """Ranks of the encoding of a text of known characters."""
         n = len(text)
         last, width = [-1] * n, [0] * n
+        known = self.pairs.get
         for end, (k, r) in self.tokens.iter(text):
             if last[end] < 0:
                 before = end - k
-                if before < 0 or self.compatible(last[before], r):
-                    last[end], width[end] = r, k
+                if before >= 0:
+                    ok = known(last[before] << 32 | r)
+                    if not (self.compatible(last[before], r) if ok is None else ok):
+                        continue
+                last[end], width[end] = r, k
         out, i = [], n - 1
         while i >= 0:
             out.append(last[i])
@@ -178,16 +182,19 @@ class PieceModel:
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one word with the space marks before it."""
-        out: list[int] = []
-        for known, run in groupby(word, self.known.__contains__):
-            run = "".join(run)
-            if not known:
-                out += [self.byte_id[b] for b in run.encode("utf-8", "surrogatepass")]
-            else:
-                out += [self.id_of_rank[r] for r in self._known_run(run)]
+        ids = self.id_of_rank
+        if self.known.issuperset(word):
+            out = [ids[r] for r in self._known_run(word)]
+        else:
+            out = []
+            for known, run in groupby(word, self.known.__contains__):
+                run = "".join(run)
+                out += [ids[r] for r in self._known_run(run)] if known else [self.byte_id[b] for b in run.encode("utf-8", "surrogatepass")]
         mark = self.runs[1]
+        if out[:2] != [mark, mark]:
+            return out
         lead = next((i for i, x in enumerate(out) if x != mark), len(out))
-        return self._marks(lead) + out[lead:] if lead > 1 else out
+        return self._marks(lead) + out[lead:]
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text's ids begin (one more entry than texts)."""
