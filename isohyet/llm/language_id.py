@@ -76,17 +76,32 @@ def _count_words(batches):
 
 
 def _count_grams(batches):
-    held: Counter = Counter()
+    held: dict[str, dict[str, int]] = {}
+    size = 0
+
+    def rows():
+        out = Counter({(lang, g): c for lang, gs in held.items() for g, c in gs.items()})
+        held.clear()
+        return _flush(out)
+
     for rb in batches:
         for lang, w, c in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), rb.column(2).to_pylist()):
+            of = held.setdefault(lang, {})
+            before = len(of)
             for n in range(1, LONGEST + 1):
                 for g in grams(w, n):
-                    held[lang, g] += c
-        if len(held) > 300_000:
-            yield _flush(held)
-            held = Counter()
+                    of[g] = of.get(g, 0) + c
+            size += len(of) - before
+        if size > 300_000:
+            yield rows()
+            size = 0
     if held:
-        yield _flush(held)
+        yield rows()
+
+
+def _dealt(df: DataFrame) -> DataFrame:
+    """Few bytes but much work a row: dealt over all tasks, as a scan of small files would be a handful."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 class Model:
@@ -168,7 +183,7 @@ def learn(training: DataFrame) -> Model:
     rows = training.where("lang is not null and text is not null").select("lang", "text")
     counts = _table_of(rows.mapInArrow(_count_words, "lang string, w string, c long"), "lang-words")
     one = counts.select("w", F.explode("by").alias("x")).select("x.lang", "w", "x.c")
-    gram = _table_of(one.mapInArrow(_count_grams, "lang string, w string, c long"), "lang-grams")
+    gram = _table_of(_dealt(one).mapInArrow(_count_grams, "lang string, w string, c long"), "lang-grams")
     # The rows learnt from; a language is learnt when it has a word.
     docs = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     totals = {r.lang: r.c for r in one.groupBy("lang").agg(F.sum("c").alias("c")).collect()}
@@ -266,7 +281,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     rest = scored.select("__uid", F.explode("__rest").alias("r")).select("__uid", "r.w", "r.n")
     counts, gram = model.tables
     found, path = C.written(rest.select("w").distinct().join(counts.select("w", "by"), "w", "left"), "lang-rest")
-    rare = found.where("by is null").select("w").mapInArrow(_spell(sent), "word string, w string").join(gram.select("w", "by"), "w") \
+    rare = _dealt(found.where("by is null").select("w")).mapInArrow(_spell(sent), "word string, w string").join(gram.select("w", "by"), "w") \
         .groupBy(F.col("word").alias("w")).agg(F.collect_list(F.struct("w", "by")).alias("rare"))
     rows, _ = C.written(found.join(rare, "w", "left").select("w", "by", "rare").mapInArrow(_word_sums(sent), "w string, v array<double>"), "lang-rows")
     C.drop_written(spark, path)
