@@ -279,7 +279,7 @@ TRIALS = "trial int, params string, state string, folds int, mean_pr_auc double,
 def hyperparameter_search(df: DataFrame, features: list[str], label: str, id_col: str, kind: str = "rf",
                           n_trials: int = 20, timeout_s: float | None = None, group_col: str | None = None,
                           k: int = 5, sampler: str = "smote", seed: int = 42, space: dict | None = None,
-                          parallelism: int = DEFAULT_PARALLEL_FITS, race: bool = True) -> tuple[DataFrame, dict | None]:
+                          parallelism: int = DEFAULT_PARALLEL_FITS, race: bool = False) -> tuple[DataFrame, dict | None]:
     """Seeded random search maximising mean CV average precision. Returns (trials, best).
 
     Folds and the statistics of their train parts are made once for all trials. With ``race``, trials are

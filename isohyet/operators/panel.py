@@ -181,7 +181,8 @@ def event_label(df: DataFrame, value: str = "precip", keys: Sequence[str] = DEFA
     base = df.withColumn(mkey, extract_month(df, month_col, date_col))
     gkeys = [*keys, mkey]
     clim = materialize(climatology_percentile(base, value, gkeys, p), "climatology")
-    if clim.where(F.col("ppt_pctl").isNotNull()).isEmpty() and not clim.isEmpty():
+    seen = clim.agg(F.count(F.lit(1)).alias("groups"), F.count("ppt_pctl").alias("known")).first()
+    if seen["groups"] and not seen["known"]:
         raise ValueError(f"nothing to rank: {value!r} is null in every row")
     a, b = base.alias("_a"), clim.alias("_b")
     joined = a.join(b, null_safe_keys(a, b, gkeys), "left")

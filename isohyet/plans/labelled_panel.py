@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.scalar import month_start_date, spatial_block
 from ..operators.panel import add_features, enrich_left_join, event_label

@@ -163,7 +163,7 @@ def q_permutation_importance(spark, sf):
 def q_hyperparameter_search(spark, sf):
     df = model_frame(spark, sf)
     trials, best = T.hyperparameter_search(df, features(df), LABEL, ID, kind="gbm", n_trials=2,
-                                           group_col=GROUP, k=3, sampler="none", seed=42,
+                                           group_col=GROUP, k=3, sampler="none", seed=42, race=True,
                                            space={"n_estimators": (10, 30, 10), "max_depth": (2, 4)})
     return trials
 

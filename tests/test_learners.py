@@ -207,7 +207,7 @@ def test_exact_bins_split_where_an_exhaustive_search_does(spark):
 
 def test_race_stops_the_weaker_half_and_shares_folds(spark):
     df = frame(spark, table(240))
-    trials, best = T.hyperparameter_search(df, ["a", "b"], "y", "row_id", kind="gbm", n_trials=4, group_col="g", k=3, sampler="none",
+    trials, best = T.hyperparameter_search(df, ["a", "b"], "y", "row_id", kind="gbm", n_trials=4, group_col="g", k=3, sampler="none", race=True,
                                            space={"n_estimators": (2, 6, 2), "max_depth": (1, 2)})
     t = trials.toPandas()
     assert sorted(t["state"]) == ["done", "stopped", "stopped", "stopped"] and sorted(t["folds"]) == [1, 1, 2, 3]
