@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from isohyet.ml.smote import knn_minority, smote
 from isohyet.ml.train import ModelSpec, fit_model, load_model, save_model, score
+from isohyet.session import materialize
 
 
 def _knn_recall(spark, n, dims, k=5, **kw):
@@ -92,3 +93,16 @@ def test_isolated_points_and_tiny_leaves_still_get_neighbours(spark):
     assert np.allclose(d, got["_d"])
 
 
+def test_scores_of_a_forest_can_be_written_after_the_session_used_job_tags(spark):
+    # the session's tag state cannot be serialized; a fitted forest must not carry the session to the tasks
+    rng = np.random.default_rng(8)
+    a = rng.normal(size=200)
+    df = spark.createDataFrame(pd.DataFrame({"row_id": np.arange(200), "a": a, "y": (a > 0.5).astype(int)}))
+    spark.addTag("some-job")
+    try:
+        for calibration in (None, "isotonic"):
+            spec = ModelSpec("rf", {"n_estimators": 3, "max_depth": 2}, sampler="none", calibration=calibration, inner_cv=2)
+            m = fit_model(df, ["a"], "y", "row_id", spec)
+            assert materialize(m.transform(df).groupBy("y").agg(F.avg("prob").alias("p"))).count() == 2
+    finally:
+        spark.removeTag("some-job")
