@@ -1,9 +1,10 @@
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from isohyet.ml.smote import knn_minority, smote
+from isohyet.ml.smote import _coder, _within, knn_minority, refine, smote
 from isohyet.ml.train import ModelSpec, fit_model, load_model, save_model, score
 from isohyet.session import materialize
 
@@ -30,6 +31,34 @@ def test_tied_points_do_not_make_a_large_part(spark):
     assert (got["_d"] == 0).all() and (got.groupby("_i").size() == 3).all() and len(got) == 2700
 
 
+def test_refinement_by_bytes_loses_no_nearer_row_and_sends_few_on(spark):
+    rng = np.random.default_rng(3)
+    n, k, keep = 500, 8, 3
+    x = rng.normal(size=(n, 12)) + rng.integers(0, 3, (n, 1)) * 2.0
+    x[:5] *= 40.0                                # far outside the range of the bytes
+    x[5:9] = x[9]                                # equal rows
+    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(2))
+    near = [rng.choice(np.argsort(d[i] + (np.arange(n) == i) * 1e9)[:40], k, replace=False) for i in range(n)]
+    lists = [sorted((float(d[i, j]), int(j)) for j in near[i]) for i in range(n)]
+    pts = spark.createDataFrame(pd.DataFrame({"_i": np.arange(n), "x": list(x)}))
+    given = spark.createDataFrame([(i, lists[i]) for i in range(n)], "_i long, nn array<struct<_d:double,_j:bigint>>")
+    sample = x[100:300]
+    got = {r["_i"]: [(e["_d"], e["_j"]) for e in r["nn"]][:keep] for r in refine(pts, given, k, sample, keep).collect()}
+    for i in range(n):
+        reached = {j for j in near[i]} | {m for j in near[i] for m in near[j] if m != i}
+        want = sorted((d[i, j], int(j)) for j in reached)[:keep]
+        assert np.allclose([e[0] for e in got[i]], [e[0] for e in want], rtol=1e-12)
+    step = (sample.max(0) - sample.min(0)) / 255.0
+    c = next(_coder(sample.min(0), step)(iter([pd.DataFrame({"_i": np.arange(n), "x": list(x)})])))["_c"].tolist()
+    rows = pa.RecordBatch.from_arrays([
+        pa.array([i for i in range(n) for _ in near[i]], pa.int64()), pa.array([lists[i][keep - 1][0] for i in range(n) for _ in near[i]]),
+        pa.array([c[i] for i in range(n) for _ in near[i]], pa.binary()),
+        pa.array([[{"_n": int(m), "_c": c[m]} for m in near[j]] for i in range(n) for j in near[i]], pa.list_(pa.struct([("_n", pa.int64()), ("_c", pa.binary())])))],
+        names=["_i", "_reach", "_c", "_far"])
+    sent = sum(b.num_rows for b in _within(step)(iter([rows])))
+    assert 0 < sent < n * k * k // 2
+
+
 def test_smote_balances_inside_minority_box(spark):
     rng = np.random.default_rng(4)
     n_maj, n_min = 300, 40
