@@ -2,19 +2,19 @@
 
 A document's set is its distinct five-word shingles (64-bit hashes). Documents with equal sets
 form one class, kept as its smallest ``doc_id``. Classes meet in band buckets, and every bucket
-compares its members with chosen leaders rather than with one another: a pair is first held
-against the signature, then confirmed on the full sets, and confirmed links are joined into
+compares its members with a leader at first: a pair is held against the signature, then
+confirmed on the full sets, and confirmed links are joined into
 components by alternating large-star and small-star.
 
 Only classes that share a bucket go on. Shingles that no other of them has bound what a pair can
 reach: a class that cannot reach the threshold in its bucket leaves it, and pairs that cannot are
-not compared. The first leaders are the
-most central members (fewest shingles of their own), so most of a group of copies is joined at
-once. A bucket whose members lie in one component needs no more work; in each later round the
-rest get twice as many leaders, from the smallest components first, and leaders that have been
-compared with every member of another component leave the bucket. The rounds end when no bucket
-spans two components, so no link is lost to the choice of leaders. A bucket of m near copies costs
-m comparisons, and m more for each member that stays outside its large component.
+not compared. The leaders are the most central members (fewest shingles of their own), so two
+rounds of one leader a bucket join most of a group of copies at once. A bucket whose members lie in
+one component needs no more work. In the others every member outside the largest component then
+meets all members, by the full sets and inside the tasks: the outside members are dealt into blocks
+that are held while the bucket passes, and only links that join two components come out. So no link
+is lost to the choice of leaders, and a bucket of m near copies of which k stay outside sends m rows
+for every block of the k, and no pairs.
 
 Bands: 32 of 4 minima. Two sets at the threshold (0.85) share a band with probability
 1 - 5e-11. The signature check lets through every pair whose estimate is above
@@ -44,6 +44,10 @@ BANDS = 32
 ROWS = HASHES // BANDS
 #: Bands of the first round; most copies are joined by these, and all bands follow.
 FIRST_BANDS = 4
+#: Rounds in which a bucket's members meet one leader; then all that are not joined meet.
+LEADER_ROUNDS = 2
+#: Shingles of the members that a task holds against their bucket at a time.
+BLOCK = 250_000
 SHINGLE = 5
 _CHUNK = 4096
 
@@ -154,6 +158,71 @@ def _confirmed(percent: int):
     return run
 
 
+def _meet(percent: int):
+    """Links between a block's first rows (role 0) and all rows of the bucket that join two components of the block.
+
+    Rows come by bucket, block and role, so the first rows are held and the others pass one by one. Intersections
+    are counted by the places of the held shingles, all held sets at once.
+    """
+
+    def run(batches):
+        group, reps, roots, parts, index = None, [], [], [], None
+        up: dict[int, int] = {}
+
+        def root(c):
+            while up.get(c, c) != c:
+                up[c] = c = up.get(up[c], up[c])
+            return c
+
+        for rb in batches:
+            xs, ys = [], []
+            for key, block, role, rep, comp, s in zip(*(rb.column(i).to_pylist() for i in range(5)), rb.column(5)):
+                s = np.frombuffer(s.as_py(), np.uint64)
+                if (key, block) != group:
+                    group, reps, roots, parts, index = (key, block), [], [], [], None
+                    up.clear()
+                if not role:
+                    reps.append(rep), roots.append(comp), parts.append(s)
+                    continue
+                if index is None:
+                    flat, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
+                    order = np.argsort(flat, kind="stable")
+                    owner = np.repeat(np.arange(len(parts)), sizes)[order]
+                    values, at = np.unique(flat[order], return_index=True)
+                    index = values, np.append(at, len(flat)), owner, sizes
+                values, at, owner, sizes = index
+                i = np.minimum(np.searchsorted(values, s), len(values) - 1)
+                i = i[values[i] == s]
+                n = at[i + 1] - at[i]
+                took = np.arange(n.sum()) + np.repeat(at[i] - (np.cumsum(n) - n), n)
+                shared = np.bincount(owner[took], minlength=len(reps))
+                for k in np.flatnonzero(100 * shared >= percent * (sizes + len(s) - shared)).tolist():
+                    p, q = root(roots[k]), root(comp)
+                    if p != q:
+                        up[max(p, q)] = min(p, q)
+                        xs.append(reps[k]), ys.append(rep)
+            yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64())], names=["x", "y"])
+    return run
+
+
+def _meetings(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (x, y) that join the components which share a bucket, by the full sets.
+
+    Members outside the bucket's largest component meet all its members. They are dealt into blocks of
+    ``BLOCK`` shingles and every block is a group of its own, so a task holds one block at a time and a hot
+    bucket is many groups.
+    """
+    of_comp = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s"))
+    blocks = of_comp.groupBy("key").agg(F.max(F.struct("n", "comp", "s")).alias("m"), F.sum("s").alias("all")) \
+        .select("key", F.col("m.comp").alias("main"), F.ceil((F.col("all") - F.col("m.s")) / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.select("key", "rep", "comp").join(blocks, "key")
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    first = dealt.where("comp <> main").select("key", own.alias("block"), F.lit(0).alias("role"), "rep", "comp")
+    met = first.union(dealt.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "rep", "comp"))
+    return met.join(sets, "rep").select("key", "block", "role", "rep", "comp", "s").repartition("key", "block") \
+        .sortWithinPartitions("key", "block", "role").mapInArrow(_meet(percent), "x long, y long")
+
+
 def _counted(df: DataFrame, name: str, *hashed: str) -> tuple[DataFrame, str, tuple]:
     """Write a table and learn its row count and an order-free digest of its rows in the same job."""
     seen = Observation()
@@ -228,27 +297,38 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     rest = F.col("size") - F.col("own")
     active = put(with_own.join(least_size, "key").where(rest * 100 >= percent * (F.col("size") + F.greatest("s", rest) - rest)).drop("s"), "minhash-active")
 
+    def joined(found: DataFrame, comps: DataFrame | None) -> DataFrame:
+        # What is joined already stands for its links: the stars of the last round and the new ones.
+        edges = found if comps is None else found.union(comps.where("node <> comp").select(F.col("node").alias("x"), F.col("comp").alias("y")))
+        out, path = components(edges)
+        trash.append(path)
+        return out
+
     comps: DataFrame | None = None
     rounds = 0
     while True:
         rows = active.where(F.col("band") < FIRST_BANDS) if rounds == 0 else active
         if comps is not None:
-            rows = rows.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")).withColumn("many", F.coalesce("many", F.lit(1)))
+            rows = rows.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
         else:
-            rows = rows.withColumn("comp", F.col("rep")).withColumn("many", F.lit(1).cast("long"))
-        rows = rows.select("rep", "band", "key", "size", "own", "comp", "many")
+            rows = rows.withColumn("comp", F.col("rep"))
+        rows = rows.select("rep", "band", "key", "size", "own", "comp")
         if rounds:  # buckets that still span two components
             rows = rows.join(rows.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key"), "key", "left_semi")
         rows, path, (n, _) = _counted(rows, "minhash-rows")
         trash.append(path)
         if rounds and not n:
             break
-        # One leader per (bucket, salt); the number of salts doubles from round to round.
-        salts = 1 << max(0, rounds - 1)
+        if rounds == LEADER_ROUNDS:
+            with C.small_batches(spark, 500):
+                found, path, (n, _) = _counted(_meetings(rows, sets, percent).distinct(), "minhash-links")
+            trash.append(path)
+            if n:
+                comps = joined(found, comps)
+            break
+        # One leader of each bucket, the most central member at first.
         order = F.xxhash64("key", "rep", F.lit(rounds))
-        first = F.col("own") if rounds < 2 else F.col("many")
-        leaders = rows.groupBy("key", F.pmod(order, F.lit(salts)).alias("salt")) \
-            .agg(F.min(F.struct(first.alias("f"), order.alias("o"), "rep", "comp", "size", "own")).alias("l")) \
+        leaders = rows.groupBy("key").agg(F.min(F.struct(F.col("own").alias("f"), order.alias("o"), "rep", "comp", "size", "own")).alias("l")) \
             .select("key", F.col("l.rep").alias("y"), F.col("l.comp").alias("yc"), F.col("l.size").alias("ys"), F.col("l.own").alias("yo"))
         both = F.least(F.col("size") - F.col("own"), F.col("ys") - F.col("yo"))
         reach = both * 100 >= percent * (F.col("size") + F.col("ys") - both)
@@ -269,11 +349,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
                                                .select("x", "y", "p", "q").mapInArrow(_confirmed(percent), "x long, y long"), "minhash-links")
             trash.append(path)
         if n:
-            # What is joined already stands for its links: the stars of the last round and the new ones.
-            edges = found if comps is None else found.union(comps.where("node <> comp").select(F.col("node").alias("x"), F.col("comp").alias("y")))
-            comps, path = components(edges)
-            trash.append(path)
-            comps = put(comps.join(comps.groupBy("comp").agg(F.count(F.lit(1)).alias("many")), "comp").select("node", "comp", "many"), "minhash-comps")
+            comps = joined(found, comps)
         if rounds:
             active = put(rows.select("rep", "band", "key", "size", "own").join(leaders.select("key", F.col("y").alias("rep")), ["key", "rep"], "left_anti"), "minhash-active")
         rounds += 1

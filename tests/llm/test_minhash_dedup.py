@@ -62,6 +62,25 @@ def test_a_large_group_of_near_copies_is_one_component_if_linked(spark):
     assert got == {d: root for d, (_, root) in _brute(rows).items()}
 
 
+def test_members_that_stay_outside_meet_their_bucket_in_one_step(spark, monkeypatch):
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for k in range(150):  # edits of a small vocabulary: few shingles are of one row alone, many rows link with none
+        w = list(base)
+        for _ in range(rng.randint(0, 5)):
+            w[10 * rng.randrange(12)] = f"x{rng.randrange(3)}"
+        rows.append((k, " ".join(w)))
+    steps = []
+    counted = M._counted
+    monkeypatch.setattr(M, "_counted", lambda df, name, *h: (steps.append(name), counted(df, name, *h))[1])
+    monkeypatch.setattr(M, "BLOCK", 500, raising=False)  # many blocks
+    got = {r.doc_id: r.component_id for r in M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {d: root for d, (_, root) in _brute(rows).items()}
+    assert got == want
+    assert len(set(want.values())) > 20 and steps.count("minhash-rows") <= 3
+
+
 def test_star_components_equal_union_find(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, k) for k in range(400, 460)]
