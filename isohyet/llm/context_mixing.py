@@ -28,6 +28,7 @@ texts are worked off in blocks; extra columns are not read.
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections import Counter
 from itertools import chain
 
@@ -47,9 +48,11 @@ SLOT_BITS = 21
 PART = 1 << 13
 ORDERS = 4
 BLOCK = 32
-LANES = 256
-#: Tokens expanded into bits at a time while counting.
-COUNT_TOKENS = 30_000
+#: Documents scored side by side, and tokens expanded into bits at a time while counting: what numpy works on stays in the processor's cache.
+LANES = 64
+COUNT_TOKENS = 2_000
+#: Tokens whose documents are sorted by length and scored.
+SCORE_TOKENS = 1 << 19
 ESC, END = 0, 1
 GATES = 32
 BUCKETS = 25
@@ -92,9 +95,7 @@ class Codebook:
         self.count = np.array([0, ends, *(c for _, c in words)], np.int64)
         self.at, self.size, self.node, self.bit = huffman(np.array([escapes + 1, ends + 1, *(c for _, c in words)], np.int64))
         self.n_nodes = len(words) + 1
-        self.salt = self.node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        depth = np.arange(len(self.node)) - np.repeat(self.at, self.size)
-        self.gate = np.minimum(depth, GATES - 1)
+        self.node32 = self.node.astype(np.uint32)
 
     def symbols(self, docs: list[list[bytes]], cache: "_Seen") -> tuple[np.ndarray, list[np.ndarray], np.ndarray, list[bytes]]:
         """Codes of the tokens of documents end to end, hashes of the words before them, where each
@@ -109,22 +110,21 @@ class Codebook:
         one = C.mix64(h1 ^ np.uint64(0x51))
         return codes, [one, C.mix64(one ^ h2), C.mix64(h2 ^ np.uint64(0xA7))], ends, words
 
-    def bits(self, sym: np.ndarray, ctx: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-        """Per decision: its bit, its slot in every table, its gate, and the token it belongs to."""
+    def bits(self, sym: np.ndarray, ctx: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        """Per decision: its place in the paths of all codes and its slot in every hashed table; and the decisions of each token."""
         size = self.size[sym]
-        owner = np.repeat(np.arange(len(sym), dtype=np.int32), size)
-        first = np.cumsum(size) - size
-        k = np.arange(len(owner), dtype=np.int64) - (first - self.at[sym])[owner]
-        node = self.node[k]
-        salt = self.salt[k]
-        slots = [node]
+        k = np.repeat(self.at[sym] - (np.cumsum(size) - size), size)
+        k += np.arange(len(k))
+        salt = self.node32[k].astype(np.uint64)
+        salt *= np.uint64(0xD6E8FEB86659FD93)
+        slots = []
         for c in ctx:
-            x = c[owner]
+            x = np.repeat(c, size)
             x ^= salt
             x *= np.uint64(0x9FB21C651E98DF25)
             x >>= np.uint64(64 - SLOT_BITS)
             slots.append(x.view(np.int64))
-        return self.bit[k], slots, self.gate[k], owner
+        return k, slots, size
 
     def table_sizes(self) -> list[int]:
         pad = -(-self.n_nodes // PART) * PART
@@ -140,22 +140,19 @@ class _Seen(dict):
 
     def _empty(self) -> None:
         self.clear()
-        self.codes, self.hashes = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.uint64)
+        self.codes, self.hashes = array("q"), array("Q")
 
     def __missing__(self, w: bytes) -> int:
-        i = len(self)
-        if i == len(self.codes):
-            self.codes, self.hashes = np.resize(self.codes, 2 * i), np.resize(self.hashes, 2 * i)
-        self.codes[i] = self.known.get(w, ESC) if w else END
-        self.hashes[i] = xxhash.xxh3_64_intdigest(w)
-        self[w] = i
+        i = self[w] = len(self.codes)
+        self.codes.append(self.known.get(w, ESC) if w else END)
+        self.hashes.append(xxhash.xxh3_64_intdigest(w))
         return i
 
     def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(self) > 300_000:  # bounds memory
             self._empty()
         at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.codes[at], self.hashes[at]
+        return np.frombuffer(self.codes, np.int64)[at], np.frombuffer(self.hashes, np.uint64)[at]
 
 
 def _count_words(batches):
@@ -202,30 +199,34 @@ def _count_contexts(sent):
     def run(batches):
         book = sent.value
         sizes = book.table_sizes()
-        tables = [np.zeros(2 * n, np.uint32) for n in sizes]
+        tables = [np.zeros(2 * n, np.uint32) for n in sizes[1:]]  # all slots' zeros, then all their ones
+        of_symbol = np.zeros(len(book.at), np.int64)
         cache = _Seen(book)
         some = False
         for rb in batches:
             for part in _slices(rb.column(0), 1 << 18):
                 some = True
                 sym, ctx, _, _ = book.symbols([C.lower_words(t) for _, t in part], cache)
+                of_symbol += np.bincount(sym, minlength=len(of_symbol))
                 for i in range(0, len(sym), COUNT_TOKENS):
-                    bit, slots, _, _ = book.bits(sym[i:i + COUNT_TOKENS], [c[i:i + COUNT_TOKENS] for c in ctx])
-                    tables[0] += np.bincount(2 * slots[0] + bit, minlength=len(tables[0])).astype(np.uint32)
-                    for table, slot in zip(tables[1:], slots[1:]):
-                        np.add.at(table, 2 * slot + bit, np.uint32(1))
+                    k, slots, _ = book.bits(sym[i:i + COUNT_TOKENS], [c[i:i + COUNT_TOKENS] for c in ctx])
+                    one = book.bit[k].astype(np.int64) << SLOT_BITS
+                    for table, slot in zip(tables, slots):
+                        slot += one
+                        np.add.at(table, slot, np.uint32(1))
         if some:
             z = zstandard.ZstdCompressor(level=1)
             task = TaskContext.get().partitionId()
+            nodes = np.bincount(book.node + np.int64(sizes[0]) * book.bit, weights=np.repeat(of_symbol, book.size), minlength=2 * sizes[0]).astype(np.uint32)
             part = 0
-            for table in tables:
+            for n, table in zip(sizes, [nodes, *tables]):
                 rows = []
-                for i in range(0, len(table), 2 * PART):
-                    x = table[i:i + 2 * PART]
+                for i in range(0, n, PART):
+                    x = np.stack((table[i:i + PART], table[n + i:n + i + PART]), axis=1)
                     if x.any():
                         rows.append((part, task // 64, z.compress(x.tobytes())))
                     part += 1
-                    if len(rows) == 64 or i + 2 * PART >= len(table) and rows:
+                    if len(rows) == 64 or i + PART >= n and rows:
                         yield _part_batch(rows)
                         rows = []
     return run
@@ -291,44 +292,54 @@ def log10_probabilities(book: Codebook, tables: list[np.ndarray], sym: np.ndarra
     size = np.diff(ends)
     order = np.argsort(-size, kind="stable")
     out = np.zeros(n_docs)
-    step = np.float32(1 / _STEP)
+    # Weights are held divided by _STEP, a power of two, so stretched values stay the bytes that they are.
+    rate = np.float32(np.float32(RATE) / np.float32(_STEP * _STEP))
     fresh = (1 / (1 + np.exp(-np.linspace(-12, 12, BUCKETS)))).astype(np.float32)
+    path = 2 * tables[0][book.node].astype(np.int16) + book.bit  # of each decision: what no context predicts, and its bit
     for g in range(0, n_docs, LANES):
         lanes = order[g:g + LANES]  # longest first, so those still going are a prefix
         begin, count = ends[lanes], size[lanes]
-        w = [np.full(len(lanes) * GATES, x, np.float32) for x in WEIGHTS]
+        w = [np.full(len(lanes) * GATES, np.float32(x) / np.float32(_STEP), np.float32) for x in WEIGHTS]
         apm = np.tile(fresh, len(lanes) * GATES)
         total = np.zeros(len(lanes))
         for at in range(0, int(count[0]), BLOCK):
             live = int(np.searchsorted(-count, -at, side="left"))
             take = np.minimum(count[:live] - at, BLOCK)
-            lane = np.repeat(np.arange(live), take)
-            which = np.arange(take.sum()) + np.repeat(begin[:live] + at - (np.cumsum(take) - take), take)
-            bit, slots, gate, owner = book.bits(sym[which], [c[which] for c in ctx])
-            of = lane[owner]
-            key = of * GATES + gate
-            s = [t[k] * step for t, k in zip(tables, slots)]
+            first = np.cumsum(take) - take  # of each lane's tokens in this block
+            which = np.arange(first[-1] + take[-1]) + np.repeat(begin[:live] + at - first, take)
+            k, slots, of_token = book.bits(sym[which], [c[which] for c in ctx])
+            here = path[k]
+            hit = (here & 1).astype(np.float32)
+            gate = k - np.repeat(book.at[sym[which]], of_token)
+            np.minimum(gate, GATES - 1, out=gate)
+            key = np.repeat(np.repeat(np.arange(0, live * GATES, GATES), take), of_token)
+            key += gate
+            s = [x.astype(np.float32) for x in (here >> 1, *(t[i] for t, i in zip(tables[1:], slots)))]
             dot = s[0] * w[0][key]
             for x, y in zip(s[1:], w[1:]):
                 dot += x * y[key]
-            np.clip(dot, -11.99, 11.99, out=dot)
+            np.maximum(dot, np.float32(-11.99), out=dot)
+            np.minimum(dot, np.float32(11.99), out=dot)
             p = 1 / (1 + np.exp(-dot))
             where = (dot + np.float32(12)) * np.float32((BUCKETS - 1) / 24)
             low = where.astype(np.int32)
             part = where - low
-            cell = key * BUCKETS + low
+            cell = key * BUCKETS
+            cell += low.astype(np.int64)
             final = (p + apm[cell] * (1 - part) + apm[cell + 1] * part) * np.float32(0.5)
-            hit = bit.astype(np.float32)
-            final = np.clip(np.where(bit == 1, final, 1 - final), 1e-6, 1)
-            total[:live] += np.bincount(of, weights=np.log10(final), minlength=live)
+            final = np.abs(1 - hit - final)
+            np.maximum(final, np.float32(1e-6), out=final)
+            np.minimum(final, np.float32(1), out=final)
+            bits_before = np.cumsum(of_token) - of_token
+            total[:live] += np.add.reduceat(np.log10(final).astype(np.float64), bits_before[first])
             # What the block taught: one step for weights and map, used from the next block on.
             err = hit - p
             n = live * GATES
             for x, y in zip(s, w):
-                y[:n] += np.float32(RATE) * np.bincount(key, weights=err * x, minlength=n).astype(np.float32)
-            cell += part >= 0.5
+                y[:n] += rate * np.bincount(key, weights=err * x, minlength=n).astype(np.float32)
+            cell += (part >= 0.5).astype(np.int64)
             seen = np.bincount(cell, minlength=n * BUCKETS)
-            touched = np.flatnonzero(seen)
+            touched = np.flatnonzero(seen > 0)
             seen = seen[touched]
             hits = np.bincount(cell, weights=hit, minlength=n * BUCKETS)[touched]
             keep = (1 - MAP_RATE) ** seen
@@ -339,6 +350,7 @@ def log10_probabilities(book: Codebook, tables: list[np.ndarray], sym: np.ndarra
 
 SCORED = ("uid long, doc_id long, held_out boolean, n_tokens long, n_bytes long, score double, known long, base double, "
           "rest array<struct<w:binary,n:long>>")
+_SCORED_NAMES = [c.split()[0] for c in SCORED.split(", ")]
 _REST = pa.list_(pa.struct([("w", pa.binary()), ("n", pa.int64())]))
 
 
@@ -349,12 +361,23 @@ def _score(sent, n_train: int, v_train: int):
         base = np.log10((book.count + 1) / (n_train + v_train + 1))
         have = book.count > 0
         uid = TaskContext.get().partitionId() << 33
+        held: list[tuple] = []  # of slices whose words are done with: symbols, contexts, tokens of each document and the columns but the score
+
+        def scored():
+            codes, ctx, n_tok, columns = zip(*held)
+            held.clear()
+            n_tok = np.concatenate(n_tok)
+            columns = [pa.concat_arrays(c) for c in zip(*columns)]
+            score = log10_probabilities(book, tables, np.concatenate(codes), [np.concatenate(c) for c in zip(*ctx)], np.concatenate(([0], np.cumsum(n_tok))))
+            names = ["doc_id", "held_out", "n_tokens", "n_bytes", "known", "base", "rest"]
+            return pa.RecordBatch.from_arrays([pa.array(uid + np.arange(len(n_tok)), pa.int64()), pa.array(score), *columns], names=["uid", "score", *names]).select(_SCORED_NAMES)
+
         for rb in batches:
-            ids, held = rb.column(0), rb.column(1)
+            ids, out = rb.column(0), rb.column(1)
+            n_held = 0
             for part in _slices(rb.column(2), 1 << 20):
                 docs = [C.lower_words(t) for _, t in part]
                 codes, ctx, ends, words = book.symbols(docs, cache)
-                score = log10_probabilities(book, tables, codes, ctx, ends)
                 n_tok = np.diff(ends)
                 doc = np.repeat(np.arange(len(docs)), n_tok)
                 coded = codes != ESC
@@ -363,13 +386,20 @@ def _score(sent, n_train: int, v_train: int):
                 escaped = np.flatnonzero(~coded)
                 cut = np.searchsorted(escaped, ends).tolist()
                 escaped = escaped.tolist()
-                rest = [[{"w": w, "n": n} for w, n in Counter(words[k] for k in escaped[i:j]).items()] for i, j in zip(cut, cut[1:])]
-                at = [i for i, _ in part]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(uid + np.arange(len(docs)), pa.int64()), ids.take(pa.array(at)), held.take(pa.array(at)), pa.array(n_tok),
-                    pa.array([len((t or "").encode("utf-8", "surrogatepass")) for _, t in part], pa.int64()), pa.array(score), pa.array(known),
-                    pa.array(b), pa.array(rest, _REST)], names=["uid", "doc_id", "held_out", "n_tokens", "n_bytes", "score", "known", "base", "rest"])
-                uid += len(docs)
+                rest = [Counter([words[k] for k in escaped[i:j]]) for i, j in zip(cut, cut[1:])]
+                of = pa.array(np.concatenate(([0], np.cumsum([len(r) for r in rest]))), pa.int32())
+                rest = pa.StructArray.from_arrays([pa.array(list(chain.from_iterable(rest)), pa.binary()),
+                                                   pa.array(list(chain.from_iterable(r.values() for r in rest)), pa.int64())], fields=list(_REST.value_type))
+                at = pa.array([i for i, _ in part])
+                n_bytes = pa.array([len((t or "").encode("utf-8", "surrogatepass")) for _, t in part], pa.int64())
+                held.append((codes, ctx, n_tok, [ids.take(at), out.take(at), pa.array(n_tok), n_bytes, pa.array(known), pa.array(b), pa.ListArray.from_arrays(of, rest, _REST)]))
+                n_held += len(codes)
+                if n_held >= SCORE_TOKENS:
+                    yield (done := scored())
+                    uid, n_held = uid + done.num_rows, 0
+            if held:
+                yield (done := scored())
+                uid += done.num_rows
     return run
 
 

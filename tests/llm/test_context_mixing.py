@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -62,3 +63,39 @@ def test_without_training_documents(spark):
     got = M.score_documents(spark.createDataFrame([(i, "a b") for i in held], "doc_id long, text string")).collect()
     assert len(got) == 2 and all(r.held_out and r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 for r in got)
     assert M.score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_block_of_scoring_stays_in_the_cache():
+    """What a step of numpy works on decides the time: 256 documents side by side took arrays of megabytes."""
+    book = M.Codebook([(f"w{i}".encode(), 500 - i) for i in range(400)], 2, 4)
+    tables = [np.full(n, 9, np.int8) for n in book.table_sizes()]
+    rng = np.random.default_rng(3)
+    docs = [[f"w{i}".encode() for i in rng.integers(0, 400, 64)] for _ in range(512)]
+    codes, ctx, ends, _ = book.symbols(docs, M._Seen(book))
+    tracemalloc.start()
+    M.log10_probabilities(book, tables, codes, ctx, ends)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 << 20
+
+
+def test_context_counts_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(M, "CODED_WORDS", 12)
+    monkeypatch.setattr(M, "COUNT_TOKENS", 7)  # a slice of tokens ends inside documents
+    df = spark.createDataFrame([(t,) for _, t in ROWS], "text string").repartition(3)
+    book, tables = M.learn(df, M.word_counts(df))
+    cache, want = M._Seen(book), [Counter() for _ in tables]
+    for _, t in ROWS:
+        codes, ctx, _, _ = book.symbols([(t or "").lower().encode().split()], cache)
+        for j, sym in enumerate(codes.tolist()):
+            at = int(book.at[sym])
+            for node, bit in zip(book.node[at:at + book.size[sym]].tolist(), book.bit[at:at + book.size[sym]].tolist()):
+                want[0][node, bit] += 1
+                for c, w in zip(ctx, want[1:]):
+                    x = (int(c[j]) ^ (node * 0xD6E8FEB86659FD93) % 2**64) * 0x9FB21C651E98DF25 % 2**64
+                    w[x >> (64 - M.SLOT_BITS), bit] += 1
+    for table, counts in zip(tables, want):
+        expect = np.zeros(len(table), np.int8)
+        for slot in {s for s, _ in counts}:
+            expect[slot] = np.clip(np.rint(np.log((counts[slot, 1] + 0.4) / (counts[slot, 0] + 0.4)) * M._STEP), -127, 127)
+        assert np.array_equal(table, expect)
