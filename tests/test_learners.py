@@ -214,6 +214,34 @@ def test_race_stops_the_weaker_half_and_shares_folds(spark):
     assert best["best_value"] == pytest.approx(t[t["state"] == "done"]["mean_pr_auc"].iloc[0])
 
 
+def test_trials_of_a_fold_share_the_rows_they_are_fitted_on(spark, monkeypatch):
+    names, write = [], T.materialize
+    monkeypatch.setattr(T, "materialize", lambda df, name="stage": (names.append(name), write(df, name))[1])
+    df = frame(spark, table(120))
+    trials, _ = T.hyperparameter_search(df, ["a", "b"], "y", "row_id", kind="gbm", n_trials=3, group_col="g", k=2, sampler="none",
+                                        space={"n_estimators": (1, 2, 1), "max_depth": (1, 2)})
+    assert set(trials.toPandas()["state"]) == {"done"}
+    assert names.count("prepared") == names.count("train") == 2  # a fold, not a trial and fold
+
+
+def test_refit_query_makes_the_panel_once(spark, monkeypatch):
+    from isohyet.plans import ml_queries as Q
+
+    rows = table(240).assign(sequia=lambda d: d["y"], block_id=lambda d: d["g"]).drop(columns=["y", "g"])
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    df = frame(spark, rows).mapInPandas(seen, frame(spark, rows).schema)
+    monkeypatch.setattr(Q, "model_frame", lambda spark, sf: df)
+    monkeypatch.setattr(Q, "features", lambda df: ["a", "b"])
+    assert Q.q_refit_from_best(spark, "").count() == 1
+    assert made.value <= 2 * len(rows)  # the sizes of the groups, and the folds that all steps read
+
+
 def test_a_time_limit_ends_running_trials_within_seconds(spark):
     df = frame(spark, table(240))
     T.hyperparameter_search(df, ["a"], "y", "row_id", kind="gbm", n_trials=1, k=2, sampler="none", space={"n_estimators": (1, 1, 1), "max_depth": (1, 1)})
