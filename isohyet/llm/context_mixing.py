@@ -28,12 +28,10 @@ texts are worked off in blocks; extra columns are not read.
 from __future__ import annotations
 
 import heapq
-from array import array
-from collections import Counter
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -53,6 +51,9 @@ LANES = 64
 COUNT_TOKENS = 2_000
 #: Tokens whose documents are sorted by length and scored.
 SCORE_TOKENS = 1 << 19
+#: Bytes of text whose words are counted, or looked up, at a time.
+COUNT_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 ESC, END = 0, 1
 GATES = 32
 BUCKETS = 25
@@ -60,6 +61,8 @@ WEIGHTS = (0.65, 0.35, 0.25, 0.1)
 RATE = 0.004
 MAP_RATE = 0.02
 _STEP = 16.0  # of a stretched value in a byte
+_LETTER = np.array([not (c == 0x20 or 0x09 <= c <= 0x0D) for c in range(256)])
+_LOWER = np.array([c + 32 if 0x41 <= c <= 0x5A else c for c in range(256)], np.uint8)
 
 
 def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -87,6 +90,31 @@ def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return at[:-1], np.diff(at), np.array(nodes, np.int64), np.array(bits, np.int8)
 
 
+def token_array(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of texts end to end (binary; empty: the end token), and how many each text has."""
+    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    n = len(texts)
+    edge = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + n + 1]
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[edge[0]:edge[-1]]
+    edge = edge - edge[0]
+    letter = _LETTER[raw]
+    begins = letter.copy()
+    begins[1:] &= ~letter[:-1]
+    border = edge[:-1][edge[:-1] < edge[1:]]
+    begins[border] = letter[border]  # no word reaches into another text
+    starts = np.flatnonzero(begins)
+    before = np.zeros(len(raw) + 1, np.int32)  # letters before each byte
+    np.cumsum(letter, out=before[1:])
+    cut = np.searchsorted(starts, edge)
+    n_tokens = np.diff(cut) + 1
+    ends = np.cumsum(n_tokens)
+    offsets = np.empty(int(n_tokens.sum()) + 1, np.int32)
+    offsets[np.arange(len(starts)) + np.repeat(np.arange(n), n_tokens - 1)] = before[starts]
+    offsets[ends - 1] = before[edge[1:]]
+    offsets[-1] = before[-1]
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[raw[letter]])]), n_tokens
+
+
 class Codebook:
     """Words with a code of their own, their counts and paths."""
 
@@ -95,18 +123,26 @@ class Codebook:
         self.count = np.array([0, ends, *(c for _, c in words)], np.int64)
         self.at, self.size, self.node, self.bit = huffman(np.array([escapes + 1, ends + 1, *(c for _, c in words)], np.int64))
         self.n_nodes = len(words) + 1
-        self.node32 = self.node.astype(np.uint32)
+        # Of each decision of a path: what tells its node apart in the hashed tables, where its bit counts there, and its gate.
+        self.salt = self.node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        self.half = self.bit.astype(np.int32) << SLOT_BITS
+        self.gate = np.minimum(np.arange(len(self.node)) - np.repeat(self.at, self.size), GATES - 1).astype(np.int8)
 
-    def symbols(self, docs: list[list[bytes]], cache: "_Seen") -> tuple[np.ndarray, list[np.ndarray], np.ndarray, list[bytes]]:
+    def symbols(self, docs: list[list[bytes]], cache: "_Seen") -> tuple[np.ndarray, list[np.ndarray], np.ndarray, pa.DictionaryArray]:
+        """:meth:`symbols_of` for the words of documents."""
+        return self.symbols_of(pa.array([w for d in docs for w in (*d, b"")], pa.binary()), np.array([len(d) + 1 for d in docs], np.int64), cache)
+
+    def symbols_of(self, tokens: pa.Array, n: np.ndarray, cache: "_Seen") -> tuple[np.ndarray, list[np.ndarray], np.ndarray, pa.DictionaryArray]:
         """Codes of the tokens of documents end to end, hashes of the words before them, where each
-        document begins, and the tokens (empty: the end)."""
-        words = list(chain.from_iterable((*d, b"") for d in docs))
-        n = np.array([len(d) + 1 for d in docs], np.int64)
+        document begins, and the tokens (empty: the end). n: the tokens of each document."""
+        words = tokens.dictionary_encode()
         ends = np.concatenate(([0], np.cumsum(n)))
-        codes, h = cache.look_up(words)
-        place = np.arange(len(words)) - np.repeat(ends[:-1], n)
-        h1 = np.where(place >= 1, np.roll(h, 1), np.uint64(1))  # none reaches into another document
-        h2 = np.where(place >= 2, np.roll(h, 2), np.uint64(2))
+        codes, h = (x[words.indices.to_numpy()] for x in cache.look_up(words.dictionary))
+        h1, h2 = np.empty_like(h), np.empty_like(h)
+        h1[1:], h2[2:] = h[:-1], h[:-2]
+        h1[ends[:-1]] = 1  # none reaches into another document
+        h2[ends[:-1]] = 2
+        h2[ends[:-1][n > 1] + 1] = 2
         one = C.mix64(h1 ^ np.uint64(0x51))
         return codes, [one, C.mix64(one ^ h2), C.mix64(h2 ^ np.uint64(0xA7))], ends, words
 
@@ -115,8 +151,7 @@ class Codebook:
         size = self.size[sym]
         k = np.repeat(self.at[sym] - (np.cumsum(size) - size), size)
         k += np.arange(len(k))
-        salt = self.node32[k].astype(np.uint64)
-        salt *= np.uint64(0xD6E8FEB86659FD93)
+        salt = self.salt[k]
         slots = []
         for c in ctx:
             x = np.repeat(c, size)
@@ -131,47 +166,38 @@ class Codebook:
         return [pad, *[1 << SLOT_BITS] * (ORDERS - 1)]
 
 
-class _Seen(dict):
-    """Code and hash of the words that a task has met, looked up together."""
+class _Seen:
+    """Codes and hashes of different words."""
 
     def __init__(self, book: Codebook):
-        self.known = book.code
-        self._empty()
-
-    def _empty(self) -> None:
-        self.clear()
-        self.codes, self.hashes = array("q"), array("Q")
+        self.coded = pa.array([b"", *book.code], pa.binary())
+        self.codes = np.array([ESC, END, *book.code.values()], np.int64)
 
-    def __missing__(self, w: bytes) -> int:
-        i = self[w] = len(self.codes)
-        self.codes.append(self.known.get(w, ESC) if w else END)
-        self.hashes.append(xxhash.xxh3_64_intdigest(w))
-        return i
-
-    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self) > 300_000:  # bounds memory
-            self._empty()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return np.frombuffer(self.codes, np.int64)[at], np.frombuffer(self.hashes, np.uint64)[at]
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        at = pc.fill_null(pc.index_in(words, value_set=self.coded), -1).to_numpy(zero_copy_only=False)
+        _, edges, data = words.buffers()
+        edges = np.frombuffer(edges, np.int32)[words.offset:words.offset + len(words) + 1].tolist() if len(words) else [0]
+        data = data.to_pybytes() if data else b""
+        hashes = [xxhash.xxh3_64_intdigest(data[i:j]) for i, j in zip(edges, edges[1:])]
+        return self.codes[at + 1], np.array(hashes, np.uint64)
 
 
 def _count_words(batches):
-    words: Counter = Counter()
+    held, size = [], 0
 
     def rows():
-        nonlocal words
-        out = pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], names=["w", "c"])
-        words = Counter()
-        return out
+        counted = pc.value_counts(token_array(pa.concat_arrays(held))[0])
+        held.clear()
+        return pa.RecordBatch.from_arrays([counted.field(0), counted.field(1)], names=["w", "c"])
 
     for rb in batches:
-        for i in range(0, rb.num_rows, 500):
-            for t in rb.column(0).slice(i, 500):
-                words.update(C.lower_words(t.as_py()))
-                words[b""] += 1  # the end token
-            if len(words) > 200_000:
+        for part in _slices(rb.column(0), COUNT_BYTES):
+            held.append(part)
+            size += part.nbytes
+            if size >= COUNT_BYTES:
                 yield rows()
-    if words:
+                size = 0
+    if held:
         yield rows()
 
 
@@ -181,18 +207,14 @@ def word_counts(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(_count_words, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
-def _slices(rb, size: int):
-    """Texts of a batch a few at a time, by their bytes."""
-    texts, held, n = rb, [], 0
-    for i, t in enumerate(texts):
-        t = t.as_py()
-        held.append((i, t))
-        n += len(t or "")
-        if n >= size:
-            yield held
-            held, n = [], 0
-    if held:
-        yield held
+def _slices(texts: pa.Array, size: int):
+    """Texts of a batch a few at a time, by their bytes; none of no texts."""
+    done = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    i = 0
+    while i < len(texts):
+        j = int(np.searchsorted(done, (done[i - 1] if i else 0) + size)) + 1
+        yield texts.slice(i, j - i)
+        i = j
 
 
 def _count_contexts(sent):
@@ -204,13 +226,13 @@ def _count_contexts(sent):
         cache = _Seen(book)
         some = False
         for rb in batches:
-            for part in _slices(rb.column(0), 1 << 18):
+            for part in _slices(rb.column(0), SLICE_BYTES):
                 some = True
-                sym, ctx, _, _ = book.symbols([C.lower_words(t) for _, t in part], cache)
+                sym, ctx, _, _ = book.symbols_of(*token_array(part), cache)
                 of_symbol += np.bincount(sym, minlength=len(of_symbol))
                 for i in range(0, len(sym), COUNT_TOKENS):
                     k, slots, _ = book.bits(sym[i:i + COUNT_TOKENS], [c[i:i + COUNT_TOKENS] for c in ctx])
-                    one = book.bit[k].astype(np.int64) << SLOT_BITS
+                    one = book.half[k]
                     for table, slot in zip(tables, slots):
                         slot += one
                         np.add.at(table, slot, np.uint32(1))
@@ -310,10 +332,8 @@ def log10_probabilities(book: Codebook, tables: list[np.ndarray], sym: np.ndarra
             k, slots, of_token = book.bits(sym[which], [c[which] for c in ctx])
             here = path[k]
             hit = (here & 1).astype(np.float32)
-            gate = k - np.repeat(book.at[sym[which]], of_token)
-            np.minimum(gate, GATES - 1, out=gate)
             key = np.repeat(np.repeat(np.arange(0, live * GATES, GATES), take), of_token)
-            key += gate
+            key += book.gate[k]
             s = [x.astype(np.float32) for x in (here >> 1, *(t[i] for t, i in zip(tables[1:], slots)))]
             dot = s[0] * w[0][key]
             for x, y in zip(s[1:], w[1:]):
@@ -373,26 +393,23 @@ def _score(sent, n_train: int, v_train: int):
             return pa.RecordBatch.from_arrays([pa.array(uid + np.arange(len(n_tok)), pa.int64()), pa.array(score), *columns], names=["uid", "score", *names]).select(_SCORED_NAMES)
 
         for rb in batches:
-            ids, out = rb.column(0), rb.column(1)
-            n_held = 0
-            for part in _slices(rb.column(2), 1 << 20):
-                docs = [C.lower_words(t) for _, t in part]
-                codes, ctx, ends, words = book.symbols(docs, cache)
+            at, n_held = 0, 0
+            for part in _slices(rb.column(2), SLICE_BYTES):
+                codes, ctx, ends, words = book.symbols_of(*token_array(part), cache)
                 n_tok = np.diff(ends)
-                doc = np.repeat(np.arange(len(docs)), n_tok)
+                doc = np.repeat(np.arange(len(part)), n_tok)
                 coded = codes != ESC
-                known = np.bincount(doc, weights=coded & have[codes], minlength=len(docs)).astype(np.int64)
-                b = np.bincount(doc, weights=np.where(coded, base[codes], 0), minlength=len(docs))
+                known = np.bincount(doc, weights=coded & have[codes], minlength=len(part)).astype(np.int64)
+                b = np.bincount(doc, weights=np.where(coded, base[codes], 0), minlength=len(part))
                 escaped = np.flatnonzero(~coded)
-                cut = np.searchsorted(escaped, ends).tolist()
-                escaped = escaped.tolist()
-                rest = [Counter([words[k] for k in escaped[i:j]]) for i, j in zip(cut, cut[1:])]
-                of = pa.array(np.concatenate(([0], np.cumsum([len(r) for r in rest]))), pa.int32())
-                rest = pa.StructArray.from_arrays([pa.array(list(chain.from_iterable(rest)), pa.binary()),
-                                                   pa.array(list(chain.from_iterable(r.values() for r in rest)), pa.int64())], fields=list(_REST.value_type))
-                at = pa.array([i for i, _ in part])
-                n_bytes = pa.array([len((t or "").encode("utf-8", "surrogatepass")) for _, t in part], pa.int64())
-                held.append((codes, ctx, n_tok, [ids.take(at), out.take(at), pa.array(n_tok), n_bytes, pa.array(known), pa.array(b), pa.ListArray.from_arrays(of, rest, _REST)]))
+                types = np.int64(max(1, len(words.dictionary)))
+                rest, n_rest = np.unique(doc[escaped] * types + words.indices.to_numpy()[escaped], return_counts=True)
+                of = pa.array(np.searchsorted(rest, np.arange(len(part) + 1) * types), pa.int32())
+                rest = pa.StructArray.from_arrays([words.dictionary.take(pa.array(rest % types)), pa.array(n_rest, pa.int64())], fields=list(_REST.value_type))
+                n_bytes = pc.fill_null(pc.binary_length(part), 0).cast(pa.int64())
+                ids, out = (rb.column(i).slice(at, len(part)) for i in (0, 1))
+                at += len(part)
+                held.append((codes, ctx, n_tok, [ids, out, pa.array(n_tok), n_bytes, pa.array(known), pa.array(b), pa.ListArray.from_arrays(of, rest, _REST)]))
                 n_held += len(codes)
                 if n_held >= SCORE_TOKENS:
                     yield (done := scored())
