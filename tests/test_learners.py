@@ -1,3 +1,4 @@
+import json
 import time
 
 import numpy as np
@@ -242,6 +243,38 @@ def test_refit_query_makes_the_panel_once(spark, monkeypatch):
     assert made.value <= 2 * len(rows)  # the sizes of the groups, and the folds that all steps read
 
 
+def test_search_query_runs_every_trial_over_all_folds_and_the_whole_space(spark, monkeypatch):
+    from isohyet.ml.models import GBM_SPACE
+    from isohyet.plans import ml_queries as Q
+
+    draws, fits = [], []
+    sample = T.sample_params
+
+    def drawn(kind, rng, space=None):
+        draws.append((kind, {**GBM_SPACE, **(space or {})}))
+        return sample(kind, rng, space)
+
+    class Known:  # a model that gives its rows the same score
+        def transform(self, df):
+            return df.withColumn("prob", F.lit(0.5))
+
+    def fitted(ready, features, label, spec, tag="0"):
+        fits.append(json.dumps(spec.params, sort_keys=True))
+        return Known()
+
+    rows = table(240).assign(sequia=lambda d: d["y"], block_id=lambda d: d["g"]).drop(columns=["y", "g"])
+    monkeypatch.setattr(Q, "model_frame", lambda spark, sf: frame(spark, rows))
+    monkeypatch.setattr(Q, "features", lambda df: ["a", "b"])
+    monkeypatch.setattr(T, "sample_params", drawn)
+    monkeypatch.setattr(T, "fit_prepared", fitted)
+    monkeypatch.setattr(T, "_uncalibrated", lambda base: base)
+    monkeypatch.setattr(T.M, "ranking_metrics", lambda *a, **k: spark.range(1).select(F.lit(0.5).alias("pr_auc")))
+    trials = Q.q_hyperparameter_search(spark, "").toPandas()
+    assert draws == [("gbm", GBM_SPACE)] * 50  # the reference's trials and space
+    assert set(trials["state"]) == {"done"} and (trials["folds"] == 5).all() and len(trials) == 50
+    assert sorted(fits) == sorted(list(trials["params"]) * 5)
+
+
 def test_a_time_limit_ends_running_trials_within_seconds(spark):
     df = frame(spark, table(240))
     T.hyperparameter_search(df, ["a"], "y", "row_id", kind="gbm", n_trials=1, k=2, sampler="none", space={"n_estimators": (1, 1, 1), "max_depth": (1, 1)})
