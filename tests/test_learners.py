@@ -42,6 +42,56 @@ def test_recall_past_the_depth_limit(spark, n):
     assert got["queries"] == 150 and got["recall"] >= 0.9
 
 
+def odd_points(n, dims, seed):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dims))
+    x[:9] *= 1e4                                 # far from all others
+    x[20:60] = x[20]                             # more equal rows than neighbours asked for
+    x[70:80] = x[80] + rng.normal(size=(10, dims)) * 1e-9
+    return x
+
+
+def all_pairs(x, k):
+    d = np.sqrt(np.stack([((x - row) ** 2).sum(1) for row in x]))
+    np.fill_diagonal(d, np.inf)
+    return np.sort(d, axis=1)[:, :k]
+
+
+def by_row(lists):
+    return [[(e["_d"], e["_j"]) for e in r["nn"]] for r in lists.orderBy("_i").collect()]
+
+
+@pytest.mark.parametrize("n", [900, 4_000])
+def test_neighbours_are_exact_below_and_past_a_leaf(spark, n):
+    x = odd_points(n, 28, n)
+    pts = spark.createDataFrame(pd.DataFrame({"_i": np.arange(n), "x": list(x)}))
+    got = by_row(SM.neighbour_lists(pts, 5))
+    assert np.allclose([[e[0] for e in nn] for nn in got], all_pairs(x, 5), rtol=1e-12, atol=0)
+    assert all(len({e[1] for e in nn} - {i}) == 5 for i, nn in enumerate(got))
+
+
+def test_the_forest_does_not_decide_what_is_found(spark):
+    n, x = 1_500, odd_points(1_500, 6, 2)
+    pts = spark.createDataFrame(pd.DataFrame({"_i": np.arange(n), "x": list(x)}))
+    whole = by_row(SM.neighbour_lists(pts, 4, leaf_rows=2_048))
+    assert by_row(SM.neighbour_lists(pts, 4, leaf_rows=16, trees=1)) == whole
+    assert by_row(SM.neighbour_lists(pts, 4, leaf_rows=64, refinements=1)) == whole
+    none = pts.where("false").select("_i", F.array().cast("array<struct<_d:double,_j:bigint>>").alias("nn"))
+    for rows in (100, 4_096):  # many blocks that meet, or one; no reach is known
+        assert by_row(SM.nearest_of_all(pts, none, 4, x[::10], n, block_rows=rows)) == whole
+
+
+def test_few_or_unknown_coordinates_do_not_lose_rows(spark):
+    x = odd_points(300, 3, 5)
+    x[100, 1] = np.nan
+    for n in (1, 4, 300):
+        pts = spark.createDataFrame(pd.DataFrame({"_i": np.arange(n), "x": list(x[-n:])}))
+        got = by_row(SM.neighbour_lists(pts, 5))
+        assert [len(nn) for nn in got] == [min(5, n - 1)] * n
+    d = all_pairs(np.delete(x, 100, axis=0), 5)
+    assert np.allclose([[e[0] for e in nn] for i, nn in enumerate(got) if i != 100], d, rtol=1e-12, atol=0)
+
+
 def test_measured_recall_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(300, 3))
